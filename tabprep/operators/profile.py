@@ -44,7 +44,7 @@ def missing_counts(df: DataFrame, columns=None) -> DataFrame:
     return counted.unpivot([], [quoted(n) for n in names], "column", "n_missing")
 
 
-def describe(df: DataFrame, columns=None, sketch_k: int = 2000, finish_rows: int = 1_000_000) -> DataFrame:
+def describe(df: DataFrame, columns=None, sketch_k: int = 1000, finish_rows: int = 1_000_000) -> DataFrame:
     """(column, count, mean, std, min, p25, p50, p75, max) for the numeric columns.
 
     Sample standard deviation and exact quartiles with linear interpolation. The
@@ -57,10 +57,13 @@ def _describe(df, columns, sketch_k, finish_rows, with_missing):
     names = numeric_columns(df, columns)
     values = {n: nan_to_null(quoted(n), df.schema[n].dataType).cast("double") for n in names}
     every = list(df.columns if columns is None else columns) if with_missing else names
-    moments = [f(v) for v in values.values() for f in (F.mean, F.stddev_samp, F.min, F.max)]
     missing = [F.count_if(is_missing(quoted(n), df.schema[n].dataType)) for n in every] if with_missing else []
+
+    def aggregates(columns):
+        return [f(c) for c in columns for f in (F.mean, F.stddev_samp, F.min, F.max)] + missing
+
     if names:
-        quartiles, counts, found = exact_quantiles(df, values, QUARTILES, moments + missing, sketch_k, finish_rows)
+        quartiles, counts, found = exact_quantiles(df, values, QUARTILES, aggregates, sketch_k, finish_rows)
     else:
         quartiles, counts, found = {}, {}, list(df.agg(*missing).first())
     rows = []
@@ -73,13 +76,13 @@ def _describe(df, columns, sketch_k, finish_rows, with_missing):
         else:
             row += (None,) * 8
         if with_missing:
-            row += (found[len(moments) + every.index(name)],)
+            row += (found[4 * len(names) + every.index(name)],)
         rows.append(row)
     schema = "column string, count bigint, mean double, std double, min double, p25 double, p50 double, p75 double, max double"
     return df.sparkSession.createDataFrame(rows, schema + (", n_missing bigint" if with_missing else ""))
 
 
-def summary(df: DataFrame, columns=None, sketch_k: int = 2000, finish_rows: int = 1_000_000) -> DataFrame:
+def summary(df: DataFrame, columns=None, sketch_k: int = 1000, finish_rows: int = 1_000_000) -> DataFrame:
     """``describe`` and ``missing_counts`` together, one row for every column."""
     return _describe(df, columns, sketch_k, finish_rows, with_missing=True)
 

@@ -20,7 +20,7 @@ _SKETCH = {
     "bigint": (F.kll_sketch_agg_bigint, F.kll_merge_agg_bigint, F.kll_sketch_get_n_bigint, F.kll_sketch_get_quantile_bigint),
 }
 _GRID = 400
-_MARGIN = 0.003
+_MARGIN = 0.004
 _MERGE_GROUPS = 64
 
 
@@ -56,30 +56,38 @@ class _Span:
     below: int
     size: int
 
-    def inside(self, value: Column) -> Column:
-        test = value.isNotNull()
-        if self.low is not None:
-            test = test & (value > F.lit(self.low))
-        if self.high is not None:
-            test = test & (value < F.lit(self.high))
-        return test
+    def inside(self, value: Column, low=None, high=None) -> Column:
+        """Whether a value lies strictly inside, also of tighter bounds if given."""
+        low = self.low if low is None else low
+        high = self.high if high is None else high
+        if low is None and high is None:
+            return value.isNotNull()
+        if low is None:
+            return value < F.lit(high)
+        if high is None:
+            return value > F.lit(low)
+        return (value > F.lit(low)) & (value < F.lit(high))
 
 
 def exact_ranks(
     df: DataFrame,
     probes: Sequence[RankProbe],
     kind: str = "double",
-    extra: Sequence[Column] = (),
-    sketch_k: int = 2000,
+    extra: Callable[[list[Column]], Sequence[Column]] | None = None,
+    sketch_k: int = 1000,
     finish_rows: int = 1_000_000,
 ) -> tuple[list[dict[int, RankHit]], list[int], list]:
     """Exact values at ranks, for all probes together.
 
     Returns per probe a dict rank → hit, per probe the number of values, and the
-    values of ``extra`` aggregates, which ride on the first counting scan. ``df`` is
-    scanned a few times and must give the same rows each time.
+    results of ``extra``: it gets the probes' values and returns aggregates, which
+    ride on the first counting scan. ``df`` is scanned a few times and must give the
+    same rows each time.
     """
-    values = [p.value.cast(kind) for p in probes]
+    # Computed once per row as columns of their own; the many tests then stay small.
+    names = [f"__v{i}" for i in range(len(probes))]
+    df = df.withColumns({n: p.value.cast(kind) for n, p in zip(names, probes)})
+    values = [F.col(n) for n in names]
     hits: list[dict[int, RankHit]] = [{} for _ in probes]
     everything = [_Span(i, (), None, None, 0, 0) for i in range(len(probes))]
     sketches = _sketch(df, values, everything, kind, sketch_k)
@@ -89,7 +97,7 @@ def exact_ranks(
         for group in probes[i].ranks(n) if n else ():
             span = _Span(i, tuple(sorted(set(group))), None, None, 0, n)
             guesses.append((span, *_guess(span, grid)))
-    aggregates = list(extra)
+    aggregates = list(extra(values)) if extra else []
     extra_values: list = []
     while guesses or aggregates:
         counts, found_extra = _count(df, values, guesses, aggregates)
@@ -115,7 +123,7 @@ def _sketch(df, values, spans, kind, sketch_k) -> list[tuple[int, list]]:
     build, merge, size, quantile = _SKETCH[kind]
     names = [f"s{i}" for i in range(len(spans))]
     columns = [F.when(s.inside(values[s.probe]), values[s.probe]).alias(n) for s, n in zip(spans, names)]
-    grid = F.array(*[F.lit(i / _GRID) for i in range(_GRID + 1)])
+    grid = F.split(F.lit(",".join(str(i / _GRID) for i in range(_GRID + 1))), ",").cast("array<double>")
     parts = (
         df.select(*columns, F.pmod(F.spark_partition_id(), F.lit(_MERGE_GROUPS)).alias("merge_group"))
         .groupBy("merge_group")
@@ -143,10 +151,10 @@ def _count(df, values, guesses, extra):
     """Rows of each span below, at, between and at the guessed values, in one scan."""
     columns = []
     for span, low, high in guesses:
-        value, inside = values[span.probe], span.inside(values[span.probe])
-        low, high = F.lit(low), F.lit(high)
-        tests = [value < low, value == low, (value > low) & (value < high), (value == high) & (high > low)]
-        columns += [F.count_if(inside & t) for t in tests]
+        value = values[span.probe]
+        at_high = value == F.lit(high) if high > low else F.lit(False)
+        tests = [span.inside(value, high=low), value == F.lit(low), span.inside(value, low, high), at_high]
+        columns += [F.count(F.when(t, 1)) for t in tests]
     row = list(df.agg(*[c.alias(f"c{i}") for i, c in enumerate([*columns, *extra])]).first())
     zones = [row[4 * i : 4 * i + 4] for i in range(len(guesses))]
     return zones, row[len(columns) :]
@@ -211,8 +219,8 @@ def exact_quantiles(
     df: DataFrame,
     columns: dict[str, Column],
     probabilities: Sequence[float],
-    extra: Sequence[Column] = (),
-    sketch_k: int = 2000,
+    extra: Callable[[list[Column]], Sequence[Column]] | None = None,
+    sketch_k: int = 1000,
     finish_rows: int = 1_000_000,
 ) -> tuple[dict[str, list[float | None]], dict[str, int], list]:
     """Quantiles by linear interpolation between the two nearest values.
