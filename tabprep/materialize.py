@@ -1,19 +1,17 @@
-"""Cutting lineage through the shared checkpoint folder."""
+"""The shared folder of the session, and cutting lineage through it."""
 
 import tempfile
+import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 
-def materialize(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the session's checkpoint folder and read it back from there.
+def shared_folder(spark: SparkSession) -> str:
+    """The checkpoint folder of this session, which all executors reach.
 
-    Used where values that depend on the physical layout (partition numbers) must
-    become plain data before they are used twice. The folder is
-    ``spark.checkpoint.dir``, shared by all executors, so the result survives their
-    loss. A folder of our own is made only for a local session that names none.
+    It is ``spark.checkpoint.dir``. A folder of our own is made only for a local
+    session that names none.
     """
-    spark = df.sparkSession
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
         folder = spark.conf.get("spark.checkpoint.dir", None)
@@ -22,4 +20,19 @@ def materialize(df: DataFrame) -> DataFrame:
                 raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
             folder = tempfile.mkdtemp(prefix="tabprep-checkpoint-")
         context.setCheckpointDir(folder)
+    return context.getCheckpointDir()
+
+
+def new_folder(spark: SparkSession, name: str) -> str:
+    """A fresh path below the shared folder."""
+    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def materialize(df: DataFrame) -> DataFrame:
+    """Write ``df`` to the checkpoint folder and read it back from there.
+
+    Used where values that depend on the physical layout (partition numbers) must
+    become plain data before they are used twice; the copy survives lost executors.
+    """
+    shared_folder(df.sparkSession)
     return df.checkpoint()
