@@ -126,6 +126,7 @@ def fit_stratified_folds(
         RankProbe(
             F.when(quoted(label) == F.lit(row["label"]), quoted(key)),
             lambda n, ranks=begin: [(r,) for r in sorted(set(ranks)) if r < n],
+            row["n"],
         )
         for row, begin in zip(classes, starts)
     ]

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from tabprep.functions.scalar import class_weight, round_half_even, sigmoid, threshold
 from tabprep.operators.frame import quoted
+from tabprep.operators.newton import ALL_ROWS, RowBlocks, fits_in_memory, new_fit
 from tabprep.operators.scale import Scaler, fit_min_max
 
 FEATURES = "__features"
@@ -37,6 +38,14 @@ class LinearClassifier:
     intercept: float
     scaler: Scaler | None = None
 
+    @classmethod
+    def from_point(cls, features, point, low=None, width=None) -> "LinearClassifier":
+        """From coefficients and intercept in one array, and the scale they belong to."""
+        scaler = None
+        if low is not None:
+            scaler = Scaler(*({f: float(v) for f, v in zip(features, values)} for values in (low, width)))
+        return cls(tuple(features), tuple(float(c) for c in point[:-1]), float(point[-1]), scaler)
+
     def margin(self) -> Column:
         total = F.lit(self.intercept)
         for name, weight in zip(self.features, self.coefficients):
@@ -110,23 +119,35 @@ def fit_logistic(
     max_iter: int = 100,
     class_weights: dict | None = None,
     scale: bool = False,
-    tol: float = 1e-8,
+    tol: float = 1e-9,
+    solver: str = "auto",
 ) -> LinearClassifier:
     """L2-regularised logistic regression, ``C`` being the inverse penalty strength.
 
-    ``scale`` fits a min-max scaler first and keeps it inside the model.
+    ``scale`` fits a min-max scaler first and keeps it inside the model. ``newton``
+    needs a handful of passes over the data whatever the features' sizes; ``lbfgs`` is
+    Spark ML's solver, which ``auto`` chooses when there are very many features.
     """
     weight = class_weight(quoted(label), class_weights)
-    return fit_weighted_logistic(df, features, label, weight, C, max_iter, scale, tol)[0]
+    return fit_weighted_logistic(df, features, label, weight, C, max_iter, scale, tol, solver)[0]
 
 
 def fit_weighted_logistic(
-    df: DataFrame, features: Sequence[str], label: str, weight: Column, C: float, max_iter: int, scale: bool, tol: float
+    df: DataFrame,
+    features: Sequence[str],
+    label: str,
+    weight: Column,
+    C: float,
+    max_iter: int,
+    scale: bool,
+    tol: float,
+    solver: str = "auto",
 ) -> tuple[LinearClassifier, int]:
-    """``fit_logistic`` with row weights; also returns the iterations the solver used.
-
-    Spark divides the loss by the weight sum, so the penalty is divided by it too.
-    """
+    """``fit_logistic`` with row weights; also returns the steps the solver used."""
+    if solver == "auto":
+        solver = "newton" if fits_in_memory(1, len(features)) else "lbfgs"
+    if solver == "newton":
+        return _fit_newton(df, features, label, weight, C, max_iter, scale, tol)
     scaler = fit_min_max(df, features) if scale else None
     training = _training(df, features, label, scaler, weight).persist()
     try:
@@ -135,6 +156,7 @@ def fit_weighted_logistic(
             featuresCol=FEATURES,
             labelCol=label,
             weightCol=WEIGHT,
+            # Spark divides the loss by the weight sum, so the penalty is divided by it too.
             regParam=1.0 / (C * total),
             elasticNetParam=0.0,
             standardization=False,
@@ -149,6 +171,17 @@ def fit_weighted_logistic(
     return fitted, model.summary.totalIterations
 
 
+def _fit_newton(df, features, label, weight, C, max_iter, scale, tol):
+    values = [quoted(f) for f in features]
+    scaler = fit_min_max(df, features)
+    base = [scaler.shift[f] for f in features], [scaler.width[f] for f in features]
+    low, width = base if scale else (np.zeros(len(features)), np.ones(len(features)))
+    fit = new_fit(C, ALL_ROWS, low, width)
+    with RowBlocks(df, values, quoted(label), weight, F.lit(0), base) as blocks:
+        blocks.fit([fit], max_iter, tol)
+    return LinearClassifier.from_point(features, fit.point, *((low, width) if scale else (None, None))), fit.steps
+
+
 def fit_forest(
     df: DataFrame, features: Sequence[str], label: str, n_trees: int = 1000, max_depth: int = 5, seed: int = 0
 ) -> VectorClassifier:

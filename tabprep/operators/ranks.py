@@ -29,11 +29,13 @@ class RankProbe:
     """A column (NULL rows are skipped) and the ranks wanted from it.
 
     ``ranks`` gets the number of values and returns groups of 0-based ranks; the
-    ranks of one group are searched together and should lie close.
+    ranks of one group are searched together and should lie close. ``size`` is the
+    number of values, where the caller knows it.
     """
 
     value: Column
     ranks: Callable[[int], Sequence[Sequence[int]]]
+    size: int | None = None
 
 
 @dataclass(frozen=True)
@@ -89,6 +91,11 @@ def exact_ranks(
     df = df.withColumns({n: p.value.cast(kind) for n, p in zip(names, probes)})
     values = [F.col(n) for n in names]
     hits: list[dict[int, RankHit]] = [{} for _ in probes]
+    known = [p.size for p in probes]
+    if not extra and None not in known and sum(known) <= finish_rows:
+        wanted = [tuple(sorted({r for g in p.ranks(p.size) for r in g})) for p in probes]
+        _finish(df, values, [_Span(i, r, None, None, 0, n) for i, (r, n) in enumerate(zip(wanted, known)) if r], hits)
+        return hits, known, []
     everything = [_Span(i, (), None, None, 0, 0) for i in range(len(probes))]
     sketches = _sketch(df, values, everything, kind, sketch_k)
     totals = [n for n, _ in sketches]

@@ -1,16 +1,11 @@
 """Grid search for logistic regression over stratified folds."""
 
-import sys
 from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from typing import Any
 
 import numpy as np
-import pyarrow as pa
-from pyspark import cloudpickle
-from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
@@ -19,16 +14,10 @@ from tabprep.functions.scalar import class_weight
 from tabprep.operators.folds import evenly_spaced, log_spaced, parameter_grid, stratified_folds
 from tabprep.operators.frame import quoted
 from tabprep.operators.models import LinearClassifier, fit_weighted_logistic
+from tabprep.operators.newton import ALL_ROWS, RowBlocks, fits_in_memory, new_fit
 from tabprep.operators.scale import Scaler
 from tabprep.operators.scoring import accuracy, candidate_results
 
-# The functions run in the tasks travel with the job; executors need no copy of this package.
-cloudpickle.register_pickle_by_value(sys.modules[__name__])
-
-# Largest gradient + curvature state of one task and of the driver, in numbers.
-_STATE_LIMIT = 4_000_000
-_ALL_ROWS = -1
-
 
 @dataclass(frozen=True)
 class GridResult:
@@ -40,20 +29,6 @@ class GridResult:
     model: LinearClassifier
 
 
-@dataclass
-class _Fit:
-    """One logistic fit: a penalty on the rows outside one fold."""
-
-    C: float
-    fold: int
-    lift: np.ndarray
-    point: np.ndarray
-    value: float = np.inf
-    step: np.ndarray | None = None
-    trial: np.ndarray | None = None
-    done: bool = False
-
-
 def default_grid() -> dict[str, list]:
     return {"C": log_spaced(-3, 3, 7), "max_iter": evenly_spaced(100, 1000, 10)}
 
@@ -72,249 +47,123 @@ def grid_search(
 ) -> GridResult:
     """Tune ``C`` and ``max_iter`` of min-max scaled logistic regression by fold accuracy.
 
-    ``newton`` advances every fit of the grid in the same scan: one pass over the
-    data per step for all of them, instead of one per step and fit. Its state grows
-    with the square of the number of features, so ``auto`` uses it while that is
-    small and otherwise fits one by one (``lbfgs``), ``parallelism`` at a time.
+    The scaler is fitted inside each fold. ``newton`` advances every fit of the grid
+    in the same scan; ``lbfgs`` runs Spark ML fits, ``parallelism`` at a time, and is
+    what ``auto`` chooses when there are very many features.
     """
     grid = grid or default_grid()
-    candidates = parameter_grid(grid)
     if solver == "auto":
         n_fits = len(grid["C"]) * (n_folds + 1)
-        solver = "newton" if n_fits * (len(features) + 1) ** 2 <= _STATE_LIMIT else "lbfgs"
+        solver = "newton" if fits_in_memory(n_fits, len(features)) else "lbfgs"
     folded = stratified_folds(df, label, key, n_folds, "__fold").select(
-        *[quoted(f).cast("double").alias(f"__x{i}") for i, f in enumerate(features)],
-        quoted(label).cast("double").alias("__y"),
-        class_weight(quoted(label), class_weights).alias("__w"),
-        F.col("__fold").cast("double").alias("__fold"),
+        *[quoted(f).cast("double").alias(f) for f in features],
+        quoted(label).cast("double").alias("__label"),
+        class_weight(quoted(label), class_weights).alias("__weight"),
+        "__fold",
     )
-    solve = {"newton": _all_at_once, "lbfgs": _one_by_one}[solver]
-    scores, final = solve(folded, len(features), grid, n_folds, parallelism, tol)
+    search = {"newton": _all_at_once, "lbfgs": _one_by_one}[solver]
+    scores, refit = search(folded, list(features), grid, n_folds, parallelism, tol)
+    candidates = parameter_grid(grid)
     rows = [
         (i, c["C"], c["max_iter"], fold, float(scores[c["C"], c["max_iter"]][fold]))
         for i, c in enumerate(candidates)
         for fold in range(n_folds)
     ]
-    means = [float(np.mean(scores[c["C"], c["max_iter"]])) for c in candidates]
-    winner = int(np.argmax(np.round(means, 12)))
     table = df.sparkSession.createDataFrame(
-        rows, "candidate bigint, param_C double, param_max_iter bigint, fold int, score double"
+        rows, "candidate bigint, C double, max_iter bigint, fold int, score double"
     )
+    table = table.withColumnsRenamed({"C": "param_C", "max_iter": "param_max_iter"})
+    means = [round(float(np.mean(scores[c["C"], c["max_iter"]])), 12) for c in candidates]
+    winner = int(np.argmax(means))
     results = candidate_results(table, ["candidate", "param_C", "param_max_iter"], n_folds)
-    best = candidates[winner]
-    weights, intercept, scaler = final(best)
-    model = LinearClassifier(
-        tuple(features),
-        tuple(weights),
-        intercept,
-        Scaler(
-            {f: float(scaler.shift[f"__x{i}"]) for i, f in enumerate(features)},
-            {f: float(scaler.width[f"__x{i}"]) for i, f in enumerate(features)},
-        ),
-    )
-    return GridResult(results, best, means[winner], model)
+    return GridResult(results, candidates[winner], means[winner], refit(candidates[winner]))
 
 
-def _fold_statistics(folded: DataFrame, d: int, n_folds: int):
-    """Per training set: minimum and width of each feature; one aggregate for all folds.
+def _training_scales(folded: DataFrame, features, n_folds: int):
+    """Minimum and width of each feature outside each fold, and the rows of each fold.
 
-    The statistics of the rows outside a fold are merged from the other folds'.
+    One aggregate: the rows outside a fold are the other folds together.
     """
-    names = [f"__x{i}" for i in range(d)]
     per_fold = (
         folded.groupBy("__fold")
         .agg(
             F.count(F.lit(1)).alias("n"),
-            F.array(*[F.min(n) for n in names]).alias("low"),
-            F.array(*[F.max(n) for n in names]).alias("high"),
+            F.array(*[F.min(quoted(n)) for n in features]).alias("low"),
+            F.array(*[F.max(quoted(n)) for n in features]).alias("high"),
         )
         .collect()
     )
     if len(per_fold) != n_folds:
         raise ValueError("a fold is empty: too few rows")
-    found = {}
-    for fold in (_ALL_ROWS, *range(n_folds)):
-        used = [r for r in per_fold if int(r["__fold"]) != fold]
+    scales = {}
+    for fold in (ALL_ROWS, *range(n_folds)):
+        used = [r for r in per_fold if r["__fold"] != fold]
         low = np.min([r["low"] for r in used], axis=0)
         width = np.max([r["high"] for r in used], axis=0) - low
-        width[width == 0] = 1.0
-        found[fold] = (low, width)
-    return found, {int(r["__fold"]): r["n"] for r in per_fold}
-
-
-def _all_at_once(folded, d, grid, n_folds, _parallelism, tol):
-    """Newton steps for all (C, fold) fits together."""
-    names = [f"__x{i}" for i in range(d)]
-    # Rows become matrices once; every step then reads whole matrices.
-    blocks = folded.select(*names, "__y", "__w", "__fold").mapInArrow(_to_blocks, "block binary")
-    blocks = blocks.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        scaling, fold_rows = _fold_statistics(folded, d, n_folds)
-        base = scaling[_ALL_ROWS]
-        fits = []
-        for C in grid["C"]:
-            for fold in (_ALL_ROWS, *range(n_folds)):
-                low, width = scaling[fold]
-                # From the scale of all rows, in which sums are formed, to the fold's own.
-                lift = np.diag(np.append(base[1] / width, 1.0))
-                lift[:d, d] = (base[0] - low) / width
-                fits.append(_Fit(float(C), fold, lift, np.zeros(d + 1)))
-        snapshots: dict[int, list[np.ndarray]] = {}
-        last = max(grid["max_iter"])
-        for iteration in range(1, last + 1):
-            active = [f for f in fits if not f.done]
-            if active:
-                _advance(blocks, base, active, d, tol)
-            if iteration in grid["max_iter"]:
-                snapshots[iteration] = [f.point for f in fits]
-            if all(f.done for f in fits):
-                break
+        scales[fold] = (low, np.where(width == 0, 1.0, width))
+    return scales, {r["__fold"]: r["n"] for r in per_fold}
+
+
+def _all_at_once(folded, features, grid, n_folds, _parallelism, tol):
+    """All (C, fold) fits and the fits on all rows in common scans."""
+    scales, fold_rows = _training_scales(folded, features, n_folds)
+    fits = [new_fit(C, fold, *scales[fold]) for C in grid["C"] for fold in (ALL_ROWS, *range(n_folds))]
+    values = [quoted(f) for f in features]
+    with RowBlocks(
+        folded, values, F.col("__label"), F.col("__weight"), F.col("__fold"), scales[ALL_ROWS]
+    ) as blocks:
+        reached = blocks.fit(fits, max(grid["max_iter"]), tol, grid["max_iter"])
         settled = [f.point for f in fits]
-        points = {m: snapshots.get(m, settled) for m in grid["max_iter"]}
-        scores = _block_scores(blocks, base, fits, points, grid, fold_rows, n_folds)
-    finally:
-        blocks.unpersist()
-
-    def final(best):
-        i = next(i for i, f in enumerate(fits) if f.fold == _ALL_ROWS and f.C == best["C"])
-        point = points[best["max_iter"]][i]
-        scaler = Scaler(dict(zip(names, base[0])), dict(zip(names, base[1])))
-        return [float(w) for w in point[:d]], float(point[d]), scaler
-
-    return scores, final
-
-
-def _to_blocks(batches):
-    """Arrow batches → row-major matrices, as bytes."""
-    for batch in batches:
-        if batch.num_rows:
-            matrix = np.column_stack([c.to_numpy(zero_copy_only=False) for c in batch.columns])
-            yield pa.record_batch([pa.array([np.ascontiguousarray(matrix, "f8").tobytes()], pa.binary())], ["block"])
-
-
-def _open_blocks(batches, low, width):
-    """Matrices → (features on the common scale with a 1 appended, label, weight, fold)."""
-    d = len(low)
-    for batch in batches:
-        for value in batch.column(0):
-            matrix = np.frombuffer(value.as_buffer(), "f8").reshape(-1, d + 3)
-            x = np.column_stack([(matrix[:, :d] - low) / width, np.ones(len(matrix))])
-            yield x, matrix[:, d], matrix[:, d + 1], matrix[:, d + 2]
-
-
-def _advance(blocks: DataFrame, base, fits: list[_Fit], d: int, tol: float) -> None:
-    """One scan: loss, gradient and curvature of every fit at its trial point, then a step."""
-    for f in fits:
-        f.trial = f.point if f.step is None else f.point + f.step
-    weights = np.array([f.lift.T @ f.trial for f in fits])
-    folds = np.array([f.fold for f in fits], "f8")
-    low, width = base
-    upper = np.triu_indices(d + 1)
-
-    def sums(batches):
-        total = np.zeros((len(folds), 1 + (d + 1) + len(upper[0])))
-        for x, y, w, fold in _open_blocks(batches, low, width):
-            margin = x @ weights.T
-            used = w[:, None] * (fold[:, None] != folds)
-            p = 1.0 / (1.0 + np.exp(-np.clip(margin, -700, 700)))
-            total[:, 0] += (used * (np.logaddexp(0.0, margin) - y[:, None] * margin)).sum(axis=0)
-            total[:, 1 : d + 2] += (used * (p - y[:, None])).T @ x
-            total[:, d + 2 :] += (used * p * (1.0 - p)).T @ (x[:, upper[0]] * x[:, upper[1]])
-        yield pa.record_batch(
-            [pa.array(range(len(folds)), pa.int64()), pa.array(list(total), pa.list_(pa.float64()))], ["fit", "sums"]
-        )
-
-    found = (
-        blocks.mapInArrow(sums, "fit bigint, sums array<double>")
-        .groupBy("fit")
-        .agg(vector_to_array(Summarizer.sum(array_to_vector("sums"))).alias("sums"))
-        .collect()
-    )
-    for row in found:
-        _step(fits[row["fit"]], np.array(row["sums"]), d, upper, tol)
-
-
-def _step(f: _Fit, sums: np.ndarray, d: int, upper, tol: float) -> None:
-    """Accept the trial point if the penalised loss fell, else halve the step."""
-    penalty = np.append(np.full(d, 1.0 / f.C), 0.0)
-    value = sums[0] + 0.5 * (penalty * f.trial**2).sum()
-    if f.step is not None and value > f.value * (1 + 1e-12) + 1e-12:
-        f.step = f.step / 2
-        f.done = bool(np.abs(f.step).max() < 1e-12)
-        return
-    settled = f.step is not None and f.value - value <= tol * max(abs(value), 1.0)
-    f.point, f.value = f.trial, value
-    gradient = f.lift @ sums[1 : d + 2] + penalty * f.point
-    half = np.zeros((d + 1, d + 1))
-    half[upper] = sums[d + 2 :]
-    curvature = f.lift @ (half + np.triu(half, 1).T) @ f.lift.T + np.diag(penalty)
-    f.step = -np.linalg.lstsq(curvature, gradient, rcond=None)[0]
-    f.done = bool(settled)
-
-
-def _block_scores(blocks, base, fits, points, grid, fold_rows, n_folds):
-    """Accuracy of every fit on its held-out fold, one scan for all."""
-    low, width = base
-    judged = [(i, f) for i, f in enumerate(fits) if f.fold != _ALL_ROWS]
-    stages = sorted({id(p): m for m, p in points.items()}.values())
-    weights = np.array([f.lift.T @ points[m][i] for m in stages for i, f in judged])
-    folds = np.array([f.fold for _ in stages for _, f in judged], "f8")
+        # A limit beyond the last step changes nothing, so those values share their points.
+        points = {m: reached.get(m, settled) for m in grid["max_iter"]}
+        stages = {id(p): p for p in points.values()}
+        judged = [(stage, i) for stage in stages for i, f in enumerate(fits) if f.fold != ALL_ROWS]
+        hits = blocks.hits([(fits[i], stages[stage][i]) for stage, i in judged])
+    found = {}
+    for (stage, i), n in zip(judged, hits):
+        f = fits[i]
+        found.setdefault((stage, f.C), np.zeros(n_folds))[f.fold] = n / fold_rows[f.fold]
+    scores = {(C, m): found[id(points[m]), float(C)] for C in grid["C"] for m in grid["max_iter"]}
 
-    def hits(batches):
-        right = np.zeros(len(folds))
-        for x, y, _, fold in _open_blocks(batches, low, width):
-            right += (((x @ weights.T > 0) == (y[:, None] > 0.5)) & (fold[:, None] == folds)).sum(axis=0)
-        yield pa.record_batch(
-            [pa.array(range(len(folds)), pa.int64()), pa.array(right.astype("i8"), pa.int64())], ["fit", "hits"]
-        )
+    def refit(best):
+        i = next(i for i, f in enumerate(fits) if f.fold == ALL_ROWS and f.C == best["C"])
+        return LinearClassifier.from_point(features, points[best["max_iter"]][i], *scales[ALL_ROWS])
 
-    found = blocks.mapInArrow(hits, "fit bigint, hits bigint").groupBy("fit").agg(F.sum("hits").alias("hits")).collect()
-    right = {row["fit"]: row["hits"] for row in found}
-    by_stage: dict[int, dict[float, np.ndarray]] = {}
-    for s, m in enumerate(stages):
-        scores: dict[float, np.ndarray] = {}
-        for j, (_, f) in enumerate(judged):
-            scores.setdefault(f.C, np.zeros(n_folds))[f.fold] = right[s * len(judged) + j] / fold_rows[f.fold]
-        by_stage[m] = scores
-    stage_of = {id(points[m]): m for m in stages}
-    return {(C, m): by_stage[stage_of[id(points[m])]][float(C)] for C in grid["C"] for m in grid["max_iter"]}
+    return scores, refit
 
 
-def _one_by_one(folded, d, grid, n_folds, parallelism, tol):
+def _one_by_one(folded, features, grid, n_folds, parallelism, tol):
     """Spark ML fits, a few at a time; ``max_iter`` values the solver never reached share a fit."""
-    names = [f"__x{i}" for i in range(d)]
     folded = folded.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        tasks = [(C, fold) for C in grid["C"] for fold in range(n_folds)]
+    limits = sorted(grid["max_iter"], reverse=True)
 
-        def score(task):
-            C, fold = task
-            train, held = folded.where(F.col("__fold") != fold), folded.where(F.col("__fold") == fold)
-            found = {}
-            for m in sorted(grid["max_iter"], reverse=True):
-                model, used = _fit_folded(train, names, C, m, tol)
-                value = model.transform(held).agg(accuracy(F.col("prediction"), F.col("__y"))).first()[0]
-                reused = [k for k in grid["max_iter"] if used <= k <= m]
-                found.update({k: value for k in (m, *reused) if k not in found})
-                if len(found) == len(grid["max_iter"]):
-                    break
-            return task, found
+    def fit(train, C, limit):
+        return fit_weighted_logistic(
+            train, features, "__label", F.col("__weight"), C, limit, scale=True, tol=tol, solver="lbfgs"
+        )
 
-        with ThreadPoolExecutor(parallelism) as pool:
-            finished = list(pool.map(score, tasks))
-        scores = {(C, m): np.zeros(n_folds) for C in grid["C"] for m in grid["max_iter"]}
-        for (C, fold), found in finished:
+    def score(task):
+        C, fold = task
+        train, held = folded.where(F.col("__fold") != fold), folded.where(F.col("__fold") == fold)
+        found: dict[int, float] = {}
+        for limit in limits:
+            if limit in found:
+                continue
+            model, used = fit(train, C, limit)
+            value = model.transform(held).agg(accuracy(F.col("prediction"), F.col("__label"))).first()[0]
+            found.update({m: value for m in limits if m == limit or used <= m < limit})
+        return found
+
+    tasks = [(C, fold) for C in grid["C"] for fold in range(n_folds)]
+    scores = {(C, m): np.zeros(n_folds) for C in grid["C"] for m in limits}
+    with ThreadPoolExecutor(parallelism) as pool:
+        for (C, fold), found in zip(tasks, pool.map(score, tasks)):
             for m, value in found.items():
                 scores[C, m][fold] = value
-    finally:
-        folded.unpersist()
-
-    def final(best):
-        model, _ = _fit_folded(folded, names, best["C"], best["max_iter"], tol)
-        return list(model.coefficients), model.intercept, model.scaler
-
-    return scores, final
 
+    def refit(best):
+        model, _ = fit(folded, best["C"], best["max_iter"])
+        folded.unpersist()
+        return model
 
-def _fit_folded(train, names, C, max_iter, tol):
-    return fit_weighted_logistic(train, names, "__y", F.col("__w"), C, max_iter, True, tol)
+    return scores, refit

@@ -175,8 +175,9 @@ SELECT g.candidate, CAST(g.C AS DOUBLE) AS "C", CAST(g.max_iter AS INTEGER) AS m
 SELECT CAST(candidate AS BIGINT) AS candidate, cut, fold, round(score, 6) AS score FROM scores""",
     "candidate_table": f"""WITH {RULES}
 SELECT CAST(r.candidate AS BIGINT) AS candidate, r.cut,
-  {", ".join(f"round(max(CASE WHEN s.fold = {i} THEN s.score END), 3) AS split{i}_test_score" for i in range(5))},
-  round(max(r.mean_score), 3) AS mean_test_score, round(max(r.std_score), 3) AS std_test_score,
+  {", ".join(f"round_even(max(CASE WHEN s.fold = {i} THEN s.score END) * 1000, 0) / 1000 AS split{i}_test_score" for i in range(5))},
+  round_even(max(r.mean_score) * 1000, 0) / 1000 AS mean_test_score,
+  round_even(max(r.std_score) * 1000, 0) / 1000 AS std_test_score,
   max(r.place) AS rank_test_score
 FROM results r JOIN scores s ON s.candidate = r.candidate GROUP BY r.candidate, r.cut""",
     "candidate_ranks": f"WITH {RULES} SELECT cut, place AS rank_test_score FROM results",
@@ -190,8 +191,8 @@ ORDER BY place, candidate LIMIT 1""",
   coalesce(o_orderpriority, '0-NONE') AS o_orderpriority FROM o""",
     "casts": """SELECT o_orderkey, CASE WHEN o_totalprice > 200000 THEN 1 ELSE 0 END AS flag,
   CAST(floor(o_totalprice / 1000) AS SMALLINT) AS thousands FROM orders""",
-    "links": """SELECT o_orderkey, round(1 / (1 + exp(-((o_totalprice - 200000) / 100000))), 6) AS sigmoid,
-  round(greatest((o_totalprice - 200000) / 100000, 0), 6) AS relu FROM orders""",
+    "links": """SELECT o_orderkey, round(1 / (1 + exp(-((o_totalprice - 200000) / 100000))), 9) AS sigmoid,
+  round(greatest((o_totalprice - 200000) / 100000, 0), 9) AS relu FROM orders""",
     "decoded": """SELECT o_orderkey, CASE o_orderstatus WHEN 'F' THEN 'filled' WHEN 'O' THEN 'open' END AS status
 FROM orders""",
     # preparation

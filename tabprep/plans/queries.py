@@ -487,7 +487,7 @@ def links(spark, folder):
     score = (F.col("o_totalprice") - 200000.0) / 100000.0
     orders = scan_table(spark, folder, "orders")
     return orders.select(
-        "o_orderkey", F.round(sigmoid(score), 6).alias("sigmoid"), F.round(relu(score), 6).alias("relu")
+        "o_orderkey", F.round(sigmoid(score), 9).alias("sigmoid"), F.round(relu(score), 9).alias("relu")
     )
 
 

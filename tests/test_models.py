@@ -59,15 +59,30 @@ def scaled(x, rows_used=slice(None)):
     return (x - low) / (high - low)
 
 
+@pytest.mark.parametrize("solver", ["newton", "lbfgs"])
 @pytest.mark.parametrize("C,weights", [(1.0, None), (10.0, {0: 1.0, 1: 1.5})])
-def test_logistic_reaches_the_published_minimum(noisy, C, weights):
+def test_logistic_reaches_the_published_minimum(noisy, C, weights, solver):
     df, x, y = noisy
-    model = fit_logistic(df, ["a", "b", "c"], "y", C, 1000, weights, scale=True, tol=1e-12)
+    model = fit_logistic(df, ["a", "b", "c"], "y", C, 1000, weights, scale=True, tol=1e-12, solver=solver)
     w = np.where(y == 1, 1.5, 1.0) if weights else np.ones(len(y))
     expected = newton(scaled(x), y, w, C)
     np.testing.assert_allclose([*model.coefficients, model.intercept], expected, rtol=1e-4)
 
 
+def test_unscaled_logistic(noisy):
+    df, x, y = noisy
+    model = fit_logistic(df, ["a", "b", "c"], "y", C=10.0)
+    assert model.scaler is None
+    expected = newton(x, y, np.ones(len(y)), 10.0)
+    np.testing.assert_allclose([*model.coefficients, model.intercept], expected, rtol=1e-6)
+
+
+def test_missing_features_raise(spark):
+    df = spark.createDataFrame([(1.0, 0), (None, 1), (2.0, 1)], "a double, y int")
+    with pytest.raises(Exception, match="must not be missing"):
+        fit_logistic(df, ["a"], "y")
+
+
 def test_both_grid_solvers_agree_with_brute_force(noisy):
     df, x, y = noisy
     grid = {"C": [0.01, 1.0, 100.0], "max_iter": [100, 200]}
