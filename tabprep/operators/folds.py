@@ -84,6 +84,11 @@ class StratifiedFolds:
         return df.withColumn(name, self.fold())
 
 
+# Each class adds a few tests per row to the search for cuts; beyond this many the rows
+# are numbered instead.
+_CLASSES_TO_CUT = 20
+
+
 def _classes(df: DataFrame, label: str, key: str, max_classes: int) -> list:
     """(label, rows, smallest key) of the classes, in order of first appearance."""
     found = (
@@ -106,21 +111,35 @@ def _classes(df: DataFrame, label: str, key: str, max_classes: int) -> list:
 
 
 def stratified_folds(
-    df: DataFrame, label: str, key: str, n_folds: int = 5, name: str = "fold", max_classes: int = 20
+    df: DataFrame, label: str, key: str, n_folds: int = 5, name: str = "fold", max_classes: int = 10_000
 ) -> DataFrame:
-    """Add the fold of each row: unshuffled stratified k-fold in key order."""
-    if isinstance(df.schema[key].dataType, T.IntegralType | T.DoubleType | T.FloatType):
-        return fit_stratified_folds(df, label, key, n_folds, max_classes).transform(df, name)
-    return _folds_by_index(df, label, key, n_folds, name, max_classes)
+    """Add the fold of each row: unshuffled stratified k-fold in key order.
+
+    Numeric keys and few classes need no shuffle; otherwise the rows are numbered in
+    key order first. More than ``max_classes`` classes raise.
+    """
+    classes = _classes(df, label, key, max_classes)
+    numeric = isinstance(df.schema[key].dataType, T.IntegralType | T.DoubleType | T.FloatType)
+    if numeric and len(classes) <= _CLASSES_TO_CUT:
+        return _cuts(df, label, key, classes, n_folds, 1_000_000).transform(df, name)
+    return _folds_by_index(df, label, key, classes, n_folds, name)
 
 
 def fit_stratified_folds(
-    df: DataFrame, label: str, key: str, n_folds: int = 5, max_classes: int = 20, finish_rows: int = 1_000_000
+    df: DataFrame, label: str, key: str, n_folds: int = 5, finish_rows: int = 1_000_000
 ) -> StratifiedFolds:
     """Find where each class's folds begin, as exact order statistics of a numeric key."""
-    classes = _classes(df, label, key, max_classes)
+    return _cuts(df, label, key, _classes(df, label, key, _CLASSES_TO_CUT), n_folds, finish_rows)
+
+
+def _starts(classes: list, n_folds: int) -> list[list[int]]:
+    """Per class, the position within the class at which folds 1, 2, … begin."""
     blocks = fold_sizes([row["n"] for row in classes], n_folds)
-    starts = [[int(s) for s in np.cumsum(sizes)[:-1]] for sizes in blocks]
+    return [[int(s) for s in np.cumsum(sizes)[:-1]] for sizes in blocks]
+
+
+def _cuts(df, label, key, classes, n_folds, finish_rows) -> StratifiedFolds:
+    starts = _starts(classes, n_folds)
     kind = "bigint" if isinstance(df.schema[key].dataType, T.IntegralType) else "double"
     probes = [
         RankProbe(
@@ -139,19 +158,18 @@ def fit_stratified_folds(
     return StratifiedFolds(label, key, cuts, n_folds)
 
 
-def _folds_by_index(df, label, key, n_folds, name, max_classes) -> DataFrame:
-    """The same folds for keys that are not numbers, from the rows' dense positions."""
-    classes = _classes(df, label, key, max_classes)
-    blocks = fold_sizes([row["n"] for row in classes], n_folds)
-    begins, position = {}, 0
+def _folds_by_index(df, label, key, classes, n_folds, name) -> DataFrame:
+    """The same folds from the rows' positions in (label, key) order."""
+    starts = dict(zip([row["label"] for row in classes], _starts(classes, n_folds)))
+    lookup, position = [], 0
     for row in sorted(classes, key=lambda row: row["label"]):
-        begins[row["label"]] = position
+        lookup.append((row["label"], [position + s for s in starts[row["label"]]]))
         position += row["n"]
-    numbered = with_row_index(df, [label, key], "__row")
-    column = F.lit(None).cast("int")
-    for row, sizes in zip(classes, blocks):
-        passed = F.lit(0)
-        for cut in np.cumsum(sizes)[:-1]:
-            passed = passed + (quoted("__row") >= F.lit(begins[row["label"]] + int(cut))).cast("int")
-        column = F.when(quoted(label) == F.lit(row["label"]), passed).otherwise(column)
-    return numbered.withColumn(name, column).drop("__row")
+    schema = T.StructType([T.StructField("__label", df.schema[label].dataType), T.StructField("__cuts", T.ArrayType(T.LongType()))])
+    cuts = df.sparkSession.createDataFrame(lookup, schema)
+    # One row per class, at most ``max_classes``.
+    numbered = with_row_index(df, [label, key], "__row").join(
+        F.broadcast(cuts), quoted(label) == F.col("__label"), "inner"
+    )
+    passed = F.size(F.filter("__cuts", lambda cut: cut <= F.col("__row")))
+    return numbered.select(*[quoted(c) for c in df.columns], passed.alias(name))

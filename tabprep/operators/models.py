@@ -20,6 +20,7 @@ from tabprep.functions.scalar import class_weight, round_half_even, sigmoid, thr
 from tabprep.operators.frame import quoted
 from tabprep.operators.newton import ALL_ROWS, RowBlocks, fits_in_memory, new_fit
 from tabprep.operators.scale import Scaler, fit_min_max
+from tabprep.parallel import use_all_cores
 
 FEATURES = "__features"
 WEIGHT = "__weight"
@@ -106,7 +107,7 @@ def assemble(df: DataFrame, features: Sequence[str], scaler: Scaler | None = Non
 
 
 def _training(df, features, label, scaler=None, weight=None) -> DataFrame:
-    vectors = assemble(df, features, scaler)
+    vectors = assemble(use_all_cores(df), features, scaler)
     columns = [FEATURES, quoted(label).cast("double").alias(label)]
     return vectors.select(*columns, *([] if weight is None else [weight.alias(WEIGHT)]))
 

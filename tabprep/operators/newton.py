@@ -20,6 +20,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
 
+from tabprep.parallel import use_all_cores
+
 # The functions run in the tasks travel with the job; executors need no copy of this package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -70,10 +72,9 @@ class RowBlocks:
         table = df.select(*[c.cast("double").alias(f"c{i}") for i, c in enumerate(columns)])
         blocks = table.mapInArrow(_to_blocks, "block binary").persist(StorageLevel.MEMORY_AND_DISK)
         self._kept = [blocks]
-        wanted = df.sparkSession.sparkContext.defaultParallelism
-        if blocks.rdd.getNumPartitions() < wanted:
-            # Few partitions hold little data: spread it over the idle cores.
-            blocks = blocks.repartition(wanted).persist(StorageLevel.MEMORY_AND_DISK)
+        spread = use_all_cores(blocks)
+        if spread is not blocks:
+            blocks = spread.persist(StorageLevel.MEMORY_AND_DISK)
             self._kept.append(blocks)
         self.blocks = blocks
 

@@ -57,15 +57,18 @@ def _describe(df, columns, sketch_k, finish_rows, with_missing):
     names = numeric_columns(df, columns)
     values = {n: nan_to_null(quoted(n), df.schema[n].dataType).cast("double") for n in names}
     every = list(df.columns if columns is None else columns) if with_missing else names
-    missing = [F.count_if(is_missing(quoted(n), df.schema[n].dataType)) for n in every] if with_missing else []
 
-    def aggregates(columns):
-        return [f(c) for c in columns for f in (F.mean, F.stddev_samp, F.min, F.max)] + missing
-
-    if names:
-        quartiles, counts, found = exact_quantiles(df, values, QUARTILES, aggregates, sketch_k, finish_rows)
-    else:
-        quartiles, counts, found = {}, {}, list(df.agg(*missing).first())
+    def moments(columns):
+        return [f(c) for c in columns for f in (F.mean, F.stddev_samp, F.min, F.max)]
+
+    quartiles, counts, found = exact_quantiles(df, values, QUARTILES, moments, sketch_k, finish_rows) if names else ({}, {}, [])
+    lacking = {}
+    if with_missing:
+        others = [n for n in every if n not in counts]
+        counted = df.agg(
+            F.count(F.lit(1)), *[F.count_if(is_missing(quoted(n), df.schema[n].dataType)) for n in others]
+        ).first()
+        lacking = {n: counted[0] - c for n, c in counts.items()} | dict(zip(others, counted[1:]))
     rows = []
     for name in every:
         row = (name,)
@@ -76,7 +79,7 @@ def _describe(df, columns, sketch_k, finish_rows, with_missing):
         else:
             row += (None,) * 8
         if with_missing:
-            row += (found[4 * len(names) + every.index(name)],)
+            row += (lacking[name],)
         rows.append(row)
     schema = "column string, count bigint, mean double, std double, min double, p25 double, p50 double, p75 double, max double"
     return df.sparkSession.createDataFrame(rows, schema + (", n_missing bigint" if with_missing else ""))

@@ -22,6 +22,7 @@ _SKETCH = {
 _GRID = 400
 _MARGIN = 0.004
 _MERGE_GROUPS = 64
+_COLUMNS_PER_SCAN = 20
 
 
 @dataclass(frozen=True)
@@ -233,8 +234,17 @@ def exact_quantiles(
     """Quantiles by linear interpolation between the two nearest values.
 
     Returns name → quantiles (None for a column without values), name → number of
-    values, and the ``extra`` aggregates.
+    values, and the results of ``extra``, which is asked once per group of columns.
     """
+    names = list(columns)
+    if len(names) > _COLUMNS_PER_SCAN:
+        # Wide tables go group by group: a columnar scan reads each column once anyway.
+        quantiles, counts, extras = {}, {}, []
+        for start in range(0, len(names), _COLUMNS_PER_SCAN):
+            group = {n: columns[n] for n in names[start : start + _COLUMNS_PER_SCAN]}
+            q, c, e = exact_quantiles(df, group, probabilities, extra, sketch_k, finish_rows)
+            quantiles, counts, extras = quantiles | q, counts | c, extras + e
+        return quantiles, counts, extras
 
     def around(n: int) -> list[tuple[int, int]]:
         spots = [(n - 1) * p for p in probabilities]

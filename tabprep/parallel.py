@@ -1,0 +1,20 @@
+"""Using idle cores for small tables."""
+
+from pyspark.sql import DataFrame
+
+# Tables with more partitions than this are not small, whatever the number of cores.
+_SMALL = 256
+
+
+def use_all_cores(df: DataFrame) -> DataFrame:
+    """Spread a small table that keeps half of the cores idle, or more.
+
+    A few partitions hold little data, so moving them costs next to nothing, and the
+    many passes of an iterative fit then run on every core. Other tables are left as
+    they are.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if cores < 2:
+        return df
+    partitions = df.rdd.getNumPartitions()
+    return df.repartition(cores) if partitions <= min(cores // 2, _SMALL) else df

@@ -198,6 +198,10 @@ FROM orders""",
     # preparation
     "one_hot": f"""SELECT o_orderkey, {_dummies("o_orderstatus", STATUSES)},
   {_dummies("o_orderpriority", PRIORITIES)} FROM orders""",
+    "category_order": """SELECT 'p_brand' AS "column", row_number() OVER (ORDER BY p_brand) - 1 AS position, p_brand AS value
+FROM (SELECT DISTINCT p_brand FROM part)
+UNION ALL SELECT 'p_size', row_number() OVER (ORDER BY p_size) - 1, CAST(p_size AS VARCHAR)
+FROM (SELECT DISTINCT p_size FROM part)""",
     "one_hot_missing": f"""WITH {ORDERS} SELECT o_orderkey, {_dummies("o_orderstatus", ["F", "O"])},
   {_dummies("o_orderpriority", [p for p in PRIORITIES if p[0] != "4"])} FROM o""",
     "one_hot_numbers": f"""SELECT l_orderkey, {_dummies("l_linenumber", list(range(1, 8)))}, l_quantity FROM lineitem""",

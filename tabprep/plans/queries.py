@@ -508,6 +508,14 @@ def one_hot(spark, folder):
     return fit_one_hot(table, ["o_orderstatus", "o_orderpriority"]).transform(table)
 
 
+@query
+def category_order(spark, folder):
+    """Categories in the ascending order that names and places the indicator columns."""
+    encoder = fit_one_hot(scan_table(spark, folder, "part"), ["p_brand", "p_size"])
+    rows = [(c, i, v) for c, values in encoder.vocabulary.items() for i, v in enumerate(values)]
+    return spark.createDataFrame(rows, "column string, position bigint, value string")
+
+
 @query
 def one_hot_missing(spark, folder):
     table = orders_with_unknowns(spark, folder).select("o_orderkey", "o_orderstatus", "o_orderpriority")

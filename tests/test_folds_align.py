@@ -33,7 +33,7 @@ def test_fold_sizes():
 
 
 @pytest.mark.parametrize("as_text", [False, True])
-@pytest.mark.parametrize("shares", [[0.7, 0.3], [0.2, 0.5, 0.3], [0.98, 0.02]])
+@pytest.mark.parametrize("shares", [[0.7, 0.3], [0.2, 0.5, 0.3], [0.98, 0.02], [1 / 40] * 40])
 def test_folds_follow_the_rule(spark, as_text, shares):
     rng = np.random.default_rng(len(shares))
     n = 700
@@ -59,7 +59,7 @@ def test_folds_refuse_bad_keys(spark):
     with pytest.raises(KeyColumnError):
         stratified_folds(spark.range(10).selectExpr("nullif(id, 3) as k", "0 as y"), "y", "k")
     with pytest.raises(CardinalityError):
-        stratified_folds(spark.range(100).selectExpr("id as k", "id as y"), "y", "k")
+        stratified_folds(spark.range(100).selectExpr("id as k", "id as y"), "y", "k", max_classes=99)
 
 
 def test_assigning_folds_needs_no_shuffle(spark):

@@ -83,6 +83,13 @@ def test_describe(train):
     assert got == expected
 
 
+def test_wide_tables_go_in_groups(spark, monkeypatch):
+    monkeypatch.setattr("tabprep.operators.ranks._COLUMNS_PER_SCAN", 3)
+    df = spark.range(11).selectExpr(*[f"id * {i} as c{i}" for i in range(8)])
+    got = {r["column"]: (r["p50"], r["max"], r["mean"]) for r in describe(df).collect()}
+    assert got == {f"c{i}": (5.0 * i, 10.0 * i, 5.0 * i) for i in range(8)}
+
+
 def test_summary_has_every_column(train):
     got = {r["column"]: (r["count"], r["n_missing"]) for r in summary(train).collect()}
     assert got["Age"] == (6, 2) and got["Embarked"] == (None, 1) and got["Sex"] == (None, 0)
