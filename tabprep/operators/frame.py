@@ -64,9 +64,9 @@ class LabelledTable:
         return LabelledTable(self.frame.withColumn(self.label, label), self.label)
 
     def with_label_from(self, other: DataFrame, key: str) -> "LabelledTable":
-        """Replace the label by the one another table holds under the same key."""
+        """Replace the label by the one another table holds under the same key, NULL if none."""
         columns = self.frame.columns
-        joined = self.features.join(select_columns(other, [key, self.label]), key, "inner")
+        joined = self.features.join(select_columns(other, [key, self.label]), key, "left")
         return LabelledTable(select_columns(joined, columns), self.label)
 
     def row_count(self) -> DataFrame:

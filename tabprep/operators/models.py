@@ -48,11 +48,15 @@ class LinearClassifier:
         return cls(tuple(features), tuple(float(c) for c in point[:-1]), float(point[-1]), scaler)
 
     def margin(self) -> Column:
-        total = F.lit(self.intercept)
+        terms = [F.lit(self.intercept)]
         for name, weight in zip(self.features, self.coefficients):
             value = self.scaler.scaled(name) if self.scaler else quoted(name).cast("double")
-            total = total + F.lit(weight) * value
-        return total
+            terms.append(F.lit(weight) * value)
+        # Added in pairs, so that many features do not nest as deeply as they are many.
+        while len(terms) > 1:
+            pairs = [a + b for a, b in zip(terms[::2], terms[1::2])]
+            terms = pairs + terms[len(pairs) * 2 :]
+        return terms[0]
 
     def transform(self, df: DataFrame) -> DataFrame:
         """Add ``probability`` (array, one entry per class) and ``prediction``."""

@@ -159,6 +159,8 @@ def _to_blocks(batches):
             matrix = np.column_stack([c.to_numpy(zero_copy_only=False) for c in batch.columns]).astype("f8")
             if np.isnan(matrix).any():
                 raise ValueError("features, label and weight must not be missing")
+            if not np.isin(matrix[:, -3], (0.0, 1.0)).all():
+                raise ValueError("labels must be 0 or 1")
             for start in range(0, len(matrix), 4096):
                 part = np.ascontiguousarray(matrix[start : start + 4096])
                 yield pa.record_batch([pa.array([part.tobytes()], pa.binary())], ["block"])

@@ -1,5 +1,7 @@
 """Profiling: value counts, missing counts, numeric summaries."""
 
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -90,13 +92,36 @@ def summary(df: DataFrame, columns=None, sketch_k: int = 1000, finish_rows: int
     return _describe(df, columns, sketch_k, finish_rows, with_missing=True)
 
 
-def profile(df: DataFrame, order_by, columns=None, max_rows: int = 1000, max_columns: int = 100) -> dict[str, DataFrame]:
-    """Everything there is to see about a table: data, statistics, mask, missing, values."""
-    table = df if columns is None else select_columns(df, columns)
-    return {
-        "data": preview(table, order_by, max_rows, max_columns),
-        "statistics": describe(table),
-        "is_missing": missing_mask(table),
-        "missing": missing_counts(table),
-        "values": value_counts_all(table),
-    }
+@dataclass(frozen=True)
+class Profile:
+    """Everything there is to see about a table; each part is worked out when asked for."""
+
+    table: DataFrame
+    order_by: str | list[str]
+    max_rows: int = 1000
+    max_columns: int = 100
+
+    @property
+    def data(self) -> DataFrame:
+        return preview(self.table, self.order_by, self.max_rows, self.max_columns)
+
+    @property
+    def statistics(self) -> DataFrame:
+        return describe(self.table)
+
+    @property
+    def is_missing(self) -> DataFrame:
+        return missing_mask(self.table)
+
+    @property
+    def missing(self) -> DataFrame:
+        return missing_counts(self.table)
+
+    @property
+    def values(self) -> DataFrame:
+        return value_counts_all(self.table)
+
+
+def profile(df: DataFrame, order_by, columns=None, max_rows: int = 1000, max_columns: int = 100) -> Profile:
+    """Profile a table or some columns of it."""
+    return Profile(df if columns is None else select_columns(df, columns), order_by, max_rows, max_columns)

@@ -21,7 +21,7 @@ from tabprep.operators.models import (
     with_threshold,
 )
 from tabprep.operators.prepare import fit_column_transformer, prepare_pair
-from tabprep.operators.profile import profile
+from tabprep.operators.profile import Profile, profile
 from tabprep.operators.scoring import submission
 from tabprep.operators.tune import GridResult, grid_search
 
@@ -37,7 +37,7 @@ class Outcome:
     search: GridResult | None = None
 
 
-def analyze(tables: dict[str, DataFrame], key: str) -> dict[str, dict[str, DataFrame]]:
+def analyze(tables: dict[str, DataFrame], key: str) -> dict[str, Profile]:
     """Profile each table: preview, statistics, missing values, value counts."""
     return {name: profile(table, key) for name, table in tables.items()}
 

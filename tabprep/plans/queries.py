@@ -344,7 +344,7 @@ def table_summary(spark, folder):
 @query
 def profile_values(spark, folder):
     table = labelled_documents(spark, folder)
-    return profile(table, "doc_id", ["doc_id", "lang", "source", "quality", "toxic"])["values"]
+    return profile(table, "doc_id", ["doc_id", "lang", "source", "quality", "toxic"]).values
 
 
 @query

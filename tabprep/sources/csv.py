@@ -2,7 +2,7 @@
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -44,8 +44,8 @@ def scan_csv(
 ) -> DataFrame:
     """Read CSV files with a header.
 
-    With a schema nothing is read ahead, and a cell that does not fit its type
-    raises. Without one, a single aggregate over the file decides between bigint,
+    With a schema nothing is read ahead, and a cell that does not fit its type or a
+    row with too few or too many cells raises. Without one, a single aggregate over the file decides between bigint,
     double and string per column. Quotes inside quoted cells are doubled.
     ``multi_line`` allows line breaks inside quoted cells, at the price of files that
     cannot be split.
@@ -67,7 +67,17 @@ def scan_csv(
         text = reader.csv(path)
         types = _guess_types(text)
     cells = _without_tokens(text)
-    return cells.select(*[quoted(n).cast(types[n]).alias(n) for n in cells.columns])
+    return cells.select(*[_parsed(n, types[n]).alias(n) for n in cells.columns])
+
+
+def _parsed(name: str, data_type: T.DataType) -> Column:
+    """The cell as its type; one that does not fit raises, in every ANSI mode."""
+    cell = quoted(name)
+    if isinstance(data_type, T.StringType):
+        return cell
+    value = cell.try_cast(data_type)
+    wrong = F.raise_error(F.concat(F.lit(f"column {name} holds no {data_type.simpleString()}: "), cell))
+    return F.when(cell.isNull() | value.isNotNull(), value).otherwise(wrong.cast(data_type))
 
 
 def _without_tokens(text: DataFrame) -> DataFrame:

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from tabprep.operators.folds import stratified_folds
 from tabprep.operators.models import (
+    LinearClassifier,
     class_probabilities,
     fit_boosting,
     fit_forest,
@@ -81,6 +82,15 @@ def test_missing_features_raise(spark):
     df = spark.createDataFrame([(1.0, 0), (None, 1), (2.0, 1)], "a double, y int")
     with pytest.raises(Exception, match="must not be missing"):
         fit_logistic(df, ["a"], "y")
+    with pytest.raises(Exception, match="labels must be 0 or 1"):
+        fit_logistic(df.where("a > 0").withColumn("y", F.lit(2)), ["a"], "y")
+
+
+def test_scoring_with_many_features(spark):
+    names = [f"f{i}" for i in range(700)]
+    model = LinearClassifier(tuple(names), tuple(0.01 for _ in names), -3.5)
+    df = spark.range(2).select("id", *[F.col("id").cast("double").alias(n) for n in names])
+    assert [r["prediction"] for r in model.transform(df).orderBy("id").collect()] == [0.0, 1.0]
 
 
 def test_both_grid_solvers_agree_with_brute_force(noisy):

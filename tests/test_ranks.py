@@ -109,7 +109,9 @@ def test_counts(train):
 
 def test_profile(train):
     found = profile(train, "PassengerId", ["PassengerId", "Age", "Sex"], max_rows=3, max_columns=2)
-    assert rows(found["data"]) == [(1, 22.0), (2, 38.0), (3, None)]
-    assert found["is_missing"].columns == ["PassengerId", "Age", "Sex"]
-    assert rows(found["is_missing"].agg(F.count_if("Age"))) == [(2,)]
-    assert rows(found["missing"].where("n_missing > 0")) == [("Age", 2)]
+    assert rows(found.data) == [(1, 22.0), (2, 38.0), (3, None)]
+    assert found.is_missing.columns == ["PassengerId", "Age", "Sex"]
+    assert rows(found.is_missing.agg(F.count_if("Age"))) == [(2,)]
+    assert {r["column"] for r in found.statistics.collect()} == {"PassengerId", "Age"}
+    assert found.values.count() == 8 + 6 + 2
+    assert rows(found.missing.where("n_missing > 0")) == [("Age", 2)]
