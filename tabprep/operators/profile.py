@@ -60,10 +60,12 @@ def _describe(df, columns, sketch_k, finish_rows, with_missing):
     values = {n: nan_to_null(quoted(n), df.schema[n].dataType).cast("double") for n in names}
     every = list(df.columns if columns is None else columns) if with_missing else names
 
-    def moments(columns):
-        return [f(c) for c in columns for f in (F.mean, F.stddev_samp, F.min, F.max)]
+    def moments(column):
+        return [F.mean(column), F.stddev_samp(column), F.min(column), F.max(column)]
 
-    quartiles, counts, found = exact_quantiles(df, values, QUARTILES, moments, sketch_k, finish_rows) if names else ({}, {}, [])
+    quartiles, counts, found = (
+        exact_quantiles(df, values, QUARTILES, moments, sketch_k, finish_rows) if names else ({}, {}, {})
+    )
     lacking = {}
     if with_missing:
         others = [n for n in every if n not in counts]
@@ -75,8 +77,7 @@ def _describe(df, columns, sketch_k, finish_rows, with_missing):
     for name in every:
         row = (name,)
         if name in quartiles:
-            i = 4 * names.index(name)
-            mean, std, low, high = found[i : i + 4]
+            mean, std, low, high = found[name]
             row += (counts[name], mean, std, low, *quartiles[name], high)
         else:
             row += (None,) * 8

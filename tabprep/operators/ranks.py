@@ -23,6 +23,7 @@ _GRID = 400
 _MARGIN = 0.004
 _MERGE_GROUPS = 64
 _COLUMNS_PER_SCAN = 20
+_AGGREGATES_PER_SCAN = 64
 
 
 @dataclass(frozen=True)
@@ -76,16 +77,16 @@ def exact_ranks(
     df: DataFrame,
     probes: Sequence[RankProbe],
     kind: str = "double",
-    extra: Callable[[list[Column]], Sequence[Column]] | None = None,
+    extra: Callable[[Column], Sequence[Column]] | None = None,
     sketch_k: int = 1000,
     finish_rows: int = 1_000_000,
-) -> tuple[list[dict[int, RankHit]], list[int], list]:
+) -> tuple[list[dict[int, RankHit]], list[int], list[list]]:
     """Exact values at ranks, for all probes together.
 
-    Returns per probe a dict rank → hit, per probe the number of values, and the
-    results of ``extra``: it gets the probes' values and returns aggregates, which
-    ride on the first counting scan. ``df`` is scanned a few times and must give the
-    same rows each time.
+    Returns per probe a dict rank → hit, the number of values, and the results of
+    ``extra``: it gets a probe's values and returns aggregates, which ride on the
+    first counting scan. ``df`` is scanned a few times and must give the same rows
+    each time.
     """
     # Computed once per row as columns of their own; the many tests then stay small.
     names = [f"__v{i}" for i in range(len(probes))]
@@ -96,7 +97,7 @@ def exact_ranks(
     if not extra and None not in known and sum(known) <= finish_rows:
         wanted = [tuple(sorted({r for g in p.ranks(p.size) for r in g})) for p in probes]
         _finish(df, values, [_Span(i, r, None, None, 0, n) for i, (r, n) in enumerate(zip(wanted, known)) if r], hits)
-        return hits, known, []
+        return hits, known, [[] for _ in probes]
     everything = [_Span(i, (), None, None, 0, 0) for i in range(len(probes))]
     sketches = _sketch(df, values, everything, kind, sketch_k)
     totals = [n for n, _ in sketches]
@@ -105,12 +106,12 @@ def exact_ranks(
         for group in probes[i].ranks(n) if n else ():
             span = _Span(i, tuple(sorted(set(group))), None, None, 0, n)
             guesses.append((span, *_guess(span, grid)))
-    aggregates = list(extra(values)) if extra else []
-    extra_values: list = []
-    while guesses or aggregates:
-        counts, found_extra = _count(df, values, guesses, aggregates)
-        extra_values = extra_values or found_extra
-        aggregates = []
+    aggregates = [list(extra(v)) if extra else [] for v in values]
+    extras: list[list] = []
+    while guesses or any(aggregates):
+        counts, found = _count(df, values, guesses, aggregates)
+        extras = extras or found
+        aggregates = [[] for _ in values]
         spans = []
         for (span, low, high), zone in zip(guesses, counts):
             spans += _narrow(span, low, high, zone, hits[span.probe])
@@ -119,7 +120,7 @@ def exact_ranks(
             break
         sketches = _sketch(df, values, spans, kind, sketch_k)
         guesses = [(s, *_guess(s, grid)) for s, (_, grid) in zip(spans, sketches)]
-    return hits, totals, extra_values
+    return hits, totals, extras
 
 
 def _sketch(df, values, spans, kind, sketch_k) -> list[tuple[int, list]]:
@@ -156,16 +157,36 @@ def _guess(span: _Span, grid) -> tuple[Any, Any]:
 
 
 def _count(df, values, guesses, extra):
-    """Rows of each span below, at, between and at the guessed values, in one scan."""
-    columns = []
+    """Rows of each span below, at, between and at the guessed values; and the extras.
+
+    Few aggregates at a time keep the generated code small enough to be compiled.
+    Each scan reads the columns of its own probes, so together they read each once.
+    """
+    wanted: list[list[Column]] = [[] for _ in values]
     for span, low, high in guesses:
         value = values[span.probe]
         at_high = value == F.lit(high) if high > low else F.lit(False)
         tests = [span.inside(value, high=low), value == F.lit(low), span.inside(value, low, high), at_high]
-        columns += [F.count(F.when(t, 1)) for t in tests]
-    row = list(df.agg(*[c.alias(f"c{i}") for i, c in enumerate([*columns, *extra])]).first())
-    zones = [row[4 * i : 4 * i + 4] for i in range(len(guesses))]
-    return zones, row[len(columns) :]
+        wanted[span.probe] += [F.count(F.when(t, 1)) for t in tests]
+    results: list[list] = [[] for _ in values]
+    scan: list[int] = []
+    for i in range(len(values)):
+        scan.append(i)
+        planned = sum(len(wanted[j]) + len(extra[j]) for j in scan)
+        following = len(wanted[i + 1]) + len(extra[i + 1]) if i + 1 < len(values) else _AGGREGATES_PER_SCAN
+        if planned + following > _AGGREGATES_PER_SCAN:
+            columns = [c for j in scan for c in (*wanted[j], *extra[j])]
+            row = list(df.agg(*[c.alias(f"c{k}") for k, c in enumerate(columns)]).first()) if columns else []
+            for j in scan:
+                size = len(wanted[j]) + len(extra[j])
+                results[j], row = row[:size], row[size:]
+            scan = []
+    zones, taken = [], [0] * len(values)
+    for span, _, _ in guesses:
+        at = taken[span.probe]
+        zones.append(results[span.probe][at : at + 4])
+        taken[span.probe] += 4
+    return zones, [r[len(w) :] for r, w in zip(results, wanted)]
 
 
 def _narrow(span: _Span, low, high, zone, hits) -> list[_Span]:
@@ -227,23 +248,23 @@ def exact_quantiles(
     df: DataFrame,
     columns: dict[str, Column],
     probabilities: Sequence[float],
-    extra: Callable[[list[Column]], Sequence[Column]] | None = None,
+    extra: Callable[[Column], Sequence[Column]] | None = None,
     sketch_k: int = 1000,
     finish_rows: int = 1_000_000,
-) -> tuple[dict[str, list[float | None]], dict[str, int], list]:
+) -> tuple[dict[str, list[float | None]], dict[str, int], dict[str, list]]:
     """Quantiles by linear interpolation between the two nearest values.
 
     Returns name → quantiles (None for a column without values), name → number of
-    values, and the results of ``extra``, which is asked once per group of columns.
+    values, and name → results of ``extra`` aggregates.
     """
     names = list(columns)
     if len(names) > _COLUMNS_PER_SCAN:
         # Wide tables go group by group: a columnar scan reads each column once anyway.
-        quantiles, counts, extras = {}, {}, []
+        quantiles, counts, extras = {}, {}, {}
         for start in range(0, len(names), _COLUMNS_PER_SCAN):
             group = {n: columns[n] for n in names[start : start + _COLUMNS_PER_SCAN]}
             q, c, e = exact_quantiles(df, group, probabilities, extra, sketch_k, finish_rows)
-            quantiles, counts, extras = quantiles | q, counts | c, extras + e
+            quantiles, counts, extras = quantiles | q, counts | c, extras | e
         return quantiles, counts, extras
 
     def around(n: int) -> list[tuple[int, int]]:
@@ -261,4 +282,4 @@ def exact_quantiles(
         for p, (low, high) in zip(probabilities, around(n)):
             a, b = found[low].value, found[high].value
             quantiles[name].append(a + (b - a) * ((n - 1) * p - low))
-    return quantiles, dict(zip(columns, totals)), extras
+    return quantiles, dict(zip(names, totals)), dict(zip(names, extras))

@@ -7,14 +7,16 @@ _SMALL = 256
 
 
 def use_all_cores(df: DataFrame) -> DataFrame:
-    """Spread a small table that keeps half of the cores idle, or more.
+    """Spread a small persisted table that keeps half of the cores idle, or more.
 
     A few partitions hold little data, so moving them costs next to nothing, and the
     many passes of an iterative fit then run on every core. Other tables are left as
-    they are.
+    they are; those not persisted too, since counting their partitions may run their
+    shuffles.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    if cores < 2:
+    kept = df.storageLevel.useMemory or df.storageLevel.useDisk
+    if cores < 2 or not kept:
         return df
     partitions = df.rdd.getNumPartitions()
     return df.repartition(cores) if partitions <= min(cores // 2, _SMALL) else df
