@@ -134,7 +134,8 @@ def _sketch(df, values, spans, kind, sketch_k) -> list[tuple[int, list]]:
     columns = [F.when(s.inside(values[s.probe]), values[s.probe]).alias(n) for s, n in zip(spans, names)]
     grid = F.split(F.lit(",".join(str(i / _GRID) for i in range(_GRID + 1))), ",").cast("array<double>")
     parts = (
-        df.select(*columns, F.pmod(F.spark_partition_id(), F.lit(_MERGE_GROUPS)).alias("merge_group"))
+        _inside_any(df, values, spans)
+        .select(*columns, F.pmod(F.spark_partition_id(), F.lit(_MERGE_GROUPS)).alias("merge_group"))
         .groupBy("merge_group")
         .agg(*[build(n, F.lit(sketch_k)).alias(n) for n in names])
     )
@@ -148,12 +149,20 @@ def _sketch(df, values, spans, kind, sketch_k) -> list[tuple[int, list]]:
     return [(row[n]["n"] or 0, row[n]["grid"]) for n in names]
 
 
+def _inside_any(df: DataFrame, values, spans) -> DataFrame:
+    """The rows inside at least one span; the bounds reach the scan as filters."""
+    if any(s.low is None and s.high is None for s in spans):
+        return df
+    test = F.lit(False)
+    for span in spans:
+        test = test | span.inside(values[span.probe])
+    return df.where(test)
+
+
 def _guess(span: _Span, grid) -> tuple[Any, Any]:
     first = (span.ranks[0] - span.below) / span.size - _MARGIN
     last = (span.ranks[-1] - span.below + 1) / span.size + _MARGIN
-    low = min(max(int(first * _GRID), 0), _GRID)
-    high = max(min(int(last * _GRID) + 1, _GRID), 0)
-    return grid[low], grid[high]
+    return grid[max(int(first * _GRID), 0)], grid[min(int(last * _GRID) + 1, _GRID)]
 
 
 def _count(df, values, guesses, extra):
@@ -176,7 +185,8 @@ def _count(df, values, guesses, extra):
         following = len(wanted[i + 1]) + len(extra[i + 1]) if i + 1 < len(values) else _AGGREGATES_PER_SCAN
         if planned + following > _AGGREGATES_PER_SCAN:
             columns = [c for j in scan for c in (*wanted[j], *extra[j])]
-            row = list(df.agg(*[c.alias(f"c{k}") for k, c in enumerate(columns)]).first()) if columns else []
+            rows = df if any(extra) else _inside_any(df, values, [g[0] for g in guesses if g[0].probe in scan])
+            row = list(rows.agg(*[c.alias(f"c{k}") for k, c in enumerate(columns)]).first()) if columns else []
             for j in scan:
                 size = len(wanted[j]) + len(extra[j])
                 results[j], row = row[:size], row[size:]
@@ -193,7 +203,6 @@ def _narrow(span: _Span, low, high, zone, hits) -> list[_Span]:
     """Take the ranks that fell on a guessed value, keep smaller spans for the others."""
     under, at_low, between, at_high = zone
     left: dict[tuple, list[int]] = {}
-    bounds = {}
     for rank in span.ranks:
         local = rank - span.below
         if local < under:
@@ -210,7 +219,6 @@ def _narrow(span: _Span, low, high, zone, hits) -> list[_Span]:
             passed = under + at_low + between + at_high
             part = (high, span.high, span.below + passed, span.size - passed)
         left.setdefault(part, []).append(rank)
-        bounds[part] = part
     return [_Span(span.probe, tuple(ranks), *part) for part, ranks in left.items()]
 
 
@@ -218,14 +226,11 @@ def _finish(df, values, spans, hits) -> None:
     """Read the remaining ranks off value counts; the spans hold few rows by count."""
     if not spans:
         return
-    any_inside = F.lit(False)
     pairs = []
     for i, span in enumerate(spans):
-        inside = span.inside(values[span.probe])
-        any_inside = any_inside | inside
-        pairs.append(F.when(inside, F.struct(F.lit(i).alias("span"), values[span.probe].alias("value"))))
+        pairs.append(F.when(span.inside(values[span.probe]), F.struct(F.lit(i).alias("span"), values[span.probe].alias("value"))))
     counted = (
-        df.where(any_inside)
+        _inside_any(df, values, spans)
         .select(F.explode(F.array_compact(F.array(*pairs))).alias("pair"))
         .groupBy("pair.span", "pair.value")
         .agg(F.count(F.lit(1)).alias("n"))
