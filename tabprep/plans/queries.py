@@ -53,7 +53,7 @@ from tabprep.plans.lifecycles import (
     probabilities,
     tune_and_predict,
 )
-from tabprep.sources import scan_csv, scan_labelled, scan_table, write_csv, write_submission
+from tabprep.sources import LOGISTIC_TAG, scan_csv, scan_labelled, scan_table, write_csv, write_submission
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -172,7 +172,7 @@ def csv_missing(spark, folder):
 def submission_csv(spark, folder):
     table = submission(priced_orders(spark, folder), "o_orderkey", "large")
     moment = dt.datetime(2024, 1, 31, 20, 0, tzinfo=dt.timezone.utc)
-    path = write_submission(table, "logreg", moment, root=new_folder(spark, "output"))
+    path = write_submission(table, LOGISTIC_TAG, moment, root=new_folder(spark, "output"))
     return scan_csv(spark, path, table.schema)
 
 

@@ -1,4 +1,23 @@
-from tabprep.sources.csv import scan_csv, scan_labelled, submission_path, write_csv, write_submission
+from tabprep.sources.csv import (
+    FOREST_TAG,
+    LOGISTIC_TAG,
+    NETWORK_TAG,
+    scan_csv,
+    scan_labelled,
+    submission_path,
+    write_csv,
+    write_submission,
+)
 from tabprep.sources.tables import scan_table
 
-__all__ = ["scan_csv", "scan_labelled", "scan_table", "submission_path", "write_csv", "write_submission"]
+__all__ = [
+    "FOREST_TAG",
+    "LOGISTIC_TAG",
+    "NETWORK_TAG",
+    "scan_csv",
+    "scan_labelled",
+    "scan_table",
+    "submission_path",
+    "write_csv",
+    "write_submission",
+]
