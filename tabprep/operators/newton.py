@@ -26,8 +26,11 @@ from tabprep.parallel import use_all_cores
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 # Most numbers the sums of all fits may take in one task and on the driver.
-SUMS_LIMIT = 4_000_000
+SUMS_LIMIT = 1_000_000
 ALL_ROWS = -1
+_BLOCK_ROWS = 4096
+# Feature pairs up to which a block's products are formed side by side (32 MB at most).
+_PAIRS_AT_ONCE = 1000
 
 
 @dataclass
@@ -76,7 +79,9 @@ class RowBlocks:
         if spread is not blocks:
             blocks = spread.persist(StorageLevel.MEMORY_AND_DISK)
             self._kept.append(blocks)
-        self.blocks = blocks
+        # A pass sends one set of sums per task, so tasks are kept to what the cores need.
+        tasks = 2 * df.sparkSession.sparkContext.defaultParallelism
+        self.blocks = blocks.coalesce(tasks) if blocks.rdd.getNumPartitions() > tasks else blocks
 
     def __enter__(self) -> "RowBlocks":
         return self
@@ -120,7 +125,7 @@ class RowBlocks:
                 loss = np.maximum(margin, 0.0) + np.log1p(small) - y[:, None] * margin
                 total[:, 0] += np.einsum("ij,ij->j", used, loss)
                 total[:, 1 : x.shape[1] + 1] += (used * (p - y[:, None])).T @ x
-                total[:, x.shape[1] + 1 :] += (used * p * (1.0 - p)).T @ (x[:, upper[0]] * x[:, upper[1]])
+                total[:, x.shape[1] + 1 :] += _curvatures(x, used * p * (1.0 - p), upper)
             yield pa.record_batch(
                 [pa.array(range(len(folds)), pa.int64()), pa.array(list(total), pa.list_(pa.float64()))], ["fit", "sums"]
             )
@@ -161,8 +166,8 @@ def _to_blocks(batches):
                 raise ValueError("features, label and weight must not be missing")
             if not np.isin(matrix[:, -3], (0.0, 1.0)).all():
                 raise ValueError("labels must be 0 or 1")
-            for start in range(0, len(matrix), 4096):
-                part = np.ascontiguousarray(matrix[start : start + 4096])
+            for start in range(0, len(matrix), _BLOCK_ROWS):
+                part = np.ascontiguousarray(matrix[start : start + _BLOCK_ROWS])
                 yield pa.record_batch([pa.array([part.tobytes()], pa.binary())], ["block"])
 
 
@@ -176,6 +181,13 @@ def _open_blocks(batches, low, width):
             yield x, matrix[:, d], matrix[:, d + 1], matrix[:, d + 2]
 
 
+def _curvatures(x, weights, upper):
+    """Weighted sums of x xᵀ, one row of upper-triangle entries per column of weights."""
+    if len(upper[0]) <= _PAIRS_AT_ONCE:
+        return weights.T @ (x[:, upper[0]] * x[:, upper[1]])
+    return np.array([(x.T @ (x * w[:, None]))[upper] for w in weights.T])
+
+
 def _step(f: Fit, sums: np.ndarray, upper, tol: float) -> None:
     """Accept the trial point if the penalised loss fell, else halve the step."""
     d = len(f.low)

@@ -78,6 +78,17 @@ def test_unscaled_logistic(noisy):
     np.testing.assert_allclose([*model.coefficients, model.intercept], expected, rtol=1e-6)
 
 
+def test_many_features(spark):
+    rng = np.random.default_rng(9)
+    x = rng.normal(size=(500, 60))
+    y = (x[:, :3].sum(axis=1) + rng.logistic(size=500) > 0).astype(int)
+    names = [f"f{i}" for i in range(60)]
+    df = spark.createDataFrame([(*map(float, r), int(v)) for r, v in zip(x, y)], [*names, "y"]).repartition(40)
+    model = fit_logistic(df, names, "y", C=0.5, solver="newton")
+    expected = newton(x, y, np.ones(500), 0.5)
+    np.testing.assert_allclose([*model.coefficients, model.intercept], expected, rtol=1e-5, atol=1e-7)
+
+
 def test_missing_features_raise(spark):
     df = spark.createDataFrame([(1.0, 0), (None, 1), (2.0, 1)], "a double, y int")
     with pytest.raises(Exception, match="must not be missing"):
