@@ -8,11 +8,12 @@ import pytest
 from conftest import TESTDATA
 
 import __spark_entry__ as contract
+from tabprep.plans.oracle import ORACLE
+from tabprep.plans.queries import QUERIES
 
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations"
 ).split()
-QUERIES, ORACLE = contract.queries(), contract.oracle_sql()
 DUCK_TYPES = {
     "BIGINT": "bigint",
     "INTEGER": "int",
