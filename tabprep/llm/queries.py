@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tabprep.llm.decontaminate import overlaps
+from tabprep.llm.fingerprints import neighbour_likeness
 from tabprep.llm.shared import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -31,3 +32,8 @@ def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("n_hit") > 0).alias("contaminated"),
         "longest",
     )
+
+
+@query
+def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbour_likeness(read_table(spark, sf_dir, "documents"))
