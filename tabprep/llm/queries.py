@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tabprep.llm.decontaminate import overlaps
 from tabprep.llm.fingerprints import neighbour_likeness
+from tabprep.llm.packing import pack
 from tabprep.llm.shared import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -37,3 +38,8 @@ def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbour_likeness(read_table(spark, sf_dir, "documents"))
+
+
+@query
+def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(read_table(spark, sf_dir, "documents"))
