@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 from tabprep.llm.decontaminate import overlaps
 from tabprep.llm.fingerprints import neighbour_likeness
 from tabprep.llm.packing import pack
-from tabprep.llm.shared import read_table
+from tabprep.llm.shared import read_table, temporary_folder
+from tabprep.llm.token_file import read_token_file, write_token_file
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -43,3 +44,9 @@ def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(read_table(spark, sf_dir, "documents"))
+
+
+@query
+def op7_token_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = write_token_file(read_table(spark, sf_dir, "documents"), temporary_folder(spark, "token-file"))
+    return read_token_file(spark, folder)

@@ -24,17 +24,25 @@ def delete_folder(spark: SparkSession, folder: str) -> None:
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
+def temporary_folder(spark: SparkSession, name: str) -> str:
+    """A new path below ``spark.checkpoint.dir``; what is written there goes when the session ends."""
+    folder = new_folder(spark, name)
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    files.mkdirs(path)
+    files.deleteOnExit(path)
+    return folder
+
+
+def stored(df: DataFrame, name: str, compression: str = "snappy") -> DataFrame:
     """``df`` written as Parquet below ``spark.checkpoint.dir`` and read back.
 
-    This cuts the lineage: a lost executor costs no more than rereading. The folder goes
-    when the session ends (``forget`` deletes it sooner).
+    This cuts the lineage: a lost executor costs no more than rereading. ``forget`` deletes the
+    table, else the end of the session does.
     """
     spark = df.sparkSession
-    folder = new_folder(spark, name)
-    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-    path.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(path)
-    df.write.parquet(folder)
+    folder = temporary_folder(spark, name)
+    df.write.mode("overwrite").option("compression", compression).parquet(folder)
     back = spark.read.schema(df.schema).parquet(folder)
     back._stored_at = folder
     return back
