@@ -11,6 +11,7 @@ from tabprep.llm.decontaminate import overlaps
 from tabprep.llm.fingerprints import neighbour_likeness
 from tabprep.llm.packing import pack
 from tabprep.llm.shared import read_table, temporary_folder
+from tabprep.llm.simhash import near_duplicates
 from tabprep.llm.token_file import read_token_file, write_token_file
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -50,3 +51,9 @@ def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_token_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = write_token_file(read_table(spark, sf_dir, "documents"), temporary_folder(spark, "token-file"))
     return read_token_file(spark, folder)
+
+
+@query
+def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = near_duplicates(read_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id")
