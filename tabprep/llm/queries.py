@@ -11,6 +11,7 @@ from tabprep.llm.decontaminate import overlaps
 from tabprep.llm.fingerprints import neighbour_likeness
 from tabprep.llm.packing import pack
 from tabprep.llm.shared import read_table, temporary_folder
+from tabprep.llm.sharding import shard_by_bytes
 from tabprep.llm.simhash import near_duplicates
 from tabprep.llm.token_file import read_token_file, write_token_file
 
@@ -57,3 +58,9 @@ def op7_token_file(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = near_duplicates(read_table(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+@query
+def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    placed = shard_by_bytes(read_table(spark, sf_dir, "documents"), 40)
+    return placed.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))

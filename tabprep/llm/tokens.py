@@ -24,8 +24,8 @@ _WORD = re.compile(r"[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u02af]+")
 _SPACES = re.compile(r"\s ")
 _BEFORE_SPACE = re.compile(r"(?<=\S)(?= )")
 #: Segments a worker remembers; beyond that it keeps those of its latest batch.
-REMEMBERED = 400_000
-_JOINED = 500
+REMEMBERED = 700_000
+_JOINED = 2000
 
 
 def _byte_letters() -> dict[int, str]:
@@ -58,8 +58,8 @@ class Encoder:
             self.words.encode_special_tokens = True
             self.words.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
             self.letters = _byte_letters()
-            self.stop = self.letters[10]
-            self.stop_id = self.words.encode(self.stop, add_special_tokens=False).ids[0]
+            self.opens = np.zeros(self.vocabulary, bool)
+            self.opens[[i for w, i in self.words.get_vocab().items() if w[0] == self.letters[32]]] = True
             self.remembered = remembered
             self._forget()
 
@@ -138,17 +138,19 @@ class Encoder:
     def _learn(self, keys: list[str | tuple[str]]) -> None:
         """Encode segments: cut them into pre-tokens, and give each distinct pre-token to the model."""
         known: dict[str, int] = {}
-        parts: list[int] = []
-        sizes = np.zeros(len(keys), np.int64)
+        parts: list[int] = []  # of ``known``, or -1 less the place of a segment
+        sizes = np.ones(len(keys), np.int64)
+        place, word = self.place.get, _WORD.fullmatch
         for n, key in enumerate(keys):
             if isinstance(key, tuple):
                 words = _PRE_TOKENS.findall(key[0])
-            elif _WORD.fullmatch(key):
+            elif word(key):
                 parts.append(known.setdefault(" " + key, len(known)))
-                sizes[n] = 1
                 continue
-            elif _WORD.fullmatch(key, 0, len(key) - 1) and key[-1] in ".,":
-                parts += known.setdefault(" " + key[:-1], len(known)), known.setdefault(key[-1], len(known))
+            elif word(key, 0, len(key) - 1) and key[-1] in ".,":
+                own = place(key[:-1])
+                parts.append(known.setdefault(" " + key[:-1], len(known)) if own is None else -1 - own)
+                parts.append(known.setdefault(key[-1], len(known)))
                 sizes[n] = 2
                 continue
             else:
@@ -156,41 +158,51 @@ class Encoder:
             parts += [known.setdefault(w, len(known)) for w in words]
             sizes[n] = len(words)
         flat, counts = self._model(list(known))
-        starts = np.cumsum(counts) - counts
+        starts = self.used + np.cumsum(counts) - counts
         part = np.array(parts, np.int64)
-        of_part = counts[part]
+        held = part < 0
+        if len(counts):
+            begin, of_part = starts[np.maximum(part, 0)], counts[np.maximum(part, 0)]
+        else:
+            begin, of_part = np.zeros(len(part), np.int64), np.zeros(len(part), np.int64)
+        begin[held], of_part[held] = self.starts[-1 - part[held]], self.counts[-1 - part[held]]
+        flat = np.concatenate([self.flat[: self.used], flat])
         ends = np.cumsum(of_part)
         total = int(ends[-1]) if len(ends) else 0
-        ids = flat[np.arange(total) + np.repeat(starts[part] - (ends - of_part), of_part)]
+        ids = flat[np.arange(total) + np.repeat(begin - (ends - of_part), of_part)]
         reached = np.concatenate([[0], ends])
         last = np.cumsum(sizes)
         self._add(keys, ids, reached[last] - reached[last - sizes])
 
     def _model(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of pre-tokens, and how many each has.
+
+        Most begin with the letter of a space and have it nowhere else, so where they stand in a row,
+        an id whose string begins with that letter begins the next one.
+        """
         spelt = [w if w.isascii() and w.isalnum() else w.encode().decode("latin-1").translate(self.letters) for w in words]
-        out: list[np.ndarray] = []
-        counts: list[np.ndarray] = []
-        between = f" {self.stop} "
-        for i in range(0, len(spelt), _JOINED):
-            some = spelt[i : i + _JOINED]
-            odd = [n for n, w in enumerate(some) if self.stop in w]
-            for n in odd:  # white space with the letter that separates the others
-                some[n] = ""
-            joined = between.join(["", *some, ""])
-            ids = np.array(self.words.encode_batch_fast([joined], add_special_tokens=False)[0].ids, np.int32)
-            stops = np.flatnonzero(ids == self.stop_id)
-            lengths = np.diff(stops) - 1
-            if len(lengths) != len(some):
-                raise ValueError("the tokenizer doesn't keep words apart")
-            kept = ids[ids != self.stop_id]
-            if odd:
-                many = np.split(kept, np.cumsum(lengths)[:-1])
-                for n in odd:
-                    many[n] = np.array(self.words.encode(spelt[i + n], add_special_tokens=False).ids, np.int32)
-                kept, lengths = np.concatenate(many), np.array([len(m) for m in many])
-            out.append(kept)
-            counts.append(lengths)
-        return (np.concatenate(out), np.concatenate(counts)) if out else (np.zeros(0, np.int32), np.zeros(0, np.int64))
+        space = self.letters[32]
+        rows = [n for n, w in enumerate(spelt) if w[0] == space and w.count(space) == 1]
+        counts = np.ones(len(spelt), np.int64)
+        in_rows = np.zeros(len(spelt), bool)
+        in_rows[rows] = True
+        encode = self.words.encode_batch_fast
+        joined = [" ".join([spelt[n] for n in rows[i : i + _JOINED]]) for i in range(0, len(rows), _JOINED)]
+        flat = np.concatenate([np.array(e.ids, np.int32) for e in encode(joined, add_special_tokens=False)] or [np.zeros(0, np.int32)])
+        begins = np.flatnonzero(self.opens[flat])
+        if len(begins) != len(rows):
+            raise ValueError("the tokenizer doesn't keep words apart")
+        counts[rows] = np.diff(np.append(begins, len(flat)))
+        others = np.flatnonzero(~in_rows).tolist()
+        if not others:
+            return flat, counts
+        alone = [e.ids for e in encode([spelt[n] for n in others], add_special_tokens=False)]
+        counts[others] = [len(ids) for ids in alone]
+        out = np.zeros(int(counts.sum()), np.int32)
+        from_rows = np.repeat(in_rows, counts)
+        out[from_rows] = flat
+        out[~from_rows] = [i for ids in alone for i in ids]
+        return out, counts
 
 
 _encoders: dict[str, Encoder] = {}
