@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tabprep.llm.decontaminate import overlaps
 from tabprep.llm.fingerprints import neighbour_likeness
 from tabprep.llm.packing import pack
+from tabprep.llm.pii import BASE, find_pii
 from tabprep.llm.shared import read_table, temporary_folder
 from tabprep.llm.sharding import shard_by_bytes
 from tabprep.llm.simhash import near_duplicates
@@ -64,3 +65,15 @@ def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = shard_by_bytes(read_table(spark, sf_dir, "documents"), 40)
     return placed.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
+@query
+def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = find_pii(read_table(spark, sf_dir, "documents"))
+
+    def joined(spans: Column) -> Column:
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
+
+    base = F.filter("spans", lambda s: s["kind"].isin(*BASE))
+    counts = [F.size(F.filter("spans", lambda s, k=k: s["kind"] == k)).cast("bigint").alias(f"n_{k}") for k in BASE]
+    return found.select("doc_id", *counts, F.sha2(joined(base).cast("binary"), 256).alias("base_sha256"), joined(F.col("spans")).alias("spans"))

@@ -79,6 +79,11 @@ def strings(column: pa.Array) -> list[str]:
     return ["" if x is None else x for x in column.to_pylist()]
 
 
+def named(column: str) -> Column:
+    """The column of exactly this name, dots and all."""
+    return F.col("`" + column.replace("`", "``") + "`")
+
+
 def id_and_text(df: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """Only the two columns an operator works on, so that other columns can't clash with its own."""
     return df.select(F.col(id_column).alias("doc_id"), F.col(text_column).cast("string").alias("text"))

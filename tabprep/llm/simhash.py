@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tabprep.llm.shared import forget, id_and_text, pieces, raw_bytes, stored, type_of
+from tabprep.llm.shared import forget, id_and_text, named, pieces, raw_bytes, stored, type_of
 
 BITS = 64
 SHINGLE = 3
@@ -350,4 +350,4 @@ def keep_one(docs: DataFrame, *, shingle: int = SHINGLE, distance: int = DISTANC
     kept = found.groupBy("group").agg(first).select(F.col("first.doc_id").alias("__id"), F.col("first.text_hash").alias("__hash"))
     keyed = docs.withColumn("__own", F.xxhash64(F.col(text_column).cast("string")))
     joined = keyed.join(kept, (F.col("__own") == F.col("__hash")) & F.col(id_column).eqNullSafe(F.col("__id")))
-    return joined.dropDuplicates(["__own", "__id"]).select(*[docs[c] for c in docs.columns])
+    return joined.dropDuplicates(["__own", "__id"]).select(*[named(c) for c in docs.columns])
