@@ -75,5 +75,9 @@ def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
         return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
 
     base = F.filter("spans", lambda s: s["kind"].isin(*BASE))
-    counts = [F.size(F.filter("spans", lambda s, k=k: s["kind"] == k)).cast("bigint").alias(f"n_{k}") for k in BASE]
+
+    def count(kind: str) -> Column:
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("bigint").alias(f"n_{kind}")
+
+    counts = [count(k) for k in BASE]
     return found.select("doc_id", *counts, F.sha2(joined(base).cast("binary"), 256).alias("base_sha256"), joined(F.col("spans")).alias("spans"))
