@@ -15,6 +15,7 @@ from tabprep.llm.shared import read_table, temporary_folder
 from tabprep.llm.sharding import shard_by_bytes
 from tabprep.llm.simhash import near_duplicates
 from tabprep.llm.token_file import read_token_file, write_token_file
+from tabprep.llm.toxicity import toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -81,3 +82,8 @@ def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     counts = [count(k) for k in BASE]
     return found.select("doc_id", *counts, F.sha2(joined(base).cast("binary"), 256).alias("base_sha256"), joined(F.col("spans")).alias("spans"))
+
+
+@query
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
