@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tabprep.llm.decontaminate import overlaps
 from tabprep.llm.fingerprints import neighbour_likeness
+from tabprep.llm.language import identify_language
 from tabprep.llm.packing import pack
 from tabprep.llm.pii import BASE, find_pii
 from tabprep.llm.shared import read_table, temporary_folder
@@ -87,3 +88,8 @@ def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
+@query
+def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return identify_language(read_table(spark, sf_dir, "documents"))
