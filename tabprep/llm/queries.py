@@ -15,6 +15,7 @@ from tabprep.llm.pii import BASE, find_pii
 from tabprep.llm.shared import read_table, temporary_folder
 from tabprep.llm.sharding import shard_by_bytes
 from tabprep.llm.simhash import near_duplicates
+from tabprep.llm.token_counts import token_counts
 from tabprep.llm.token_file import read_token_file, write_token_file
 from tabprep.llm.toxicity import toxicity
 
@@ -93,3 +94,8 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify_language(read_table(spark, sf_dir, "documents"))
+
+
+@query
+def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts(read_table(spark, sf_dir, "documents"))
