@@ -23,9 +23,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from tabprep.llm.shared import id_and_text, pieces, raw_bytes, type_of
+from tabprep.llm.shared import filtered, id_and_text, pieces, raw_bytes, type_of
 
 WINDOW = 10
 BLOCK_BYTES = 16 << 20
@@ -301,9 +300,4 @@ def remove_contaminated(
     """The documents without any hit, with all their columns; nulls and empty texts stay."""
     scan = _scanner(_blocks(docs, benchmark, item_column, item_text_column, block_bytes), window)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in pieces(batches, text_column):
-            found = scan(raw_bytes(batch.column(text_column)))
-            yield batch.filter(pa.array([not f["spans"] for f in found], pa.bool_()))
-
-    return docs.mapInArrow(run, T.StructType(docs.schema.fields))
+    return filtered(docs, text_column, lambda texts: [not f["spans"] for f in scan(raw_bytes(texts))])

@@ -20,9 +20,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from tabprep.llm.shared import held_out, id_and_text, pieces, strings, type_of
+from tabprep.llm.shared import filtered, held_out, id_and_text, pieces, strings, type_of
 
 #: Most rows, and most text bytes, that a model is fitted on, shared evenly among the languages.
 SAMPLE_ROWS = 4000
@@ -238,9 +237,4 @@ def keep_identified(docs: DataFrame, model: LanguageModel | None = None, *, id_c
     """``docs``, with all columns, without the rows whose language is rejected."""
     shared = docs.sparkSession.sparkContext.broadcast(model or fit_language_model(docs, id_column=id_column, text_column=text_column, language_column=language_column))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in pieces(batches, text_column):
-            found = shared.value.predict(strings(batch.column(text_column)))
-            yield batch.filter(pa.array([not f[2] for f in found], pa.bool_()))
-
-    return docs.mapInArrow(run, T.StructType(docs.schema.fields))
+    return filtered(docs, text_column, lambda texts: [not f[2] for f in shared.value.predict(strings(texts))])

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 import pyarrow.compute
@@ -98,3 +98,15 @@ def type_of(df: DataFrame, column: str) -> str:
     return df.schema[column].dataType.simpleString()
 
 
+
+
+def filtered(docs: DataFrame, text_column: str, keep: Callable[[pa.Array], list[bool]]) -> DataFrame:
+    """The rows of ``docs`` for whose texts ``keep`` says so, batch by batch, with all columns whatever their names."""
+    plain = docs.toDF(*[f"c{i}" for i in range(len(docs.columns))])
+    text = f"c{docs.columns.index(text_column)}"
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in pieces(batches, text):
+            yield batch.filter(pa.array(keep(batch.column(text)), pa.bool_()))
+
+    return plain.mapInArrow(run, plain.schema).toDF(*docs.columns)
