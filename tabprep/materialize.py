@@ -24,8 +24,13 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def new_folder(spark: SparkSession, name: str) -> str:
-    """A fresh path below the shared folder."""
-    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    """A fresh path below the shared folder; what is written there goes when the session ends."""
+    parent = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(parent)
+    files = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    files.mkdirs(path)
+    files.deleteOnExit(path)
+    return f"{parent}/data"
 
 
 def materialize(df: DataFrame) -> DataFrame:

@@ -1,11 +1,13 @@
 """Row position for tables that have none, and joins on it."""
 
-from pyspark.sql import DataFrame, Window
+import functools
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tabprep.errors import ColumnConflictError, KeyColumnError
 from tabprep.materialize import materialize
-from tabprep.operators.frame import quoted
+from tabprep.operators.frame import one_per_key, quoted
 
 # monotonically_increasing_id keeps the partition number above bit 33 and the
 # position inside the partition below it.
@@ -15,14 +17,17 @@ _POSITION_BITS = 33
 def with_row_index(df: DataFrame, keys, name: str = "row_index", partitions: int | None = None) -> DataFrame:
     """Number the rows 0, 1, 2, … in the order of a unique key.
 
-    One range shuffle spreads the rows evenly; each partition numbers its own rows
-    and adds the size of the partitions before it. Nothing passes through a single
-    task: the only thing gathered is one count per partition. Missing or repeated
-    keys raise, since their order would be arbitrary.
+    Only the keys are numbered: a range shuffle spreads them evenly, each partition numbers its
+    own ones and adds the size of the partitions before it. The rows then get their
+    numbers by a join on the key, and no more than keys is ever stored. Nothing passes through
+    a single task: the only thing gathered is one count per partition. Missing or
+    repeated keys raise, since their order would be arbitrary.
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
-    columns = [quoted(k) for k in keys]
-    spread = df.repartitionByRange(partitions, *columns) if partitions else df.repartitionByRange(*columns)
+    names = [f"__key{i}" for i in range(len(keys))]
+    alone = df.select(*[quoted(k).alias(n) for k, n in zip(keys, names)])
+    columns = [F.col(n) for n in names]
+    spread = alone.repartitionByRange(partitions, *columns) if partitions else alone.repartitionByRange(*columns)
     # The window needs equal keys together and sorted, which the range shuffle gives:
     # no second shuffle.
     copies = F.row_number().over(Window.partitionBy(*columns).orderBy(*columns))
@@ -50,11 +55,13 @@ def with_row_index(df: DataFrame, keys, name: str = "row_index", partitions: int
     lookup = df.sparkSession.createDataFrame(offsets, "__part bigint, __offset bigint")
     position = F.col("__tag").bitwiseAND((1 << _POSITION_BITS) - 1)
     # One row per shuffle partition, so the broadcast side is bounded by their number.
-    return (
+    numbered = (
         tagged.withColumn("__part", partition)
         .join(F.broadcast(lookup), "__part")
-        .select(*[quoted(c) for c in df.columns], (position + F.col("__offset")).alias(name))
+        .select(*names, (position + F.col("__offset")).alias(name))
     )
+    same = functools.reduce(Column.__and__, [quoted(k) == F.col(n) for k, n in zip(keys, names)])
+    return df.join(numbered, same).select(*[quoted(c) for c in df.columns], quoted(name))
 
 
 def positional_concat(
@@ -83,5 +90,8 @@ def positional_concat(
 
 
 def join_by_key(ids: DataFrame, predictions: DataFrame, key: str) -> DataFrame:
-    """Bring predictions to their ids by key."""
-    return ids.join(predictions, key, "inner")
+    """Bring predictions to their ids by key.
+
+    Every id stays, with NULL where it has no prediction; a key that the predictions repeat raises.
+    """
+    return ids.join(one_per_key(predictions, key), key, "left")

@@ -64,15 +64,35 @@ class LabelledTable:
         return LabelledTable(self.frame.withColumn(self.label, label), self.label)
 
     def with_label_from(self, other: DataFrame, key: str) -> "LabelledTable":
-        """Replace the label by the one another table holds under the same key, NULL if none."""
+        """Replace the label by the one another table holds under the same key, NULL if none.
+
+        A key that the other table repeats raises when it is met: which label counts is unknown.
+        """
         columns = self.frame.columns
-        joined = self.features.join(select_columns(other, [key, self.label]), key, "left")
+        joined = self.features.join(one_per_key(select_columns(other, [key, self.label]), key), key, "left")
         return LabelledTable(select_columns(joined, columns), self.label)
 
     def row_count(self) -> DataFrame:
         return row_count(self.frame)
 
 
+def one_per_key(df: DataFrame, key: str) -> DataFrame:
+    """The table with each key once; a key on several rows raises as soon as it is read.
+
+    Rows of a key are counted and combined before the shuffle, which a join by that key needs anyway.
+    """
+    others = [c for c in df.columns if c != key]
+    firsts = [F.first(quoted(c)).alias(c) for c in others]
+    grouped = df.groupBy(quoted(key)).agg(*firsts, F.count(F.lit(1)).alias("__n"))
+    wrong = F.raise_error(F.concat(F.lit(f"key {key} repeats: "), quoted(key).cast("string")))
+
+    def checked(name: str) -> Column:
+        return F.when(F.col("__n") == 1, quoted(name)).otherwise(wrong.cast(df.schema[name].dataType)).alias(name)
+
+    # Checked in every column, so that no unused one takes the check away.
+    return grouped.select(*[quoted(c) if c == key else checked(c) for c in df.columns])
+
+
 def row_count(df: DataFrame) -> DataFrame:
     return df.agg(F.count(F.lit(1)).alias("n_rows"))
 
@@ -121,8 +141,17 @@ def preview(df: DataFrame, order_by, max_rows: int = 1000, max_columns: int = 10
 
 
 def scores_to_wide(scores: DataFrame, names, name: str = "feature", value: str = "score") -> DataFrame:
-    """Turn (feature, score) rows into one row with a column per feature."""
-    return scores.groupBy().pivot(name, list(names)).agg(F.first(value))
+    """Turn (feature, score) rows into one row with a column per feature.
+
+    Features that ``names`` leaves out raise.
+    """
+    names = list(names)
+    stray = F.count_if(~quoted(name).isin(names) | quoted(name).isNull())
+    columns = [F.max(F.when(quoted(name) == F.lit(n), quoted(value))).alias(n) for n in names]
+    wide = scores.agg(*columns, stray.alias("__stray"))
+    wrong = F.raise_error(F.lit("there are scores of features without a column"))
+    checked = [F.when(F.col("__stray") == 0, quoted(n)).otherwise(wrong.cast(wide.schema[n].dataType)).alias(n) for n in names]
+    return wide.select(*checked)
 
 
 def name_array(df: DataFrame, array: str, names) -> DataFrame:

@@ -30,7 +30,7 @@ def column_medians(df: DataFrame, columns=None) -> dict[str, float | None]:
     if not names:
         return {}
     values = {n: nan_to_null(quoted(n), df.schema[n].dataType) for n in names}
-    quantiles, _, _ = exact_quantiles(df, values, [0.5])
+    quantiles, _, _ = exact_quantiles(df, values, [0.5], raws={n: quoted(n) for n in names})
     return {n: q[0] for n, q in quantiles.items()}
 
 
@@ -72,10 +72,12 @@ class Imputer:
 
     def filled(self, name: str, data_type: T.DataType) -> Column:
         column, value = quoted(name), self.values.get(name)
-        if value is None:
+        if name not in self.values:
             return column
         if isinstance(data_type, T.IntegralType | T.DecimalType) and not self.keep_integers:
-            return F.coalesce(column.cast("double"), F.lit(value))
+            return F.coalesce(column.cast("double"), F.lit(value).cast("double"))
+        if value is None:
+            return column
         return F.when(is_missing(column, data_type), F.lit(value).cast(data_type)).otherwise(column)
 
     def transform(self, df: DataFrame) -> DataFrame:

@@ -37,6 +37,9 @@ NETWORK_TAG = "torch_neuralnetwork"
 
 _INTEGER = r"^\s*[+-]?\d+\s*$"
 _NUMBER = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
+_INFINITE = r"(?i)^\s*[+-]?inf(inity)?\s*$"
+# The cell texts that make a boolean column.
+_TRUE, _FALSE = ("True", "TRUE", "true"), ("False", "FALSE", "false")
 
 
 def scan_csv(
@@ -46,7 +49,7 @@ def scan_csv(
 
     With a schema nothing is read ahead, and a cell that does not fit its type or a
     row with too few or too many cells raises. Without one, a single aggregate over the file decides between bigint,
-    double and string per column. Quotes inside quoted cells are doubled.
+    double, boolean and string per column; infinities are numbers. Quotes inside quoted cells are doubled.
     ``multi_line`` allows line breaks inside quoted cells, at the price of files that
     cannot be split.
     """
@@ -76,6 +79,11 @@ def _parsed(name: str, data_type: T.DataType) -> Column:
     if isinstance(data_type, T.StringType):
         return cell
     value = cell.try_cast(data_type)
+    if isinstance(data_type, T.DoubleType | T.FloatType):
+        endless = F.when(F.ltrim(cell).startswith("-"), F.lit(float("-inf"))).otherwise(F.lit(float("inf")))
+        value = F.when(cell.rlike(_INFINITE), endless.cast(data_type)).otherwise(value)
+    elif isinstance(data_type, T.BooleanType):
+        value = F.when(cell.isin(*_TRUE), F.lit(True)).when(cell.isin(*_FALSE), F.lit(False)).otherwise(value)
     wrong = F.raise_error(F.concat(F.lit(f"column {name} holds no {data_type.simpleString()}: "), cell))
     return F.when(cell.isNull() | value.isNotNull(), value).otherwise(wrong.cast(data_type))
 
@@ -91,15 +99,18 @@ def _guess_types(text: DataFrame) -> dict[str, T.DataType]:
     for name in cells.columns:
         present = quoted(name).isNotNull()
         whole = quoted(name).rlike(_INTEGER) & quoted(name).try_cast("bigint").isNotNull()
-        checks += [F.count_if(present), F.count_if(whole), F.count_if(quoted(name).rlike(_NUMBER))]
+        number = quoted(name).rlike(_NUMBER) | quoted(name).rlike(_INFINITE)
+        checks += [F.count_if(c) for c in (present, whole, number, quoted(name).isin(*_TRUE, *_FALSE))]
     row = list(cells.agg(*[c.alias(f"c{i}") for i, c in enumerate(checks)]).first())
     types: dict[str, T.DataType] = {}
     for i, name in enumerate(cells.columns):
-        present, whole, number = row[3 * i : 3 * i + 3]
+        present, whole, number, truth = row[4 * i : 4 * i + 4]
         if present and whole == present:
             types[name] = T.LongType()
         elif number == present:
             types[name] = T.DoubleType()
+        elif truth == present:
+            types[name] = T.BooleanType()
         else:
             types[name] = T.StringType()
     return types
@@ -119,12 +130,13 @@ def submission_path(method: str, moment: dt.datetime, root: str = "output") -> s
 
 
 def write_csv(df: DataFrame, path: str, single_file: bool = False) -> str:
-    """Write a folder of CSV parts with headers; an existing folder raises.
+    """Write a folder of CSV parts with headers, texts with all their white space; an existing folder raises.
 
     ``single_file`` brings everything to one task, for small results only.
     """
     table = df.coalesce(1) if single_file else df
-    table.write.mode("errorifexists").option("header", True).option("escape", '"').csv(path)
+    writer = table.write.mode("errorifexists").option("header", True).option("escape", '"')
+    writer.options(ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False).csv(path)
     return path
 
 

@@ -113,4 +113,6 @@ def test_positional_concat(spark):
     assert positional_concat(left, right, "lk", "rk", position=1).columns == ["lk", "rk", "b", "a"]
     with pytest.raises(ColumnConflictError):
         positional_concat(left, left, "lk", "lk")
-    assert rows(join_by_key(left, right.withColumnRenamed("rk", "lk").withColumn("lk", F.lit(2)), "lk")) == [(2, 2, 5)]
+    assert rows(join_by_key(left, right.withColumnRenamed("rk", "lk").withColumn("lk", F.lit(2)), "lk"), "lk") == [(1, 1, None), (2, 2, 5)]
+    with pytest.raises(Exception, match="key lk repeats"):
+        join_by_key(left, left.unionAll(left).withColumnRenamed("l", "other"), "lk").collect()
