@@ -85,10 +85,17 @@ class StratifiedFolds:
 
 
 # Each class adds a few tests per row to the search for cuts; beyond this many the rows
-# are numbered instead.
+# are numbered instead. Both give the same folds and refuse the same keys.
 _CLASSES_TO_CUT = 20
 
 
+def require_unique_key(df: DataFrame, key: str) -> None:
+    """Raise if a key is on several rows. Shuffles the keys alone, each once per task."""
+    repeated = df.groupBy(quoted(key)).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    if not repeated.isEmpty():
+        raise KeyColumnError(f"key {key} has missing or repeated values")
+
+
 def _classes(df: DataFrame, label: str, key: str, max_classes: int) -> list:
     """(label, rows, smallest key) of the classes, in order of first appearance."""
     found = (
@@ -111,17 +118,25 @@ def _classes(df: DataFrame, label: str, key: str, max_classes: int) -> list:
 
 
 def stratified_folds(
-    df: DataFrame, label: str, key: str, n_folds: int = 5, name: str = "fold", max_classes: int = 10_000
+    df: DataFrame,
+    label: str,
+    key: str,
+    n_folds: int = 5,
+    name: str = "fold",
+    max_classes: int = 10_000,
+    finish_rows: int = 1_000_000,
 ) -> DataFrame:
     """Add the fold of each row: unshuffled stratified k-fold in key order.
 
-    Numeric keys and few classes need no shuffle; otherwise the rows are numbered in
+    Missing or repeated keys raise, which takes a shuffle of the keys. Beyond that, numeric keys and
+    few classes need none; otherwise the rows are numbered in
     key order first. More than ``max_classes`` classes raise.
     """
     classes = _classes(df, label, key, max_classes)
+    require_unique_key(df, key)
     numeric = isinstance(df.schema[key].dataType, T.IntegralType | T.DoubleType | T.FloatType)
     if numeric and len(classes) <= _CLASSES_TO_CUT:
-        return _cuts(df, label, key, classes, n_folds, 1_000_000).transform(df, name)
+        return _cuts(df, label, key, classes, n_folds, finish_rows).transform(df, name)
     return _folds_by_index(df, label, key, classes, n_folds, name)
 
 
@@ -129,6 +144,7 @@ def fit_stratified_folds(
     df: DataFrame, label: str, key: str, n_folds: int = 5, finish_rows: int = 1_000_000
 ) -> StratifiedFolds:
     """Find where each class's folds begin, as exact order statistics of a numeric key."""
+    require_unique_key(df, key)
     return _cuts(df, label, key, _classes(df, label, key, _CLASSES_TO_CUT), n_folds, finish_rows)
 
 
@@ -146,6 +162,7 @@ def _cuts(df, label, key, classes, n_folds, finish_rows) -> StratifiedFolds:
             F.when(quoted(label) == F.lit(row["label"]), quoted(key)),
             lambda n, ranks=begin: [(r,) for r in sorted(set(ranks)) if r < n],
             row["n"],
+            quoted(key),
         )
         for row, begin in zip(classes, starts)
     ]

@@ -60,24 +60,29 @@ def _describe(df, columns, sketch_k, finish_rows, with_missing):
     values = {n: nan_to_null(quoted(n), df.schema[n].dataType).cast("double") for n in names}
     every = list(df.columns if columns is None else columns) if with_missing else names
 
+    # Missing values of the other columns are counted in the scan that gives the moments.
+    others = [n for n in every if n not in names]
+    missing = [F.count(F.lit(1)), *[F.count_if(is_missing(quoted(n), df.schema[n].dataType)) for n in others]]
+    waiting = list(missing) if with_missing else []
+
     def moments(column):
-        return [F.mean(column), F.stddev_samp(column), F.min(column), F.max(column)]
+        also, waiting[:] = list(waiting), []
+        return [F.mean(column), F.stddev_samp(column), F.min(column), F.max(column), *also]
 
     quartiles, counts, found = (
-        exact_quantiles(df, values, QUARTILES, moments, sketch_k, finish_rows) if names else ({}, {}, {})
+        exact_quantiles(df, values, QUARTILES, moments, sketch_k, finish_rows, {n: quoted(n) for n in names})
+        if names
+        else ({}, {}, {})
     )
     lacking = {}
     if with_missing:
-        others = [n for n in every if n not in counts]
-        counted = df.agg(
-            F.count(F.lit(1)), *[F.count_if(is_missing(quoted(n), df.schema[n].dataType)) for n in others]
-        ).first()
+        counted = found[names[0]][4:] if names else df.agg(*missing).first()
         lacking = {n: counted[0] - c for n, c in counts.items()} | dict(zip(others, counted[1:]))
     rows = []
     for name in every:
         row = (name,)
         if name in quartiles:
-            mean, std, low, high = found[name]
+            mean, std, low, high = found[name][:4]
             row += (counts[name], mean, std, low, *quartiles[name], high)
         else:
             row += (None,) * 8

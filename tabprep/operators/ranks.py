@@ -8,6 +8,7 @@ looked at again, until they provably fit one task. The sketch decides the speed;
 counts decide the answer, so it is exact whatever the sketch said.
 """
 
+import functools
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from typing import Any
@@ -30,6 +31,8 @@ _AGGREGATES_PER_SCAN = 64
 class RankProbe:
     """A column (NULL rows are skipped) and the ranks wanted from it.
 
+    ``raw`` is a column of the table that equals ``value`` where that is not NULL; bounds on it reach the scan.
+
     ``ranks`` gets the number of values and returns groups of 0-based ranks; the
     ranks of one group are searched together and should lie close. ``size`` is the
     number of values, where the caller knows it.
@@ -38,6 +41,7 @@ class RankProbe:
     value: Column
     ranks: Callable[[int], Sequence[Sequence[int]]]
     size: int | None = None
+    raw: Column | None = None
 
 
 @dataclass(frozen=True)
@@ -49,6 +53,22 @@ class RankHit:
     equal: int
 
 
+@dataclass(frozen=True)
+class _Value:
+    """The columns that hold a probe's values, and what bounds are tested on."""
+
+    name: str
+    raw: str | None
+
+    @property
+    def column(self) -> Column:
+        return F.col(self.name)
+
+    @property
+    def bound(self) -> Column:
+        return F.col(self.raw or self.name)
+
+
 @dataclass(frozen=True)
 class _Span:
     """Ranks known to lie strictly between two values of one probe."""
@@ -90,8 +110,11 @@ def exact_ranks(
     """
     # Computed once per row as columns of their own; the many tests then stay small.
     names = [f"__v{i}" for i in range(len(probes))]
-    df = df.withColumns({n: p.value.cast(kind) for n, p in zip(names, probes)})
-    values = [F.col(n) for n in names]
+    raws = [f"__r{i}" if p.raw is not None else None for i, p in enumerate(probes)]
+    df = df.withColumns(
+        {n: p.value.cast(kind) for n, p in zip(names, probes)} | {r: p.raw for r, p in zip(raws, probes) if r}
+    )
+    values = [_Value(n, r) for n, r in zip(names, raws)]
     hits: list[dict[int, RankHit]] = [{} for _ in probes]
     known = [p.size for p in probes]
     if not extra and None not in known and sum(known) <= finish_rows:
@@ -106,7 +129,7 @@ def exact_ranks(
         for group in probes[i].ranks(n) if n else ():
             span = _Span(i, tuple(sorted(set(group))), None, None, 0, n)
             guesses.append((span, *_guess(span, grid)))
-    aggregates = [list(extra(v)) if extra else [] for v in values]
+    aggregates = [list(extra(v.column)) if extra else [] for v in values]
     extras: list[list] = []
     while guesses or any(aggregates):
         counts, found = _count(df, values, guesses, aggregates)
@@ -131,7 +154,7 @@ def _sketch(df, values, spans, kind, sketch_k) -> list[tuple[int, list]]:
     """
     build, merge, size, quantile = _SKETCH[kind]
     names = [f"s{i}" for i in range(len(spans))]
-    columns = [F.when(s.inside(values[s.probe]), values[s.probe]).alias(n) for s, n in zip(spans, names)]
+    columns = [F.when(s.inside(values[s.probe].column), values[s.probe].column).alias(n) for s, n in zip(spans, names)]
     grid = F.split(F.lit(",".join(str(i / _GRID) for i in range(_GRID + 1))), ",").cast("array<double>")
     parts = (
         _inside_any(df, values, spans)
@@ -150,13 +173,14 @@ def _sketch(df, values, spans, kind, sketch_k) -> list[tuple[int, list]]:
 
 
 def _inside_any(df: DataFrame, values, spans) -> DataFrame:
-    """The rows inside at least one span; the bounds reach the scan as filters."""
+    """Rows among which are all that lie inside a span.
+
+    Where a probe names its raw column the bounds are tested on that one, so they reach the scan as filters.
+    """
     if any(s.low is None and s.high is None for s in spans):
         return df
-    test = F.lit(False)
-    for span in spans:
-        test = test | span.inside(values[span.probe])
-    return df.where(test)
+    tests = [span.inside(values[span.probe].bound) for span in spans]
+    return df.where(functools.reduce(Column.__or__, tests))
 
 
 def _guess(span: _Span, grid) -> tuple[Any, Any]:
@@ -173,7 +197,7 @@ def _count(df, values, guesses, extra):
     """
     wanted: list[list[Column]] = [[] for _ in values]
     for span, low, high in guesses:
-        value = values[span.probe]
+        value = values[span.probe].column
         at_high = value == F.lit(high) if high > low else F.lit(False)
         tests = [span.inside(value, high=low), value == F.lit(low), span.inside(value, low, high), at_high]
         wanted[span.probe] += [F.count(F.when(t, 1)) for t in tests]
@@ -228,7 +252,8 @@ def _finish(df, values, spans, hits) -> None:
         return
     pairs = []
     for i, span in enumerate(spans):
-        pairs.append(F.when(span.inside(values[span.probe]), F.struct(F.lit(i).alias("span"), values[span.probe].alias("value"))))
+        value = values[span.probe].column
+        pairs.append(F.when(span.inside(value), F.struct(F.lit(i).alias("span"), value.alias("value"))))
     counted = (
         _inside_any(df, values, spans)
         .select(F.explode(F.array_compact(F.array(*pairs))).alias("pair"))
@@ -256,6 +281,7 @@ def exact_quantiles(
     extra: Callable[[Column], Sequence[Column]] | None = None,
     sketch_k: int = 1000,
     finish_rows: int = 1_000_000,
+    raws: dict[str, Column] | None = None,
 ) -> tuple[dict[str, list[float | None]], dict[str, int], dict[str, list]]:
     """Quantiles by linear interpolation between the two nearest values.
 
@@ -268,7 +294,7 @@ def exact_quantiles(
         quantiles, counts, extras = {}, {}, {}
         for start in range(0, len(names), _COLUMNS_PER_SCAN):
             group = {n: columns[n] for n in names[start : start + _COLUMNS_PER_SCAN]}
-            q, c, e = exact_quantiles(df, group, probabilities, extra, sketch_k, finish_rows)
+            q, c, e = exact_quantiles(df, group, probabilities, extra, sketch_k, finish_rows, raws)
             quantiles, counts, extras = quantiles | q, counts | c, extras | e
         return quantiles, counts, extras
 
@@ -276,7 +302,8 @@ def exact_quantiles(
         spots = [(n - 1) * p for p in probabilities]
         return [(int(s), min(int(s) + 1, n - 1)) for s in spots]
 
-    probes = [RankProbe(c, around) for c in columns.values()]
+    raws = raws or {}
+    probes = [RankProbe(c, around, raw=raws.get(n)) for n, c in columns.items()]
     hits, totals, extras = exact_ranks(df, probes, "double", extra, sketch_k, finish_rows)
     quantiles = {}
     for name, found, n in zip(columns, hits, totals):
@@ -286,5 +313,7 @@ def exact_quantiles(
         quantiles[name] = []
         for p, (low, high) in zip(probabilities, around(n)):
             a, b = found[low].value, found[high].value
-            quantiles[name].append(a + (b - a) * ((n - 1) * p - low))
+            part = (n - 1) * p - low
+            # Also right where a value is infinite.
+            quantiles[name].append(a if a == b or part == 0 else a + (b - a) * part)
     return quantiles, dict(zip(names, totals)), dict(zip(names, extras))
