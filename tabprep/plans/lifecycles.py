@@ -42,8 +42,8 @@ def analyze(tables: dict[str, DataFrame], key: str) -> dict[str, Profile]:
     return {name: profile(table, key) for name, table in tables.items()}
 
 
-def _prepared(train, test, columns, encode, label, key, per_frame):
-    ready, other = prepare_pair(train, test, columns, encode, 1, per_frame, keys=([key, label], [key]))
+def _prepared(train, test, columns, encode, label, key, per_frame, method, max_categories):
+    ready, other = prepare_pair(train, test, columns, encode, 1, per_frame, ([key, label], [key]), method, max_categories)
     return ready.persist(StorageLevel.MEMORY_AND_DISK), other, tuple(other.columns[1:])
 
 
@@ -57,12 +57,13 @@ def tune_and_predict(
     class_weights: dict | None = None,
     grid: dict[str, list] | None = None,
     per_frame: bool = False,
-    solver: str = "auto",
+    method: str = "mean",
+    max_categories: int = 1000,
 ) -> Outcome:
     """Prepare both tables, search the grid of logistic regressions, predict with the best."""
-    ready, other, features = _prepared(train, test, columns, encode, label, key, per_frame)
+    ready, other, features = _prepared(train, test, columns, encode, label, key, per_frame, method, max_categories)
     try:
-        search = grid_search(ready, features, label, key, grid, class_weights=class_weights, solver=solver)
+        search = grid_search(ready, features, label, key, grid, class_weights=class_weights)
     finally:
         ready.unpersist()
     scored = search.model.transform(other)
@@ -70,12 +71,23 @@ def tune_and_predict(
 
 
 def logistic_predict(
-    train: DataFrame, test: DataFrame, columns, encode, label: str, key: str, C: float = 10.0, max_iter: int = 1000
+    train: DataFrame,
+    test: DataFrame,
+    columns,
+    encode,
+    label: str,
+    key: str,
+    C: float = 10.0,
+    max_iter: int = 1000,
+    class_weights: dict | None = None,
+    per_frame: bool = False,
+    method: str = "mean",
+    max_categories: int = 1000,
 ) -> Outcome:
     """One unscaled logistic regression with given parameters."""
-    ready, other, features = _prepared(train, test, columns, encode, label, key, False)
+    ready, other, features = _prepared(train, test, columns, encode, label, key, per_frame, method, max_categories)
     try:
-        model = fit_logistic(ready, features, label, C, max_iter)
+        model = fit_logistic(ready, features, label, C, max_iter, class_weights)
     finally:
         ready.unpersist()
     scored = model.transform(other)
@@ -83,12 +95,24 @@ def logistic_predict(
 
 
 def forest_predict(
-    train: DataFrame, test: DataFrame, columns, encode, label: str, key: str, n_trees: int = 1000, max_depth: int = 5, seed: int = 0
+    train: DataFrame,
+    test: DataFrame,
+    columns,
+    encode,
+    label: str,
+    key: str,
+    n_trees: int = 1000,
+    max_depth: int = 5,
+    seed: int = 0,
+    per_frame: bool = False,
+    method: str = "mean",
+    max_categories: int = 1000,
+    partitions: int = 32,
 ) -> Outcome:
-    """Random forest on the prepared features."""
-    ready, other, features = _prepared(train, test, columns, encode, label, key, False)
+    """Random forest on the prepared features, the same however the rows are laid out."""
+    ready, other, features = _prepared(train, test, columns, encode, label, key, per_frame, method, max_categories)
     try:
-        model = fit_forest(ready, features, label, n_trees, max_depth, seed)
+        model = fit_forest(ready, features, label, n_trees, max_depth, seed, key, partitions)
     finally:
         ready.unpersist()
     scored = model.transform(other)
@@ -105,9 +129,10 @@ def network_predict(
     max_iter: int = 10,
     seed: int = 0,
     per_frame: bool = False,
+    max_categories: int = 1000,
 ) -> Outcome:
     """Standardise and encode, fit the network, decide at probability 0.5."""
-    transformer = fit_column_transformer(train, numeric, categorical)
+    transformer = fit_column_transformer(train, numeric, categorical, max_categories=max_categories)
     own_fill = fit_imputer(test.select(*[quoted(c) for c in [*numeric, *categorical]]), "mean", 0) if per_frame else None
     ready = transformer.transform(train, keys=[key, label]).persist(StorageLevel.MEMORY_AND_DISK)
     try:

@@ -9,6 +9,30 @@ EVENTS = """e AS (SELECT event_id, user_id, event_type,
   CASE WHEN event_type <> 'error' THEN value END AS value FROM events)"""
 TRAIN = """d AS (SELECT d.doc_id, d.lang, d.source, d.n_chars, g.quality, g.toxic
   FROM documents d JOIN labels g ON g.doc_id = d.doc_id)"""
+RULE = "CASE WHEN lang IN ('de', 'fr') THEN 1 ELSE 0 END"
+# What every model that has learned the rule predicts for the documents without labels.
+LEARNED = f"""SELECT doc_id, {RULE} AS continental FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)"""
+FIXED = """s AS (SELECT o_orderkey, 1 / (1 + exp(-(o_totalprice * 0.00002
+  - CASE WHEN o_orderpriority IN ('1-URGENT', '2-HIGH') THEN 0.75 ELSE 0 END - 3.1))) AS p FROM orders)"""
+PROFILED = """d AS (SELECT d.doc_id, d.lang, nullif(d.source, 'src0') AS source, d.n_chars, g.quality, g.toxic
+  FROM documents d JOIN labels g ON g.doc_id = d.doc_id)"""
+# Newton's steps from the weighted counts of a 0/1 feature x and label y; C is 0.01.
+ONE_FEATURE = """WITH RECURSIVE
+  o AS (SELECT CASE WHEN o_orderstatus = 'F' THEN 1 ELSE 0 END AS x, CASE WHEN o_totalprice > 200000 THEN 1 ELSE 0 END AS y
+        FROM orders),
+  c AS (SELECT sum(CASE WHEN x = 0 THEN w END) AS n0, sum(CASE WHEN x = 1 THEN w END) AS n1,
+        sum(CASE WHEN x = 0 THEN w * y ELSE 0 END) AS s0, sum(CASE WHEN x = 1 THEN w * y ELSE 0 END) AS s1
+        FROM (SELECT x, y, CAST(CASE WHEN y = 1 THEN 1.5 ELSE 1.0 END AS DOUBLE) AS w FROM o)),
+  step(i, w, b) AS (
+    SELECT 0, CAST(0 AS DOUBLE), CAST(0 AS DOUBLE)
+    UNION ALL
+    SELECT i + 1, w - ((a + d) * gw - a * gb) / (h * (a + d) - a * a), b - (h * gb - a * gw) / (h * (a + d) - a * a)
+    FROM (SELECT i, w, b, n1 * p1 * (1 - p1) AS a, n0 * p0 * (1 - p0) AS d, 1 / 0.01 + n1 * p1 * (1 - p1) AS h,
+            w / 0.01 + n1 * p1 - s1 AS gw, n0 * p0 - s0 + n1 * p1 - s1 AS gb
+          FROM (SELECT i, w, b, 1 / (1 + exp(-b)) AS p0, 1 / (1 + exp(-(w + b))) AS p1 FROM step), c)
+    WHERE i < 30)
+SELECT 'filled' AS feature, round(w, 3) AS score FROM step WHERE i = 30
+UNION ALL SELECT 'intercept', round(b, 3) FROM step WHERE i = 30"""
 PRICED = """p AS (SELECT o_orderkey, o_orderstatus, o_totalprice,
   1 / (1 + exp(-((o_totalprice - 200000) / 100000))) AS score,
   CASE WHEN 1 / (1 + exp(-((o_totalprice - 200000) / 100000))) >= 0.5 THEN 1 ELSE 0 END AS prediction FROM orders)"""
@@ -88,6 +112,8 @@ ORACLE: dict[str, str] = {
     "csv_unlabelled": """SELECT c_custkey, c_name, CAST(c_nationkey AS BIGINT) AS c_nationkey, c_acctbal, c_mktsegment
 FROM customer""",
     "csv_text": "SELECT doc_id, text, lang, n_chars FROM documents",
+    "csv_padded": "SELECT doc_id, '  ' || lang || chr(9) AS padded FROM documents",
+    "csv_inferred": "SELECT o_orderkey, o_totalprice, o_totalprice > 200000 AS large, o_orderpriority FROM orders",
     "csv_missing": f"WITH {ORDERS} "
     + _missing("o", ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderpriority"]),
     "submission_csv": f"WITH {PRICED} SELECT o_orderkey, prediction AS large FROM p",
@@ -130,12 +156,21 @@ SELECT a.o_orderkey, a.o_totalprice, b.c_custkey, b.c_mktsegment FROM a FULL JOI
 FROM documents""",
     "predictions_by_key": f"""WITH {PRICED}
 SELECT o.o_orderkey, o.o_custkey, p.prediction AS large FROM orders o JOIN p ON p.o_orderkey = o.o_orderkey""",
+    "predictions_for_some": f"""WITH {PRICED}
+SELECT o.o_orderkey, o.o_custkey, CASE WHEN p.o_totalprice > 100000 THEN p.prediction END AS large
+FROM orders o JOIN p ON p.o_orderkey = o.o_orderkey""",
     # aggregates
     "category_counts": f"""WITH {ORDERS} SELECT o_orderpriority, count(*) AS n FROM o
 WHERE o_orderpriority IS NOT NULL GROUP BY o_orderpriority""",
     "category_counts_all": f"WITH {ORDERS} " + _counts("o", ["o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority"]),
     "missing_per_column": f"WITH {LINES} " + _missing("l", LINE_COLUMNS),
     "numeric_describe": f"WITH {LINES} " + _describe("l", LINE_COLUMNS[:6]),
+    "numeric_describe_narrowed": f"WITH {LINES} " + _describe("l", LINE_COLUMNS[:6]),
+    "analyzed_statistics": f"WITH {PROFILED} " + _describe("d", ["doc_id", "n_chars", "quality", "toxic"]),
+    "analyzed_missing": f"WITH {PROFILED} " + _missing("d", ["doc_id", "lang", "source", "n_chars", "quality", "toxic"]),
+    "analyzed_mask": f"""WITH {PROFILED} SELECT doc_id IS NULL AS doc_id, source IS NULL AS source, n_chars IS NULL AS n_chars,
+  count(*) AS n FROM d GROUP BY ALL""",
+    "analyzed_data": f"WITH {PROFILED} SELECT * FROM d ORDER BY doc_id LIMIT 1000",
     "table_summary": f"WITH {EVENTS} "
     + _describe("e", ["event_id", "user_id", "value"], ", count(*) - count({n}) AS n_missing")
     + """
@@ -161,6 +196,7 @@ FROM part UNION ALL SELECT 'p_retailprice', min(p_retailprice), max(p_retailpric
   AS accuracy FROM d""",
     # folds, candidates, ranking
     "folds": f"WITH {_folds('orders', 'o_orderkey', 'o_orderstatus')} SELECT o_orderkey, o_orderstatus, fold FROM f",
+    "folds_narrowed": f"WITH {_folds('orders', 'o_orderkey', 'o_orderstatus')} SELECT o_orderkey, o_orderstatus, fold FROM f",
     "folds_of_labels": f"WITH {_folds('labels', 'doc_id', 'quality')} SELECT doc_id, quality, fold FROM f",
     "weighted_classes": """SELECT doc_id, CAST(CASE quality WHEN 1 THEN 1.5 ELSE 1.0 END AS DOUBLE) AS weight
 FROM labels""",
@@ -248,4 +284,22 @@ SELECT l_orderkey, l_linenumber, {_dummies("l_returnflag", ["A", "N", "R"])}, l_
   m AS (SELECT l_linestatus AS st, round_even(avg(l_extendedprice) * 10, 0) / 10 AS x FROM l GROUP BY l_linestatus)
 SELECT l_orderkey, l_linenumber, {_dummies("l_returnflag", ["A", "N", "R"])}, l_quantity,
   coalesce(l_extendedprice, x) AS l_extendedprice FROM l JOIN m ON m.st = l_linestatus""",
+    # models
+    "logistic_submission": LEARNED,
+    "grid_submission": LEARNED,
+    "forest_submission": LEARNED,
+    "network_submission": LEARNED,
+    "boosting_submission": LEARNED,
+    "logistic_inserted": f"""SELECT doc_id, {RULE} AS continental, {_dummies("lang", ["de", "en", "es", "fr"])},
+  CAST(n_chars AS DOUBLE) AS n_chars FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)""",
+    "linear_probabilities": f"""WITH {FIXED}
+SELECT o_orderkey, round_even((1 - p) * 1e6, 0) / 1e6 AS large_0, round_even(p * 1e6, 0) / 1e6 AS large_1 FROM s""",
+    "linear_classes": f"WITH {FIXED} SELECT o_orderkey, CASE WHEN p > 0.5 THEN 1 ELSE 0 END AS large FROM s",
+    "logistic_one_feature": ONE_FEATURE,
+    "forest_flag_importances": f"""SELECT 'flag' AS feature, CAST(max({RULE}) AS DOUBLE) AS score FROM documents
+UNION ALL SELECT 'constant', CAST(max({RULE}) - 1 AS DOUBLE) FROM documents""",
+    "forest_flag_importances_wide": f"""SELECT CAST(max({RULE}) AS DOUBLE) AS flag,
+  CAST(max({RULE}) - 1 AS DOUBLE) AS constant FROM documents""",
+    "forest_flag_probabilities": f"""SELECT doc_id, CAST(1 - {RULE} AS DOUBLE) AS continental_0,
+  CAST({RULE} AS DOUBLE) AS continental_1 FROM documents""",
 }

@@ -32,13 +32,19 @@ from tabprep.operators.frame import (
     slice_columns,
 )
 from tabprep.operators.impute import Imputer, column_means, column_medians, column_modes, fit_imputer
-from tabprep.operators.models import fit_boosting, with_threshold
+from tabprep.operators.models import (
+    LinearClassifier,
+    class_probabilities,
+    fit_boosting,
+    fit_forest,
+    fit_logistic,
+    with_threshold,
+)
 from tabprep.operators.prepare import fit_column_transformer, fit_preparation, prepare_pair
 from tabprep.operators.profile import describe, missing_counts, profile, summary, value_counts, value_counts_all
 from tabprep.operators.scale import fit_min_max, fit_standard
 from tabprep.operators.scoring import (
     accuracy,
-    accuracy_by,
     best_candidate,
     candidate_results,
     round_scores,
@@ -47,6 +53,7 @@ from tabprep.operators.scoring import (
 )
 from tabprep.operators.tune import grid_search
 from tabprep.plans.lifecycles import (
+    analyze,
     forest_predict,
     logistic_predict,
     network_predict,
@@ -161,6 +168,22 @@ def csv_text(spark, folder):
     return scan_csv(spark, path, table.schema, multi_line=True)
 
 
+@query
+def csv_padded(spark, folder):
+    """Texts keep the white space around them."""
+    padded = F.concat(F.lit("  "), "lang", F.lit("\t")).alias("padded")
+    table = scan_table(spark, folder, "documents").select("doc_id", padded)
+    return scan_csv(spark, write_csv(table, new_folder(spark, "padded-csv")), table.schema)
+
+
+@query
+def csv_inferred(spark, folder):
+    """Types found in the cells: whole numbers, numbers, truth values and text."""
+    orders = scan_table(spark, folder, "orders")
+    table = orders.select("o_orderkey", "o_totalprice", (F.col("o_totalprice") > 200000).alias("large"), "o_orderpriority")
+    return scan_csv(spark, write_csv(table, new_folder(spark, "inferred-csv")))
+
+
 @query
 def csv_missing(spark, folder):
     table = orders_with_unknowns(spark, folder)
@@ -253,9 +276,9 @@ def table_preview(spark, folder):
 
 @query
 def counts_to_wide(spark, folder):
-    counts = value_counts(scan_table(spark, folder, "events"), "event_type")
-    names = ["click", "error", "purchase", "signup", "view"]
-    return scores_to_wide(counts, names, "event_type", "n")
+    table = scan_table(spark, folder, "events")
+    names = fit_one_hot(table, ["event_type"]).vocabulary["event_type"]
+    return scores_to_wide(value_counts(table, "event_type"), names, "event_type", "n")
 
 
 @query
@@ -308,6 +331,14 @@ def predictions_by_key(spark, folder):
     return join_by_key(orders, submission(priced_orders(spark, folder), "o_orderkey", "large"), "o_orderkey")
 
 
+@query
+def predictions_for_some(spark, folder):
+    """Ids without a prediction stay, with NULL."""
+    orders = scan_table(spark, folder, "orders").select("o_orderkey", "o_custkey")
+    scored = priced_orders(spark, folder).where("o_totalprice > 100000")
+    return join_by_key(orders, submission(scored, "o_orderkey", "large"), "o_orderkey")
+
+
 # ---- aggregates -------------------------------------------------------------
 
 
@@ -336,6 +367,40 @@ def numeric_describe(spark, folder):
     return _rounded(describe(lineitem_with_unknowns(spark, folder)))
 
 
+@query
+def numeric_describe_narrowed(spark, folder):
+    """The same table where no more than a hundred rows are ever ranked at once."""
+    return _rounded(describe(lineitem_with_unknowns(spark, folder), finish_rows=100))
+
+
+def analyzed(spark, folder):
+    """The profile of the documents that have labels."""
+    table = labelled_documents(spark, folder).withColumn("source", F.expr("nullif(source, 'src0')"))
+    return analyze({"train": table}, "doc_id")["train"]
+
+
+@query
+def analyzed_statistics(spark, folder):
+    return _rounded(analyzed(spark, folder).statistics)
+
+
+@query
+def analyzed_missing(spark, folder):
+    return analyzed(spark, folder).missing
+
+
+@query
+def analyzed_mask(spark, folder):
+    """Per column, how many cells the mask marks and how many it doesn't."""
+    mask = analyzed(spark, folder).is_missing
+    return mask.groupBy("doc_id", "source", "n_chars").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query
+def analyzed_data(spark, folder):
+    return analyzed(spark, folder).data
+
+
 @query
 def table_summary(spark, folder):
     return _rounded(summary(events_with_unknowns(spark, folder)))
@@ -395,6 +460,13 @@ def folds(spark, folder):
     return stratified_folds(table, "o_orderstatus", "o_orderkey")
 
 
+@query
+def folds_narrowed(spark, folder):
+    """The same folds where no more than a hundred keys are ever ranked at once."""
+    table = scan_table(spark, folder, "orders").select("o_orderkey", "o_orderstatus")
+    return stratified_folds(table, "o_orderstatus", "o_orderkey", finish_rows=100)
+
+
 @query
 def folds_of_labels(spark, folder):
     return stratified_folds(scan_table(spark, folder, "labels").select("doc_id", "quality"), "quality", "doc_id")
@@ -422,11 +494,13 @@ def grid_penalties(spark, folder):
 
 
 def rule_scores(spark, folder) -> DataFrame:
-    """Accuracy of four rules in every fold."""
+    """Accuracy of four rules in every fold: one average per rule, then one row for each."""
     table = stratified_folds(labelled_documents(spark, folder), "quality", "doc_id")
-    rules = with_candidates(table, parameter_grid({"cut": [500, 1000, 2000, 4000]}))
-    guesses = rules.withColumn("guess", threshold(F.col("n_chars"), F.col("cut"), inclusive=False))
-    return accuracy_by(guesses, ["candidate", "cut", "fold"], "guess", "quality")
+    rules = parameter_grid({"cut": [500, 1000, 2000, 4000]})
+    scores = [accuracy(threshold(F.col("n_chars"), F.lit(r["cut"]), inclusive=False), F.col("quality")) for r in rules]
+    per_fold = table.groupBy("fold").agg(F.array(*scores).alias("scores"))
+    score = F.get("scores", F.col("candidate").cast("int")).alias("score")
+    return with_candidates(per_fold, rules).select("candidate", "cut", "fold", score)
 
 
 @query
@@ -643,18 +717,81 @@ def prepared_per_frame(spark, folder):
 
 # ---- models -----------------------------------------------------------------
 
-DOCUMENT = {"columns": ["lang", "source", "n_chars"], "encode": ["lang", "source"], "label": "quality", "key": "doc_id"}
+# The label is a rule of the language, which every model can learn, so SQL can state what they predict.
+RULE = "CAST(lang IN ('de', 'fr') AS INT) AS continental"
+DOCUMENT = {"columns": ["lang", "source", "n_chars"], "encode": ["lang", "source"], "label": "continental", "key": "doc_id"}
+NARROW = {**DOCUMENT, "columns": ["lang", "n_chars"], "encode": ["lang"]}
+
+
+def rule_documents(spark, folder) -> tuple[DataFrame, DataFrame]:
+    """Train and test table: documents with labels, with the rule as label, and those without."""
+    train = labelled_documents(spark, folder).selectExpr("doc_id", "lang", "source", "n_chars", RULE)
+    return train, unlabelled_documents(spark, folder)
+
+
+# Fixed coefficients, whose probabilities and classes are plain arithmetic.
+FIXED = LinearClassifier(("o_totalprice", "o_shippriority"), (0.00002, -0.75), -3.1)
+
+
+def fixed_scores(spark, folder) -> DataFrame:
+    urgent = F.col("o_orderpriority").isin("1-URGENT", "2-HIGH").cast("int").alias("o_shippriority")
+    return FIXED.transform(scan_table(spark, folder, "orders").select("o_orderkey", "o_totalprice", urgent))
+
+
+@query
+def linear_probabilities(spark, folder):
+    return class_probabilities(fixed_scores(spark, folder), "o_orderkey", "large", digits=6)
+
+
+@query
+def linear_classes(spark, folder):
+    return submission(fixed_scores(spark, folder), "o_orderkey", "large")
+
+
+@query
+def logistic_one_feature(spark, folder):
+    """Coefficient and intercept for a single 0/1 feature, with class weights and penalty."""
+    table = scan_table(spark, folder, "orders").selectExpr("int(o_orderstatus = 'F') AS filled", "int(o_totalprice > 200000) AS large")
+    model = fit_logistic(table, ["filled"], "large", C=0.01, class_weights={0: 1.0, 1: 1.5})
+    rows = [("filled", round(model.coefficients[0], 3)), ("intercept", round(model.intercept, 3))]
+    return spark.createDataFrame(rows, "feature string, score double")
+
+
+def flag_forest(spark, folder):
+    """A forest on one column that is the label and one that says nothing."""
+    documents = scan_table(spark, folder, "documents").selectExpr("doc_id", RULE)
+    table = documents.select("doc_id", "continental", F.col("continental").alias("flag"), F.lit(1).alias("constant"))
+    model = fit_forest(table, ["flag", "constant"], "continental", n_trees=20, max_depth=3, key="doc_id")
+    return table, model
+
+
+@query
+def forest_flag_importances(spark, folder):
+    table, model = flag_forest(spark, folder)
+    return model.scores(table)
+
+
+@query
+def forest_flag_importances_wide(spark, folder):
+    table, model = flag_forest(spark, folder)
+    return scores_to_wide(model.scores(table), model.features)
+
+
+@query
+def forest_flag_probabilities(spark, folder):
+    table, model = flag_forest(spark, folder)
+    return class_probabilities(model.transform(table), "doc_id", "continental")
 
 
 @query
 def logistic_submission(spark, folder):
-    tables = labelled_documents(spark, folder), unlabelled_documents(spark, folder)
+    tables = rule_documents(spark, folder)
     return logistic_predict(*tables, **DOCUMENT).submission
 
 
 @query
 def logistic_coefficients(spark, folder):
-    tables = labelled_documents(spark, folder), unlabelled_documents(spark, folder)
+    tables = rule_documents(spark, folder)
     outcome = logistic_predict(*tables, **DOCUMENT)
     scores = outcome.model.scores(tables[0])
     return scores_to_wide(scores, outcome.features)
@@ -662,20 +799,20 @@ def logistic_coefficients(spark, folder):
 
 @query
 def logistic_probabilities(spark, folder):
-    tables = labelled_documents(spark, folder), unlabelled_documents(spark, folder)
-    return probabilities(logistic_predict(*tables, **DOCUMENT), "doc_id", "quality")
+    tables = rule_documents(spark, folder)
+    return probabilities(logistic_predict(*tables, **DOCUMENT), "doc_id", "continental")
 
 
 @query
 def logistic_inserted(spark, folder):
-    tables = labelled_documents(spark, folder), unlabelled_documents(spark, folder)
-    outcome = logistic_predict(*tables, **DOCUMENT)
-    return with_prediction(outcome.scored, "quality")
+    tables = rule_documents(spark, folder)
+    outcome = logistic_predict(*tables, **NARROW)
+    return with_prediction(outcome.scored, "continental")
 
 
 @query
 def grid_submission(spark, folder):
-    tables = labelled_documents(spark, folder), unlabelled_documents(spark, folder)
+    tables = rule_documents(spark, folder)
     return tune_and_predict(*tables, **DOCUMENT, class_weights={0: 1.0, 1: 1.5}).submission
 
 
@@ -690,27 +827,27 @@ def grid_results(spark, folder):
 
 @query
 def forest_submission(spark, folder):
-    tables = labelled_documents(spark, folder), unlabelled_documents(spark, folder)
-    return forest_predict(*tables, **DOCUMENT).submission
+    tables = rule_documents(spark, folder)
+    return forest_predict(*tables, **NARROW).submission
 
 
 @query
 def forest_importances(spark, folder):
-    tables = labelled_documents(spark, folder), unlabelled_documents(spark, folder)
+    tables = rule_documents(spark, folder)
     outcome = forest_predict(*tables, **DOCUMENT)
     return outcome.model.scores(tables[0])
 
 
 @query
 def network_submission(spark, folder):
-    tables = labelled_documents(spark, folder), unlabelled_documents(spark, folder)
-    return network_predict(*tables, ["n_chars"], ["lang", "source"], "quality", "doc_id").submission
+    tables = rule_documents(spark, folder)
+    return network_predict(*tables, ["n_chars"], ["lang", "source"], "continental", "doc_id", max_iter=50).submission
 
 
 @query
 def boosting_submission(spark, folder):
-    train, test = labelled_documents(spark, folder), unlabelled_documents(spark, folder)
+    train, test = rule_documents(spark, folder)
     fitted = fit_preparation(train, DOCUMENT["columns"], DOCUMENT["encode"])
-    model = fit_boosting(fitted.transform(train, ["quality"]), fitted.feature_names, "quality")
+    model = fit_boosting(fitted.transform(train, ["doc_id", "continental"]), fitted.feature_names, "continental", key="doc_id")
     scored = with_threshold(model.transform(fitted.transform(test, ["doc_id"])))
-    return submission(scored, "doc_id", "quality")
+    return submission(scored, "doc_id", "continental")

@@ -53,17 +53,15 @@ def test_query_equals_its_sql(spark, sf, duck, name):
             assert same, (name, a, b)
 
 
-def test_only_models_have_no_sql():
+def test_only_fitted_numbers_have_no_sql():
     assert set(ORACLE) <= set(QUERIES)
-    assert all(re.match("logistic|grid|forest|network|boosting", n) for n in set(QUERIES) - set(ORACLE))
+    assert set(QUERIES) - set(ORACLE) == {"logistic_coefficients", "logistic_probabilities", "grid_results", "forest_importances"}
 
 
 @pytest.mark.parametrize("name", ["logistic_submission", "grid_submission", "forest_submission", "network_submission", "boosting_submission"])
-def test_submissions_score_every_unlabelled_row(spark, sf, duck, name):
-    rows = QUERIES[name](spark, sf).collect()
-    expected = duck.execute("SELECT doc_id FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)").fetchall()
-    assert sorted(r["doc_id"] for r in rows) == sorted(r[0] for r in expected)
-    assert {r["quality"] for r in rows} <= {0, 1}
+def test_no_submission_is_constant(duck, name):
+    predicted = {r[1] for r in duck.execute(ORACLE[name]).fetchall()}
+    assert predicted == {0, 1}
 
 
 def test_model_reports(spark, sf):
@@ -72,8 +70,7 @@ def test_model_reports(spark, sf):
     importances = QUERIES["forest_importances"](spark, sf).collect()
     assert sum(r["score"] for r in importances) == pytest.approx(1, abs=0.02)
     chances = QUERIES["logistic_probabilities"](spark, sf).collect()
-    assert all(r["quality_0"] + r["quality_1"] == pytest.approx(1, abs=0.0011) for r in chances)
-    assert QUERIES["logistic_inserted"](spark, sf).columns[:2] == ["doc_id", "quality"]
+    assert all(r["continental_0"] + r["continental_1"] == pytest.approx(1, abs=0.0011) for r in chances)
 
 
 def test_grid_learns_the_orders_rule(spark, sf):
