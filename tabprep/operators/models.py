@@ -18,19 +18,24 @@ from pyspark.sql import functions as F
 
 from tabprep.functions.scalar import class_weight, round_half_even, sigmoid, threshold
 from tabprep.operators.frame import quoted
-from tabprep.operators.newton import ALL_ROWS, RowBlocks, fits_in_memory, new_fit
 from tabprep.operators.scale import Scaler, fit_min_max
-from tabprep.parallel import use_all_cores
 
 FEATURES = "__features"
 WEIGHT = "__weight"
 
 
+def _present(value: Column) -> Column:
+    """The value; one that is missing raises."""
+    wrong = F.raise_error(F.lit("features, label and weight must not be missing")).cast("double")
+    return F.when(value.isNull() | F.isnan(value), wrong).otherwise(value)
+
+
 @dataclass(frozen=True)
 class LinearClassifier:
     """A fitted two-class linear model, applied as one arithmetic expression.
 
-    No vector column and no Python in the scoring path; works on streams as well.
+    No vector column and no Python in the scoring path; works on streams as well. A
+    missing feature raises, as it does when fitting.
     An optional scaler is part of the model, so scoring can never skip it.
     """
 
@@ -60,7 +65,7 @@ class LinearClassifier:
 
     def transform(self, df: DataFrame) -> DataFrame:
         """Add ``probability`` (array, one entry per class) and ``prediction``."""
-        one = sigmoid(self.margin())
+        one = sigmoid(_present(self.margin()))
         return df.withColumn("__p", one).select(
             *[quoted(c) for c in df.columns],
             F.array(1.0 - F.col("__p"), F.col("__p")).alias("probability"),
@@ -103,16 +108,19 @@ def class_probabilities(scored: DataFrame, key: str, label: str, digits: int = 3
 
 
 def assemble(df: DataFrame, features: Sequence[str], scaler: Scaler | None = None) -> DataFrame:
-    """Add the feature vector next to the table's own columns."""
+    """Add the feature vector next to the table's own columns; a missing feature raises."""
     names = [f"__f{i}" for i in range(len(features))]
-    values = [(scaler.scaled(f) if scaler else quoted(f).cast("double")).alias(n) for f, n in zip(features, names)]
+    values = [_present(scaler.scaled(f) if scaler else quoted(f).cast("double")).alias(n) for f, n in zip(features, names)]
     wide = df.select(*[quoted(c) for c in df.columns], *values)
     return VectorAssembler(inputCols=names, outputCol=FEATURES).transform(wide).drop(*names)
 
 
 def _training(df, features, label, scaler=None, weight=None) -> DataFrame:
-    vectors = assemble(use_all_cores(df), features, scaler)
-    columns = [FEATURES, quoted(label).cast("double").alias(label)]
+    """Feature vector, label and weight; a missing feature or a label that is neither 0 nor 1 raises."""
+    wrong = F.raise_error(F.lit("labels must be 0 or 1")).cast("double")
+    value = quoted(label).cast("double")
+    vectors = assemble(df, features, scaler).withColumn(label, F.when(value.isin(0.0, 1.0), value).otherwise(wrong))
+    columns = [FEATURES, quoted(label)]
     return vectors.select(*columns, *([] if weight is None else [weight.alias(WEIGHT)]))
 
 
@@ -124,35 +132,14 @@ def fit_logistic(
     max_iter: int = 100,
     class_weights: dict | None = None,
     scale: bool = False,
-    tol: float = 1e-9,
-    solver: str = "auto",
+    tol: float = 1e-12,
 ) -> LinearClassifier:
     """L2-regularised logistic regression, ``C`` being the inverse penalty strength.
 
-    ``scale`` fits a min-max scaler first and keeps it inside the model. ``newton``
-    needs a handful of passes over the data whatever the features' sizes; ``lbfgs`` is
-    Spark ML's solver, which ``auto`` chooses when there are very many features.
+    ``scale`` fits a min-max scaler first and keeps it inside the model. Missing
+    features and labels other than 0 and 1 raise.
     """
     weight = class_weight(quoted(label), class_weights)
-    return fit_weighted_logistic(df, features, label, weight, C, max_iter, scale, tol, solver)[0]
-
-
-def fit_weighted_logistic(
-    df: DataFrame,
-    features: Sequence[str],
-    label: str,
-    weight: Column,
-    C: float,
-    max_iter: int,
-    scale: bool,
-    tol: float,
-    solver: str = "auto",
-) -> tuple[LinearClassifier, int]:
-    """``fit_logistic`` with row weights; also returns the steps the solver used."""
-    if solver == "auto":
-        solver = "newton" if fits_in_memory(1, len(features)) else "lbfgs"
-    if solver == "newton":
-        return _fit_newton(df, features, label, weight, C, max_iter, scale, tol)
     scaler = fit_min_max(df, features) if scale else None
     training = _training(df, features, label, scaler, weight).persist()
     try:
@@ -164,6 +151,7 @@ def fit_weighted_logistic(
             # Spark divides the loss by the weight sum, so the penalty is divided by it too.
             regParam=1.0 / (C * total),
             elasticNetParam=0.0,
+            # Penalties hold for the coefficients as they are, whatever the features' sizes.
             standardization=False,
             family="binomial",
             maxIter=max_iter,
@@ -172,25 +160,35 @@ def fit_weighted_logistic(
     finally:
         training.unpersist()
     coefficients = tuple(float(c) for c in model.coefficients)
-    fitted = LinearClassifier(tuple(features), coefficients, float(model.intercept), scaler)
-    return fitted, model.summary.totalIterations
+    return LinearClassifier(tuple(features), coefficients, float(model.intercept), scaler)
 
 
-def _fit_newton(df, features, label, weight, C, max_iter, scale, tol):
-    values = [quoted(f) for f in features]
-    scaler = fit_min_max(df, features)
-    base = [scaler.shift[f] for f in features], [scaler.width[f] for f in features]
-    low, width = base if scale else (np.zeros(len(features)), np.ones(len(features)))
-    fit = new_fit(C, ALL_ROWS, low, width)
-    with RowBlocks(df, values, quoted(label), weight, F.lit(0), base) as blocks:
-        blocks.fit([fit], max_iter, tol)
-    return LinearClassifier.from_point(features, fit.point, *((low, width) if scale else (None, None))), fit.steps
+def _laid_out(df: DataFrame, key: str | None, partitions: int) -> DataFrame:
+    """Rows in a fixed number of partitions by the hash of their key, in key order.
+
+    Tree fitting draws its samples partition by partition; so laid out, the same rows
+    give the same trees however they came. Without a key the rows stay as they are.
+    """
+    return df if key is None else df.repartition(partitions, quoted(key)).sortWithinPartitions(quoted(key))
 
 
 def fit_forest(
-    df: DataFrame, features: Sequence[str], label: str, n_trees: int = 1000, max_depth: int = 5, seed: int = 0
+    df: DataFrame,
+    features: Sequence[str],
+    label: str,
+    n_trees: int = 1000,
+    max_depth: int = 5,
+    seed: int = 0,
+    key: str | None = None,
+    partitions: int = 32,
+    memory_mb: int = 1024,
 ) -> VectorClassifier:
-    """Random forest with gini splits over the square root of the features."""
+    """Random forest with gini splits over the square root of the features.
+
+    With a unique ``key`` the forest depends on the rows, the seed and ``partitions`` alone, not on
+    how the rows were laid out. ``memory_mb`` is what a task may hold of node statistics: more of it
+    means fewer scans.
+    """
     forest = RandomForestClassifier(
         featuresCol=FEATURES,
         labelCol=label,
@@ -199,18 +197,24 @@ def fit_forest(
         impurity="gini",
         featureSubsetStrategy="sqrt",
         seed=seed,
-        # More tree nodes per scan of the data: whole levels of all trees at once.
-        maxMemoryInMB=1024,
+        maxMemoryInMB=memory_mb,
     )
-    return VectorClassifier(tuple(features), forest.fit(_training(df, features, label)))
+    return VectorClassifier(tuple(features), forest.fit(_training(_laid_out(df, key, partitions), features, label)))
 
 
 def fit_boosting(
-    df: DataFrame, features: Sequence[str], label: str, n_rounds: int = 20, max_depth: int = 5, seed: int = 0
+    df: DataFrame,
+    features: Sequence[str],
+    label: str,
+    n_rounds: int = 20,
+    max_depth: int = 5,
+    seed: int = 0,
+    key: str | None = None,
+    partitions: int = 32,
 ) -> VectorClassifier:
-    """Gradient-boosted trees for two classes."""
+    """Gradient-boosted trees for two classes; ``key`` and ``partitions`` as in ``fit_forest``."""
     boosting = GBTClassifier(featuresCol=FEATURES, labelCol=label, maxIter=n_rounds, maxDepth=max_depth, seed=seed)
-    return VectorClassifier(tuple(features), boosting.fit(_training(df, features, label)))
+    return VectorClassifier(tuple(features), boosting.fit(_training(_laid_out(df, key, partitions), features, label)))
 
 
 def fit_network(

@@ -4,7 +4,8 @@ Tuning fits the same rows again and again with other penalties and other folds l
 out. Each Newton step needs only sums over the rows, so one pass can form the sums of
 every fit; with a handful of steps the whole search costs a handful of passes, where
 fits run one by one cost passes x fits. The sums of a fit grow with the square of the
-number of features; ``fits_in_memory`` says when that is small.
+number of features, so with many features a step takes several passes, each for as many fits as
+a task can hold the sums of. The answers are the same at every width.
 """
 
 import sys
@@ -20,13 +21,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
 
-from tabprep.parallel import use_all_cores
-
 # The functions run in the tasks travel with the job; executors need no copy of this package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-# Most numbers the sums of all fits may take in one task and on the driver.
-SUMS_LIMIT = 1_000_000
+# Numbers the sums of one pass may take in a task; a single fit may take more.
+_SUMS_AT_ONCE = 4_000_000
+# Partial sums are added up in so many groups before they meet.
+_MERGE_GROUPS = 64
 ALL_ROWS = -1
 _BLOCK_ROWS = 4096
 # Feature pairs up to which a block's products are formed side by side (32 MB at most).
@@ -58,10 +59,6 @@ def new_fit(C: float, fold: int, low, width) -> Fit:
     return Fit(float(C), fold, np.asarray(low, "f8"), np.asarray(width, "f8"), np.zeros(len(low) + 1))
 
 
-def fits_in_memory(n_fits: int, n_features: int) -> bool:
-    return n_fits * (n_features + 1) ** 2 <= SUMS_LIMIT
-
-
 class RowBlocks:
     """The rows as matrices, built once and kept for all passes; close it when done.
 
@@ -73,22 +70,13 @@ class RowBlocks:
         self.low, self.width = (np.asarray(b, "f8") for b in base)
         columns = [*values, label, weight, fold]
         table = df.select(*[c.cast("double").alias(f"c{i}") for i, c in enumerate(columns)])
-        blocks = table.mapInArrow(_to_blocks, "block binary").persist(StorageLevel.MEMORY_AND_DISK)
-        self._kept = [blocks]
-        spread = use_all_cores(blocks)
-        if spread is not blocks:
-            blocks = spread.persist(StorageLevel.MEMORY_AND_DISK)
-            self._kept.append(blocks)
-        # A pass sends one set of sums per task, so tasks are kept to what the cores need.
-        tasks = 2 * df.sparkSession.sparkContext.defaultParallelism
-        self.blocks = blocks.coalesce(tasks) if blocks.rdd.getNumPartitions() > tasks else blocks
+        self.blocks = table.mapInArrow(_to_blocks, "block binary").persist(StorageLevel.MEMORY_AND_DISK)
 
     def __enter__(self) -> "RowBlocks":
         return self
 
     def __exit__(self, *_) -> None:
-        for frame in self._kept:
-            frame.unpersist()
+        self.blocks.unpersist()
 
     def fit(self, fits: list[Fit], max_iter: int, tol: float, milestones: Collection[int] = ()) -> dict[int, list]:
         """Advance all fits until they settle; returns their points after the milestone steps."""
@@ -101,7 +89,9 @@ class RowBlocks:
             active = [f for f in fits if not f.done]
             if not active:
                 break
-            self._advance(active, tol)
+            at_once = max(1, 2 * _SUMS_AT_ONCE // (d + 1) ** 2)
+            for start in range(0, len(active), at_once):
+                self._advance(active[start : start + at_once], tol)
             if iteration in milestones:
                 reached[iteration] = [f.point for f in fits]
         return reached
@@ -130,13 +120,12 @@ class RowBlocks:
                 [pa.array(range(len(folds)), pa.int64()), pa.array(list(total), pa.list_(pa.float64()))], ["fit", "sums"]
             )
 
-        # One row per fit and task, added up per fit.
-        found = (
-            self.blocks.mapInArrow(sums, "fit bigint, sums array<double>")
-            .groupBy("fit")
-            .agg(vector_to_array(Summarizer.sum(array_to_vector("sums"))).alias("sums"))
-            .collect()
+        # One row per fit and task, added up in two steps: no task receives those of all others.
+        partial = self.blocks.mapInArrow(sums, "fit bigint, sums array<double>").select(
+            "fit", array_to_vector("sums").alias("sums"), F.pmod(F.spark_partition_id(), F.lit(_MERGE_GROUPS)).alias("merge_group")
         )
+        merged = partial.groupBy("fit", "merge_group").agg(Summarizer.sum(F.col("sums")).alias("sums"))
+        found = merged.groupBy("fit").agg(vector_to_array(Summarizer.sum(F.col("sums"))).alias("sums")).collect()
         for row in found:
             _step(fits[row["fit"]], np.array(row["sums"]), upper, tol)
 

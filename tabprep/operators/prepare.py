@@ -62,20 +62,27 @@ def fit_preparation(
 
 
 def prepare_pair(
-    train: DataFrame, test: DataFrame, columns, encode, digits: int | None = 1, per_frame: bool = False, keys=((), ())
+    train: DataFrame,
+    test: DataFrame,
+    columns,
+    encode,
+    digits: int | None = 1,
+    per_frame: bool = False,
+    keys=((), ()),
+    method: str = "mean",
+    max_categories: int = 1000,
 ) -> tuple[DataFrame, DataFrame]:
     """Prepare a train and a test table.
 
     By default both use what the train table taught. ``per_frame=True`` fits each on
-    itself, which may give the two tables different columns; that raises.
+    itself, which may give the two tables different columns or types; that raises.
     """
-    fitted = fit_preparation(train, columns, encode, digits=digits)
-    other = fit_preparation(test, columns, encode, digits=digits) if per_frame else fitted
+    fitted = fit_preparation(train, columns, encode, method, digits, max_categories)
+    other = fit_preparation(test, columns, encode, method, digits, max_categories) if per_frame else fitted
     prepared = fitted.transform(train, keys[0]), other.transform(test, keys[1])
     require_same_columns(
         prepared[0].select(*[quoted(c) for c in fitted.feature_names]),
         prepared[1].select(*[quoted(c) for c in other.feature_names]),
-        check_types=False,
     )
     return prepared
 

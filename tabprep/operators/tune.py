@@ -1,22 +1,19 @@
 """Grid search for logistic regression over stratified folds."""
 
 from collections.abc import Sequence
-from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from typing import Any
 
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.storagelevel import StorageLevel
 
 from tabprep.functions.scalar import class_weight
 from tabprep.operators.folds import evenly_spaced, log_spaced, parameter_grid, stratified_folds
 from tabprep.operators.frame import quoted
-from tabprep.operators.models import LinearClassifier, fit_weighted_logistic
-from tabprep.operators.newton import ALL_ROWS, RowBlocks, fits_in_memory, new_fit
-from tabprep.operators.scale import Scaler
-from tabprep.operators.scoring import accuracy, candidate_results
+from tabprep.operators.models import LinearClassifier
+from tabprep.operators.newton import ALL_ROWS, RowBlocks, new_fit
+from tabprep.operators.scoring import candidate_results
 
 
 @dataclass(frozen=True)
@@ -41,28 +38,21 @@ def grid_search(
     grid: dict[str, list] | None = None,
     n_folds: int = 5,
     class_weights: dict | None = None,
-    solver: str = "auto",
-    parallelism: int = 2,
     tol: float = 1e-9,
 ) -> GridResult:
     """Tune ``C`` and ``max_iter`` of min-max scaled logistic regression by fold accuracy.
 
-    The scaler is fitted inside each fold. ``newton`` advances every fit of the grid
-    in the same scan; ``lbfgs`` runs Spark ML fits, ``parallelism`` at a time, and is
-    what ``auto`` chooses when there are very many features.
+    The scaler is fitted inside each fold. Every fit of the grid advances in the same scans, by
+    the same steps whatever the number of features.
     """
     grid = grid or default_grid()
-    if solver == "auto":
-        n_fits = len(grid["C"]) * (n_folds + 1)
-        solver = "newton" if fits_in_memory(n_fits, len(features)) else "lbfgs"
     folded = stratified_folds(df, label, key, n_folds, "__fold").select(
         *[quoted(f).cast("double").alias(f) for f in features],
         quoted(label).cast("double").alias("__label"),
         class_weight(quoted(label), class_weights).alias("__weight"),
         "__fold",
     )
-    search = {"newton": _all_at_once, "lbfgs": _one_by_one}[solver]
-    scores, refit = search(folded, list(features), grid, n_folds, parallelism, tol)
+    scores, refit = _all_at_once(folded, list(features), grid, n_folds, tol)
     candidates = parameter_grid(grid)
     rows = [
         (i, c["C"], c["max_iter"], fold, float(scores[c["C"], c["max_iter"]][fold]))
@@ -104,7 +94,7 @@ def _training_scales(folded: DataFrame, features, n_folds: int):
     return scales, {r["__fold"]: r["n"] for r in per_fold}
 
 
-def _all_at_once(folded, features, grid, n_folds, _parallelism, tol):
+def _all_at_once(folded, features, grid, n_folds, tol):
     """All (C, fold) fits and the fits on all rows in common scans."""
     scales, fold_rows = _training_scales(folded, features, n_folds)
     fits = [new_fit(C, fold, *scales[fold]) for C in grid["C"] for fold in (ALL_ROWS, *range(n_folds))]
@@ -130,40 +120,3 @@ def _all_at_once(folded, features, grid, n_folds, _parallelism, tol):
         return LinearClassifier.from_point(features, points[best["max_iter"]][i], *scales[ALL_ROWS])
 
     return scores, refit
-
-
-def _one_by_one(folded, features, grid, n_folds, parallelism, tol):
-    """Spark ML fits, a few at a time; ``max_iter`` values the solver never reached share a fit."""
-    folded = folded.persist(StorageLevel.MEMORY_AND_DISK)
-    limits = sorted(grid["max_iter"], reverse=True)
-
-    def fit(train, C, limit):
-        return fit_weighted_logistic(
-            train, features, "__label", F.col("__weight"), C, limit, scale=True, tol=tol, solver="lbfgs"
-        )
-
-    def score(task):
-        C, fold = task
-        train, held = folded.where(F.col("__fold") != fold), folded.where(F.col("__fold") == fold)
-        found: dict[int, float] = {}
-        for limit in limits:
-            if limit in found:
-                continue
-            model, used = fit(train, C, limit)
-            value = model.transform(held).agg(accuracy(F.col("prediction"), F.col("__label"))).first()[0]
-            found.update({m: value for m in limits if m == limit or used <= m < limit})
-        return found
-
-    tasks = [(C, fold) for C in grid["C"] for fold in range(n_folds)]
-    scores = {(C, m): np.zeros(n_folds) for C in grid["C"] for m in limits}
-    with ThreadPoolExecutor(parallelism) as pool:
-        for (C, fold), found in zip(tasks, pool.map(score, tasks)):
-            for m, value in found.items():
-                scores[C, m][fold] = value
-
-    def refit(best):
-        model, _ = fit(folded, best["C"], best["max_iter"])
-        folded.unpersist()
-        return model
-
-    return scores, refit
