@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from tabprep.materialize import new_folder
 
 # Text bytes that a task holds at a time; a longer single text is a batch of its own.
-SHARD_BYTES = 8 << 20
+SHARD_BYTES = 4 << 20
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -23,8 +23,8 @@ _BYTE_LEVEL = {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": T
 _WORD = re.compile(r"[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u02af]+")
 _SPACES = re.compile(r"\s ")
 _BEFORE_SPACE = re.compile(r"(?<=\S)(?= )")
-#: Segments a worker remembers; beyond that it keeps those of its latest batch.
-REMEMBERED = 700_000
+#: Segments a worker remembers; beyond that it keeps those of its two latest batches.
+REMEMBERED = 600_000
 _JOINED = 2000
 
 
@@ -61,6 +61,7 @@ class Encoder:
             self.opens = np.zeros(self.vocabulary, bool)
             self.opens[[i for w, i in self.words.get_vocab().items() if w[0] == self.letters[32]]] = True
             self.remembered = remembered
+            self.before: set[str | tuple[str]] = set()  # segments of the batch before
             self._forget()
 
     def _forget(self) -> None:
@@ -76,7 +77,7 @@ class Encoder:
         plain = [n for n, t in enumerate(texts) if t and not _SPACES.search(t)]
         lists = pc.split_pattern(pa.array([texts[n] for n in plain], pa.large_string()), " ")
         coded = lists.flatten().dictionary_encode()
-        segments: list[str | tuple[str]] = coded.dictionary.to_pylist()
+        segments: list[str | tuple[str]] = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
         codes = [coded.indices.to_numpy()]
         sizes = np.zeros(len(texts), np.int64)
         order = np.zeros(len(texts), np.int64)  # where the segments of each text begin
@@ -96,7 +97,8 @@ class Encoder:
                 codes.append(np.arange(len(segments), len(segments) + len(own)))
                 segments += [(own[0],), *[s[1:] for s in own[1:]]]
                 sizes[n], order[n], at_end = len(own), at_end, at_end + len(own)
-        new = set(segments).difference(self.place)
+        latest = set(segments)
+        new = latest.difference(self.place)
         if new:
             self._learn(list(new))
         places = np.fromiter(map(self.place.__getitem__, segments), np.int64, len(segments))
@@ -111,7 +113,8 @@ class Encoder:
         reached = np.concatenate([[0], ends])
         per_text = reached[last] - reached[last - sizes]
         if len(self.place) > self.remembered:
-            self._keep(set(segments))
+            self._keep(latest | self.before)
+        self.before = latest
         return ids, per_text
 
     def _keep(self, latest: set) -> None:
