@@ -38,10 +38,27 @@ def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.size("items").cast("bigint").alias("n_items"),
         F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"),
         (F.col("n_hit") > 0).alias("contaminated"),
-        "longest",
     )
 
 
+_WORDS = r"""regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"""
+_GRAMS = "unnest(range(1, len(w) - n + 2)) AS i, unnest([array_to_string(w[j:j + n - 1], ' ') for j in range(1, len(w) - n + 2)]) AS g"
+ORACLE["op4_decontamination"] = f"""WITH
+  d AS (SELECT row_number() OVER () AS r, doc_id, coalesce({_WORDS}, []) AS w FROM documents),
+  b AS (SELECT CAST(item_id AS VARCHAR) AS item, {_WORDS} AS w FROM benchmark WHERE text IS NOT NULL),
+  bn AS (SELECT item, w, least(10, len(w)) AS n FROM b WHERE len(w) > 0),
+  bg AS (SELECT DISTINCT item, n, g FROM (SELECT item, n, {_GRAMS} FROM bn)),
+  dg AS (SELECT r, n, {_GRAMS} FROM d, (SELECT DISTINCT n FROM bn) WHERE len(w) >= n),
+  hit AS (SELECT r, count(DISTINCT p) AS n_hit FROM (
+    SELECT r, unnest(range(i, i + n)) AS p FROM dg SEMI JOIN bg USING (n, g)) GROUP BY r),
+  found AS (SELECT r, count(DISTINCT item) AS n_items, string_agg(DISTINCT item, ',' ORDER BY item) AS items
+    FROM dg JOIN bg USING (n, g) GROUP BY r)
+SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+  sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN hit USING (r) LEFT JOIN found USING (r)"""
+
+
 @query
 def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbour_likeness(read_table(spark, sf_dir, "documents"))
