@@ -20,7 +20,8 @@ import regex
 _PRE_TOKENS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
 _BYTE_LEVEL = {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": True}
 #: Letters that every version of the character tables has.
-_WORD = re.compile(r"[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u02af]+")
+_WORD = "^[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u02af]+$"
+_WORD_AND_STOP = _WORD[:-1] + "[.,]$"
 _SPACES = re.compile(r"\s ")
 _BEFORE_SPACE = re.compile(r"(?<=\S)(?= )")
 #: Segments a worker remembers; beyond that it keeps those of its two latest batches.
@@ -139,43 +140,47 @@ class Encoder:
         self.place.update(zip(keys, range(first, first + len(keys))))
 
     def _learn(self, keys: list[str | tuple[str]]) -> None:
-        """Encode segments: cut them into pre-tokens, and give each distinct pre-token to the model."""
-        known: dict[str, int] = {}
-        parts: list[int] = []  # of ``known``, or -1 less the place of a segment
-        sizes = np.ones(len(keys), np.int64)
-        place, word = self.place.get, _WORD.fullmatch
-        for n, key in enumerate(keys):
-            if isinstance(key, tuple):
-                words = _PRE_TOKENS.findall(key[0])
-            elif word(key):
-                parts.append(known.setdefault(" " + key, len(known)))
-                continue
-            elif word(key, 0, len(key) - 1) and key[-1] in ".,":
-                own = place(key[:-1])
-                parts.append(known.setdefault(" " + key[:-1], len(known)) if own is None else -1 - own)
-                parts.append(known.setdefault(key[-1], len(known)))
-                sizes[n] = 2
-                continue
-            else:
-                words = _PRE_TOKENS.findall(" " + key)
-            parts += [known.setdefault(w, len(known)) for w in words]
-            sizes[n] = len(words)
+        """Encode segments: cut them into pre-tokens, and give each distinct pre-token to the model.
+
+        Most are a word, or a word and a comma or stop: those are told apart by Arrow, all at once.
+        """
+        firsts = [k for k in keys if isinstance(k, tuple)]
+        others = [k for k in keys if not isinstance(k, tuple)]
+        array = pa.array(others, pa.large_string())
+        kind = pc.match_substring_regex(array, _WORD).to_numpy(zero_copy_only=False).astype(np.int64)
+        kind += 2 * pc.match_substring_regex(array, _WORD_AND_STOP).to_numpy(zero_copy_only=False)
+        by_kind = [[others[i] for i in np.flatnonzero(kind == n).tolist()] for n in range(3)]
+        odd, words, stopped = by_kind
+        odd += firsts
+        # Pre-tokens for the model, and of each segment their numbers: in ``known``, or -1 less the place of a segment.
+        known = {" " + w: n for n, w in enumerate(words)}
+        parts = [np.arange(len(words))]
+        sizes = [np.ones(len(words), np.int64)]
+        bases = [k[:-1] for k in stopped]
+        held = [-1 if p is None else p for p in map(self.place.get, bases)]
+        pairs = np.zeros((len(stopped), 2), np.int64)
+        pairs[:, 0] = [-1 - p if p >= 0 else known.setdefault(" " + w, len(known)) for p, w in zip(held, bases)]
+        pairs[:, 1] = [known.setdefault(k[-1], len(known)) for k in stopped]
+        parts.append(pairs.reshape(-1))
+        sizes.append(np.full(len(stopped), 2, np.int64))
+        cut = [_PRE_TOKENS.findall(k[0] if isinstance(k, tuple) else " " + k) for k in odd]
+        parts.append(np.array([known.setdefault(w, len(known)) for own in cut for w in own], np.int64))
+        sizes.append(np.array([len(own) for own in cut], np.int64))
         flat, counts = self._model(list(known))
-        starts = self.used + np.cumsum(counts) - counts
-        part = np.array(parts, np.int64)
-        held = part < 0
-        if len(counts):
-            begin, of_part = starts[np.maximum(part, 0)], counts[np.maximum(part, 0)]
-        else:
-            begin, of_part = np.zeros(len(part), np.int64), np.zeros(len(part), np.int64)
-        begin[held], of_part[held] = self.starts[-1 - part[held]], self.counts[-1 - part[held]]
+        part = np.concatenate(parts)
+        size = np.concatenate(sizes)
+        old = part < 0
+        begin, of_part = np.zeros(len(part), np.int64), np.zeros(len(part), np.int64)
+        begin[~old] = (self.used + np.cumsum(counts) - counts)[part[~old]]
+        of_part[~old] = counts[part[~old]]
+        begin[old], of_part[old] = self.starts[-1 - part[old]], self.counts[-1 - part[old]]
         flat = np.concatenate([self.flat[: self.used], flat])
         ends = np.cumsum(of_part)
         total = int(ends[-1]) if len(ends) else 0
         ids = flat[np.arange(total) + np.repeat(begin - (ends - of_part), of_part)]
         reached = np.concatenate([[0], ends])
-        last = np.cumsum(sizes)
-        self._add(keys, ids, reached[last] - reached[last - sizes])
+        last = np.cumsum(size)
+        self._add([*words, *stopped, *odd], ids, reached[last] - reached[last - size])
 
     def _model(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of pre-tokens, and how many each has.
@@ -183,9 +188,12 @@ class Encoder:
         Most begin with the letter of a space and have it nowhere else, so where they stand in a row,
         an id whose string begins with that letter begins the next one.
         """
-        spelt = [w if w.isascii() and w.isalnum() else w.encode().decode("latin-1").translate(self.letters) for w in words]
-        space = self.letters[32]
-        rows = [n for n, w in enumerate(spelt) if w[0] == space and w.count(space) == 1]
+        space, letters = self.letters[32], self.letters
+        spelt = [
+            space + w[1:] if w.isascii() and w[1:].isalnum() and w[0] == " " else w.encode().decode("latin-1").translate(letters)
+            for w in words
+        ]
+        rows = [n for n, w in enumerate(spelt) if w[0] == space and w.find(space, 1) < 0]
         counts = np.ones(len(spelt), np.int64)
         in_rows = np.zeros(len(spelt), bool)
         in_rows[rows] = True
