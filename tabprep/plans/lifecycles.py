@@ -11,7 +11,7 @@ from typing import Any
 from pyspark.sql import DataFrame
 from pyspark.storagelevel import StorageLevel
 
-from tabprep.operators.frame import quoted
+from tabprep.operators.frame import quoted, select_columns
 from tabprep.operators.impute import fit_imputer
 from tabprep.operators.models import (
     class_probabilities,
@@ -43,8 +43,14 @@ def analyze(tables: dict[str, DataFrame], key: str) -> dict[str, Profile]:
 
 
 def _prepared(train, test, columns, encode, label, key, per_frame, method, max_categories):
-    ready, other = prepare_pair(train, test, columns, encode, 1, per_frame, ([key, label], [key]), method, max_categories)
-    return ready.persist(StorageLevel.MEMORY_AND_DISK), other, tuple(other.columns[1:])
+    """The used columns of the train table, kept; both tables prepared; the features.
+
+    Every fit reads the kept columns: what leads to the train table is worked out once, and
+    preparing is a projection too cheap to keep a second copy of its result.
+    """
+    used = select_columns(train, [key, label, *columns]).persist(StorageLevel.MEMORY_AND_DISK)
+    ready, other = prepare_pair(used, test, columns, encode, 1, per_frame, ([key, label], [key]), method, max_categories)
+    return used, ready, other, tuple(other.columns[1:])
 
 
 def tune_and_predict(
@@ -61,11 +67,11 @@ def tune_and_predict(
     max_categories: int = 1000,
 ) -> Outcome:
     """Prepare both tables, search the grid of logistic regressions, predict with the best."""
-    ready, other, features = _prepared(train, test, columns, encode, label, key, per_frame, method, max_categories)
+    used, ready, other, features = _prepared(train, test, columns, encode, label, key, per_frame, method, max_categories)
     try:
         search = grid_search(ready, features, label, key, grid, class_weights=class_weights)
     finally:
-        ready.unpersist()
+        used.unpersist()
     scored = search.model.transform(other)
     return Outcome(submission(scored, key, label), scored, search.model, features, search)
 
@@ -85,11 +91,11 @@ def logistic_predict(
     max_categories: int = 1000,
 ) -> Outcome:
     """One unscaled logistic regression with given parameters."""
-    ready, other, features = _prepared(train, test, columns, encode, label, key, per_frame, method, max_categories)
+    used, ready, other, features = _prepared(train, test, columns, encode, label, key, per_frame, method, max_categories)
     try:
         model = fit_logistic(ready, features, label, C, max_iter, class_weights)
     finally:
-        ready.unpersist()
+        used.unpersist()
     scored = model.transform(other)
     return Outcome(submission(scored, key, label), scored, model, features)
 
@@ -110,11 +116,11 @@ def forest_predict(
     partitions: int = 32,
 ) -> Outcome:
     """Random forest on the prepared features, the same however the rows are laid out."""
-    ready, other, features = _prepared(train, test, columns, encode, label, key, per_frame, method, max_categories)
+    used, ready, other, features = _prepared(train, test, columns, encode, label, key, per_frame, method, max_categories)
     try:
         model = fit_forest(ready, features, label, n_trees, max_depth, seed, key, partitions)
     finally:
-        ready.unpersist()
+        used.unpersist()
     scored = model.transform(other)
     return Outcome(submission(scored, key, label), scored, model, features)
 
@@ -132,13 +138,14 @@ def network_predict(
     max_categories: int = 1000,
 ) -> Outcome:
     """Standardise and encode, fit the network, decide at probability 0.5."""
-    transformer = fit_column_transformer(train, numeric, categorical, max_categories=max_categories)
+    used = select_columns(train, [key, label, *numeric, *categorical]).persist(StorageLevel.MEMORY_AND_DISK)
+    transformer = fit_column_transformer(used, numeric, categorical, max_categories=max_categories)
     own_fill = fit_imputer(test.select(*[quoted(c) for c in [*numeric, *categorical]]), "mean", 0) if per_frame else None
-    ready = transformer.transform(train, keys=[key, label]).persist(StorageLevel.MEMORY_AND_DISK)
+    ready = transformer.transform(used, keys=[key, label])
     try:
         model = fit_network(ready, transformer.feature_names, label, max_iter=max_iter, seed=seed)
     finally:
-        ready.unpersist()
+        used.unpersist()
     scored = with_threshold(model.transform(transformer.transform(test, [key], own_fill)))
     return Outcome(submission(scored, key, label), scored, model, tuple(transformer.feature_names))
 
