@@ -224,6 +224,8 @@ def _scanner(blocks: list, window: int) -> Callable[[list[bytes]], list[dict]]:
             if len(blocks) == 1 and not ready:
                 ready.append(Benchmark(block.value, window))
             found = (ready[0] if ready else Benchmark(block.value, window)).scan(texts)
+            # Of many blocks a task holds one at a time; the others wait on disk.
+            vars(block).pop("_value", None)
             if total is None:
                 total = found
                 continue

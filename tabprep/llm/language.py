@@ -32,13 +32,17 @@ EPOCHS = 4
 #: Share of good texts that a threshold may cut off at most, before the margins below.
 REJECT = 0.001
 UNDETERMINED = "und"
-_LETTER = re.compile(r"[^\W\d_]")
+_PLAIN_LETTER = re.compile(r"[A-Za-z]")
 _TABLE = bytes(c if 97 <= c <= 122 or c >= 128 else 32 for c in range(256))
 _SHARD = 1 << 20
 _SIZES = (3, 4)
 _FACTORS = {3: np.uint32(0x9E3779B1), 4: np.uint32(0x85EBCA6B)}
 
 
+def has_letter(text: str) -> bool:
+    return bool(_PLAIN_LETTER.search(text)) or any(map(str.isalpha, text))
+
+
 def normalised(text: str) -> bytes:
     words = text.lower().encode().translate(_TABLE).split()
     return b" %b " % b" ".join(words) if words else b""
@@ -87,7 +91,7 @@ class LanguageModel:
 
     def _logits(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, list[bool]]:
         classes = len(self.languages)
-        usable = [bool(classes and _LETTER.search(t)) for t in texts]
+        usable = [bool(classes and has_letter(t)) for t in texts]
         many = [normalised(t) for t in texts]
         sums, n = np.zeros((len(texts), classes + 1)), np.zeros(len(texts))
         begin = 0
@@ -168,7 +172,7 @@ def fit(texts: list[str], languages: list[str], *, buckets: int = BUCKETS, width
             embedding[own] -= (rate * shares / np.sqrt(seen[own]))[:, None] * back
     table = np.concatenate([embedding @ layer * met[:, None], met[:, None].astype(np.float32)], axis=1)
     model = LanguageModel(names, table.astype(np.float32), bias.astype(np.float64), 1.0, 0.0, 0.0)
-    check = [i for i in np.flatnonzero(kept).tolist() if _LETTER.search(texts[i])] or list(range(len(texts)))
+    check = [i for i in np.flatnonzero(kept).tolist() if has_letter(texts[i])] or list(range(len(texts)))
     logits, known, _ = model._logits([texts[i] for i in check])
     truth = np.array([number[languages[i]] for i in check], int)
     if not len(check):

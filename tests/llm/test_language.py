@@ -4,7 +4,7 @@ import zlib
 import numpy as np
 from pyspark.sql import functions as F
 
-from tabprep.llm.language import _buckets, _counts, fit, identify_language, keep_identified, normalised
+from tabprep.llm.language import _buckets, _counts, fit, has_letter, identify_language, keep_identified, normalised
 
 
 def make(n, seed):
@@ -21,6 +21,7 @@ def make(n, seed):
 def test_normalised_text():
     assert normalised("Ab, C-d  É1é\n") == " ab c d é é ".encode()
     assert normalised("12 !?") == b""
+    assert has_letter("12 é") and has_letter("漢") and not has_letter("12 ² ½ _ !") and not has_letter("")
 
 
 def test_table_gives_the_mean_of_embeddings():
