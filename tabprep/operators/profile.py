@@ -2,7 +2,7 @@
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tabprep.functions.scalar import is_missing, nan_to_null, numeric_columns
@@ -22,21 +22,26 @@ def value_counts(df: DataFrame, column: str) -> DataFrame:
     )
 
 
-def value_counts_all(df: DataFrame, columns=None) -> DataFrame:
+def value_counts_all(df: DataFrame, columns=None, top_k: int | None = None) -> DataFrame:
     """(column, value, n) for every column in one pass; values as text.
 
     Counts are combined before the shuffle, so a value held by a third of the rows
-    sends one row per task.
+    sends one row per task. ``top_k`` keeps the most frequent values of each column, of
+    equally frequent ones the first as text; each task then passes on no more than those.
     """
     names = list(columns or df.columns)
     text = [nan_to_null(quoted(n), df.schema[n].dataType).cast("string").alias(n) for n in names]
-    return (
+    counted = (
         df.select(*text)
         .unpivot([], [quoted(n) for n in names], "column", "value")
         .where(F.col("value").isNotNull())
         .groupBy("column", "value")
         .agg(F.count(F.lit(1)).alias("n"))
     )
+    if top_k is None:
+        return counted
+    place = F.row_number().over(Window.partitionBy("column").orderBy(F.desc("n"), "value"))
+    return counted.withColumn("__place", place).where(F.col("__place") <= top_k).drop("__place")
 
 
 def missing_counts(df: DataFrame, columns=None) -> DataFrame:
@@ -46,16 +51,31 @@ def missing_counts(df: DataFrame, columns=None) -> DataFrame:
     return counted.unpivot([], [quoted(n) for n in names], "column", "n_missing")
 
 
-def describe(df: DataFrame, columns=None, sketch_k: int = 1000, finish_rows: int = 1_000_000) -> DataFrame:
+def describe(
+    df: DataFrame, columns=None, sketch_k: int = 1000, finish_rows: int = 1_000_000, exact: bool = True
+) -> DataFrame:
     """(column, count, mean, std, min, p25, p50, p75, max) for the numeric columns.
 
     Sample standard deviation and exact quartiles with linear interpolation. The
-    moments ride on a scan the quartiles need anyway.
+    moments ride on a scan the quartiles need anyway. With ``exact=False`` the quartiles are
+    values near them and everything takes one scan.
     """
-    return _describe(df, columns, sketch_k, finish_rows, with_missing=False)
+    return _describe(df, columns, sketch_k, finish_rows, with_missing=False, exact=exact)
+
+
+def _near_quartiles(df, values, moments):
+    """The results of ``exact_quantiles`` from one aggregate, with near quartiles."""
+    columns = []
+    for value in values.values():
+        columns += [F.percentile_approx(value, QUARTILES, 10_000), F.count(value), *moments(value)]
+    row = list(df.agg(*[c.alias(f"c{i}") for i, c in enumerate(columns)]).first())
+    size = len(columns) // len(values)
+    parts = {n: row[i * size : (i + 1) * size] for i, n in enumerate(values)}
+    quartiles = {n: p[0] or [None] * len(QUARTILES) for n, p in parts.items()}
+    return quartiles, {n: p[1] for n, p in parts.items()}, {n: p[2:] for n, p in parts.items()}
 
 
-def _describe(df, columns, sketch_k, finish_rows, with_missing):
+def _describe(df, columns, sketch_k, finish_rows, with_missing, exact=True):
     names = numeric_columns(df, columns)
     values = {n: nan_to_null(quoted(n), df.schema[n].dataType).cast("double") for n in names}
     every = list(df.columns if columns is None else columns) if with_missing else names
@@ -70,7 +90,9 @@ def _describe(df, columns, sketch_k, finish_rows, with_missing):
         return [F.mean(column), F.stddev_samp(column), F.min(column), F.max(column), *also]
 
     quartiles, counts, found = (
-        exact_quantiles(df, values, QUARTILES, moments, sketch_k, finish_rows, {n: quoted(n) for n in names})
+        _near_quartiles(df, values, moments)
+        if names and not exact
+        else exact_quantiles(df, values, QUARTILES, moments, sketch_k, finish_rows, {n: quoted(n) for n in names})
         if names
         else ({}, {}, {})
     )

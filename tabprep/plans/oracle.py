@@ -163,6 +163,9 @@ FROM orders o JOIN p ON p.o_orderkey = o.o_orderkey""",
     "category_counts": f"""WITH {ORDERS} SELECT o_orderpriority, count(*) AS n FROM o
 WHERE o_orderpriority IS NOT NULL GROUP BY o_orderpriority""",
     "category_counts_all": f"WITH {ORDERS} " + _counts("o", ["o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority"]),
+    "category_counts_top": f"WITH {ORDERS}, c AS ("
+    + _counts("o", ["o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority"])
+    + """) SELECT "column", value, n FROM c QUALIFY row_number() OVER (PARTITION BY "column" ORDER BY n DESC, value) <= 3""",
     "missing_per_column": f"WITH {LINES} " + _missing("l", LINE_COLUMNS),
     "numeric_describe": f"WITH {LINES} " + _describe("l", LINE_COLUMNS[:6]),
     "numeric_describe_narrowed": f"WITH {LINES} " + _describe("l", LINE_COLUMNS[:6]),

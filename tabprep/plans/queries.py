@@ -353,6 +353,12 @@ def category_counts_all(spark, folder):
     return value_counts_all(table, ["o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority"])
 
 
+@query
+def category_counts_top(spark, folder):
+    table = orders_with_unknowns(spark, folder)
+    return value_counts_all(table, ["o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority"], top_k=3)
+
+
 @query
 def missing_per_column(spark, folder):
     return missing_counts(lineitem_with_unknowns(spark, folder))

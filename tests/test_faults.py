@@ -100,3 +100,11 @@ def test_missing_features_raise_when_scoring_too(spark):
         model.transform(df).select(F.sum("prediction")).collect()
     trained = fit_logistic(spark.createDataFrame([(1.0, 0), (2.0, 1)], "a double, y int"), ["a"], "y")
     assert trained.features == ("a",)
+
+
+def test_near_quartiles(spark):
+    df = spark.range(1001).selectExpr("CAST(id AS double) AS a", "CAST(NULL AS double) AS b")
+    row, empty = describe(df, exact=False).orderBy("column").collect()
+    assert (row["count"], row.mean, row.min, row.max) == (1001, 500.0, 0.0, 1000.0)
+    assert [abs(q - e) < 2 for q, e in zip((row.p25, row.p50, row.p75), (250, 500, 750))] == [True] * 3
+    assert empty["count"] == 0 and empty.p50 is None
