@@ -24,7 +24,7 @@ _WORD = "^[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u02af]+$"
 _WORD_AND_STOP = _WORD[:-1] + "[.,]$"
 _SPACES = re.compile(r"\s ")
 _BEFORE_SPACE = re.compile(r"(?<=\S)(?= )")
-#: Segments a worker remembers; beyond that it keeps those of its two latest batches.
+#: Segments a worker remembers; beyond that it keeps those of its latest batch.
 REMEMBERED = 600_000
 _JOINED = 2000
 
@@ -62,7 +62,6 @@ class Encoder:
             self.opens = np.zeros(self.vocabulary, bool)
             self.opens[[i for w, i in self.words.get_vocab().items() if w[0] == self.letters[32]]] = True
             self.remembered = remembered
-            self.before: set[str | tuple[str]] = set()  # segments of the batch before
             self._forget()
 
     def _forget(self) -> None:
@@ -96,26 +95,26 @@ class Encoder:
             if text and not sizes[n]:
                 own = _BEFORE_SPACE.split(text)
                 codes.append(np.arange(len(segments), len(segments) + len(own)))
-                segments += [(own[0],), *[s[1:] for s in own[1:]]]
+                segments += [(own[0],), *[s[1:] for s in own[1:]]]  # may repeat others, which does no harm
                 sizes[n], order[n], at_end = len(own), at_end, at_end + len(own)
-        latest = set(segments)
-        new = latest.difference(self.place)
+        places = np.array([-1 if p is None else p for p in map(self.place.get, segments)], np.int64)
+        new = np.flatnonzero(places < 0).tolist()
         if new:
-            self._learn(list(new))
-        places = np.fromiter(map(self.place.__getitem__, segments), np.int64, len(segments))
+            self._learn(list(dict.fromkeys(segments[i] for i in new)))
+            places[new] = [self.place[segments[i]] for i in new]
         at = places[np.concatenate(codes)]
         if at_end > offsets[-1]:  # bring the segments of all texts into the order of the texts
             at = at[np.arange(int(sizes.sum())) + np.repeat(order - (np.cumsum(sizes) - sizes), sizes)]
         counts = self.counts[at]
         ends = np.cumsum(counts)
         total = int(ends[-1]) if len(ends) else 0
-        ids = self.flat[np.arange(total) + np.repeat(self.starts[at] - (ends - counts), counts)]
+        kind = np.int32 if max(total, self.used) < 1 << 31 else np.int64
+        ids = self.flat[np.arange(total, dtype=kind) + np.repeat((self.starts[at] - (ends - counts)).astype(kind), counts)]
         last = np.cumsum(sizes)
         reached = np.concatenate([[0], ends])
         per_text = reached[last] - reached[last - sizes]
         if len(self.place) > self.remembered:
-            self._keep(latest | self.before)
-        self.before = latest
+            self._keep(set(segments))
         return ids, per_text
 
     def _keep(self, latest: set) -> None:
