@@ -8,12 +8,16 @@ and the ordinary dictionary needs so many bytes more. How often a text's words d
 how much, becomes a probability by logistic regression. Thresholds and weights are calibrated
 on texts that the dictionaries of their fold haven't seen.
 
-Every word of every text is compared; workers remember the lengths of words they have met.
+The method as dealt trains the toxic dictionary on whole toxic text and scores by the lengths alone. That
+finds too little when few words of a text are toxic; the README has the figures of both.
+
+Every word of every text is compared, a long run of letters also by overlapping windows; workers remember the lengths of words they have met.
 """
 
 from __future__ import annotations
 
 import math
+import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -37,6 +41,9 @@ CARRIER = 60
 PREDICT = 0.7
 REMEMBERED = 600_000
 _LONGEST = 48  # bytes of a window; longer words are cut into several
+_STEP = 6  # bytes of the overlapping windows of a longer word: six plain letters, or two characters of most scripts without spaces
+_NONE = (99, 0)
+_PIECE = re.compile(rb"(?=([\x00-\x7f\xc0-\xff].{%d}))" % (_STEP - 1), re.S)
 _TABLE = bytes(c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122 or c >= 128 else 32 for c in range(256))
 
 
@@ -48,6 +55,23 @@ def words_of(text: bytes) -> list[bytes]:
     return words
 
 
+def windows_of(text: bytes, only: frozenset[bytes] | None = None) -> list[bytes]:
+    """``words_of``, and of each longer word also the six bytes from every character on, so that no cut hides what stands in it.
+
+    These begin with a zero byte, which no word has; ``only`` leaves out all but those that it holds.
+    """
+    words = words_of(text)
+    if _LONGEST in map(len, words):
+        inside = (b"\0" + m[1] for w in text.translate(_TABLE).split() if len(w) > _LONGEST for m in _PIECE.finditer(w))
+        words = words + [p for p in inside if only is None or p in only]
+    return words
+
+
+def _cut(windows: list[bytes]) -> list[bytes]:
+    """``windows_of`` without the overlapping ones."""
+    return [w for w in windows if w[:1] != b"\0"]
+
+
 def _trained(size: int, samples: list[bytes], segment: int) -> bytes:
     """Content of a trained dictionary; of few samples, the samples themselves."""
     try:
@@ -57,20 +81,19 @@ def _trained(size: int, samples: list[bytes], segment: int) -> bytes:
 
 
 def telling_words(toxic: list[list[bytes]], ordinary: list[list[bytes]]) -> set[bytes]:
-    """Words in one of a hundred toxic texts at least, eight times as rare in ordinary ones, and hardly so by chance."""
+    """Words eight times as rare in ordinary texts as in toxic ones, and hardly so by chance; however few texts have them."""
     in_toxic, in_ordinary = Counter(), Counter()
     for words in toxic:
         in_toxic.update(set(words))
     for words in ordinary:
         in_ordinary.update(set(words))
-    least = max(3, math.ceil(len(toxic) / 100))
     rate = (len(ordinary) + 1) / (len(toxic) + 1)
     share = math.log((len(toxic) + 1) / (len(toxic) + len(ordinary) + 2))
 
     def tells(n: int, m: int) -> bool:
         """``n`` toxic and ``m`` ordinary texts have the word."""
         chance = n * share + math.lgamma(n + m + 1) - math.lgamma(n + 1) - math.lgamma(m + 1)
-        return n >= least and (n + 0.5) * rate > 8 * (m + 0.5) and chance < -11.5
+        return (n + 0.5) * rate > 8 * (m + 0.5) and chance < -11.5
 
     return {w for w, n in in_toxic.items() if len(w) > 2 and tells(n, in_ordinary[w])}
 
@@ -104,6 +127,11 @@ class Compressors:
         own = sorted(len(self.with_both(self._window(w))) for w in self.telling)
         self.base = own[len(own) * 19 // 20] if own else 0
 
+    @property
+    def pieces(self) -> frozenset[bytes]:
+        """The overlapping windows that the toxic dictionary has; of others it has nothing as a whole."""
+        return frozenset(w for w in self.telling if w[:1] == b"\0")
+
     def _window(self, word: bytes) -> bytes:
         return b"%b\n\t%b\t\n" % (self.carrier, word)
 
@@ -111,8 +139,11 @@ class Compressors:
         """Learn of each word: its bytes with both dictionaries, less those of a toxic word, and how many more with the ordinary one."""
         if not hasattr(self, "base"):
             self._ready()
-        known = self.known
+        known, pieces = self.known, self.pieces
         for word in words.difference(known):
+            if word[:1] == b"\0" and word not in pieces:
+                known[word] = _NONE
+                continue
             window = self._window(word)
             own = len(self.with_both(window))
             # A word that the toxic dictionary doesn't have as a whole is not toxic, whatever the other one needs.
@@ -130,7 +161,7 @@ def fit_compressors(toxic: list[list[bytes]], ordinary: list[list[bytes]]) -> Co
     content = _trained(TOXIC_BYTES, groups, 48) if groups else b""
     # What the trainer has cut at the edge of a segment.
     content = b"".join(s for s in sorted(set(segments)) if s not in content)[:TOXIC_BYTES] + content
-    plain = [b" ".join(words[i : i + 12]) for words in ordinary for i in range(0, len(words), 12)]
+    plain = [b" ".join(words[i : i + 12]) for words in map(_cut, ordinary) for i in range(0, len(words), 12)]
     step = max(1, len(plain) // 150_000)
     return Compressors(content, _trained(ORDINARY_BYTES, plain[::step], 64) if plain else b" ", tuple(sorted(telling)))
 
@@ -143,13 +174,14 @@ class ToxicityModel:
     weights: tuple[float, ...]
 
     def scores(self, texts: list[bytes]) -> list[float]:
-        many = [words_of(t) for t in texts]
+        pieces = self.compressors.pieces
+        many = [windows_of(t, pieces) for t in texts]
         latest = set().union(*many) if many else set()
         self.compressors.lengths(latest)
         known, out = self.compressors.known, []
         toxic = {w: known[w][1] for w in latest if known[w][0] <= self.cost and known[w][1] >= self.gain}
         for words in many:
-            out.append(_probability(_features([(w, toxic[w]) for w in words if w in toxic], len(words)), self.weights))
+            out.append(_probability(_features([(w, toxic[w]) for w in words if w in toxic], len(_cut(words))), self.weights))
         self.compressors.forget(latest)
         return out
 
@@ -180,7 +212,7 @@ def fit(texts: list[bytes], labels: list[int], totals: tuple[int, int] = (1, 1))
 
     ``totals``: how many rows of label 0 and 1 there are, of which the texts may be a sample.
     """
-    many, y = [words_of(t) for t in texts], np.array(labels, np.float64)
+    many, y = [windows_of(t) for t in texts], np.array(labels, np.float64)
     if not len(y) or y.min() == y.max():
         rate = min(max((y.sum() + 0.5) / (len(y) + 1), 0.01), 0.99) if len(y) else 0.01
         return ToxicityModel(Compressors(b"", b" ", ()), -1, 99, (math.log(rate / (1 - rate)), 0.0, 0.0, 0.0, 0.0))
@@ -195,12 +227,13 @@ def fit(texts: list[bytes], labels: list[int], totals: tuple[int, int] = (1, 1))
         for i in np.flatnonzero(fold == k).tolist():
             made.lengths(set(many[i]))
             lengths[i] = [(w, *made.known[w]) for w in many[i] if made.known[w][1] > 0]
+    sizes = [len(_cut(words)) for words in many]
     each = np.where(y > 0, totals[1] / y.sum(), totals[0] / (len(y) - y.sum()))
     each *= len(y) / each.sum()
     best = None
     for cost in (-1, 0, 1):
         for gain in (2, 3, 4, 5):
-            rows = np.array([_features([(w, g) for w, c, g in found if c <= cost and g >= gain], len(words)) for found, words in zip(lengths, many)])
+            rows = np.array([_features([(w, g) for w, c, g in found if c <= cost and g >= gain], size) for found, size in zip(lengths, sizes)])
             weights = _logistic(rows, y, each)
             p = 1 / (1 + np.exp(-np.clip(rows @ weights, -30, 30)))
             loss = -float(np.mean(each * np.where(y > 0, np.log(p + 1e-12), np.log(1 - p + 1e-12))))

@@ -3,7 +3,7 @@ import zlib
 
 import pytest
 
-from tabprep.llm.toxicity import fit, telling_words, toxicity, words_of
+from tabprep.llm.toxicity import fit, telling_words, toxicity, windows_of, words_of
 
 PLAIN = ["river", "stone", "meadow", "window", "garden", "yellow", "summer", "letter", "bridge", "market", "simple", "answer"]
 BAD = ["vileword", "nastything", "awfulstuff"]
@@ -27,6 +27,31 @@ def test_words_are_cut_not_dropped():
     assert telling_words([[b"bad", b"the"]] * 20, [[b"the"]] * 100) == {b"bad"}
 
 
+def test_rare_words_tell():
+    # 20 of 3,000 toxic texts: below one in a hundred, and yet no chance.
+    toxic = [[b"the", b"rareslur"] if i < 20 else [b"the"] for i in range(3000)]
+    assert telling_words(toxic, [[b"the"]] * 3000) == {b"rareslur"}
+    assert telling_words(toxic[18:], [[b"the"]] * 3000) == set()
+
+
+def test_windows_of_long_runs_overlap():
+    assert windows_of(b"short words") == [b"short", b"words"]
+    run = "".join(map(chr, range(0x4E00, 0x4E20)))
+    assert windows_of(run.encode()) == words_of(run.encode()) + [b"\0" + run[i : i + 2].encode() for i in range(31)]
+    assert windows_of(run.encode(), frozenset()) == words_of(run.encode())
+    dice = random.Random(5)
+    texts, labels = [], []
+    for i in range(240):
+        letters = [chr(dice.randrange(0x4E00, 0x9000)) for _ in range(dice.randint(40, 90))]
+        if i % 3 == 0:
+            at = dice.randrange(len(letters))
+            letters[at:at] = "\u9f98\u9f99\u9f9a"
+        texts.append("".join(letters).encode())
+        labels.append(int(i % 3 == 0))
+    scores = fit(texts[:180], labels[:180]).scores(texts[180:])
+    assert [int(s >= 0.7) for s in scores] == labels[180:]
+
+
 def test_held_out_texts_are_told_apart(spark):
     docs, labels = make(600, 1)
     frame = spark.createDataFrame(docs, "doc_id bigint, text string").selectExpr("*", "0.5D AS score", "'l' AS toxic")
