@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tabprep.llm.shared import filtered, held_out, id_and_text, pieces, strings, type_of
+from tabprep.llm.shared import filtered, held_out, id_and_text, pieces, strings, type_of, within_bytes
 
 #: Most rows, and most text bytes, that a model is fitted on, shared evenly among the languages.
 SAMPLE_ROWS = 4000
@@ -192,7 +192,10 @@ def fit(texts: list[str], languages: list[str], *, buckets: int = BUCKETS, width
 
 
 def labelled_sample(docs: DataFrame, *, id_column: str, text_column: str, language_column: str, rows: int, size: int = SAMPLE_BYTES) -> tuple[list[str], list[str]]:
-    """At most ``rows`` labelled rows that aren't held out, as evenly from the languages as they allow, by a hash."""
+    """At most ``rows`` labelled rows that aren't held out, as evenly from the languages as they allow, by a hash.
+
+    Each language has the same part of ``size`` text bytes; rows without room in it are passed over.
+    """
     labelled = docs.select(
         F.col(id_column).alias("doc_id"), F.col(text_column).cast("string").alias("text"), F.col(language_column).cast("string").alias("lang")
     ).where(~held_out(F.col("doc_id")) & F.col("text").isNotNull() & F.col("lang").isNotNull())
@@ -202,29 +205,37 @@ def labelled_sample(docs: DataFrame, *, id_column: str, text_column: str, langua
     chance = F.element_at(F.create_map(*[F.lit(x) for k, n in counts.items() for x in (k, min(1.0, share / n))]), F.col("lang")) if counts else F.lit(0.0)
     by_hash = F.xxhash64("doc_id", "text")
     drawn = labelled.where(F.pmod(by_hash, F.lit(1 << 20)) < chance * (1 << 20))
-    texts, languages, held = [], [], 0
-    for row in drawn.orderBy(by_hash, "doc_id").limit(rows).toLocalIterator():
-        held += len(row.text)
-        if held > size and texts:
-            break
-        texts.append(row.text)
-        languages.append(row.lang)
-    return texts, languages
+    found = drawn.orderBy(by_hash, "doc_id").limit(rows).toLocalIterator()
+    chosen = within_bytes(((r.lang, r.text) for r in found), max(1, size // max(len(counts), 1)))
+    return [text for _, text in chosen], [language for language, _ in chosen]
 
 
-def fit_language_model(docs: DataFrame, *, id_column: str = "doc_id", text_column: str = "text", language_column: str = "lang", sample_rows: int = SAMPLE_ROWS) -> LanguageModel:
-    """A model from at most ``sample_rows`` labelled rows whose crc32 of the id leaves 0 or 2 when divided by 3."""
-    return fit(*labelled_sample(docs, id_column=id_column, text_column=text_column, language_column=language_column, rows=sample_rows))
+def fit_language_model(docs: DataFrame, *, id_column: str = "doc_id", text_column: str = "text", language_column: str = "lang", sample_rows: int = SAMPLE_ROWS, sample_bytes: int = SAMPLE_BYTES) -> LanguageModel:
+    """A model from at most ``sample_rows`` labelled rows whose crc32 of the id leaves 0 or 2 when divided by 3.
 
-
-def identify_language(docs: DataFrame, model: LanguageModel | None = None, *, id_column: str = "doc_id", text_column: str = "text", language_column: str = "lang") -> DataFrame:
+    Their texts have at most ``sample_bytes``, an equal part for each language; a language whose texts are all longer than its part has one of them.
+    """
+    return fit(*labelled_sample(docs, id_column=id_column, text_column=text_column, language_column=language_column, rows=sample_rows, size=sample_bytes))
+
+
+def identify_language(
+    docs: DataFrame,
+    model: LanguageModel | None = None,
+    *,
+    id_column: str = "doc_id",
+    text_column: str = "text",
+    language_column: str = "lang",
+    sample_rows: int = SAMPLE_ROWS,
+    sample_bytes: int = SAMPLE_BYTES,
+) -> DataFrame:
     """``doc_id, held_out, lang_pred, score, rejected`` for each row.
 
     Only the whole text enters a prediction. A null text or one without a letter is ``und`` with score 0
     and rejected, as is every text if there are no labelled rows to learn from.
     Repeated rows score alike; an empty table gives no rows; other columns aren't read.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(model or fit_language_model(docs, id_column=id_column, text_column=text_column, language_column=language_column))
+    names = {"id_column": id_column, "text_column": text_column, "language_column": language_column}
+    shared = docs.sparkSession.sparkContext.broadcast(model or fit_language_model(docs, **names, sample_rows=sample_rows, sample_bytes=sample_bytes))
     rows = id_and_text(docs, id_column, text_column)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -237,8 +248,18 @@ def identify_language(docs: DataFrame, model: LanguageModel | None = None, *, id
     return found.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score", "rejected")
 
 
-def keep_identified(docs: DataFrame, model: LanguageModel | None = None, *, id_column: str = "doc_id", text_column: str = "text", language_column: str = "lang") -> DataFrame:
+def keep_identified(
+    docs: DataFrame,
+    model: LanguageModel | None = None,
+    *,
+    id_column: str = "doc_id",
+    text_column: str = "text",
+    language_column: str = "lang",
+    sample_rows: int = SAMPLE_ROWS,
+    sample_bytes: int = SAMPLE_BYTES,
+) -> DataFrame:
     """``docs``, with all columns, without the rows whose language is rejected."""
-    shared = docs.sparkSession.sparkContext.broadcast(model or fit_language_model(docs, id_column=id_column, text_column=text_column, language_column=language_column))
+    names = {"id_column": id_column, "text_column": text_column, "language_column": language_column}
+    shared = docs.sparkSession.sparkContext.broadcast(model or fit_language_model(docs, **names, sample_rows=sample_rows, sample_bytes=sample_bytes))
 
     return filtered(docs, text_column, lambda texts: [not f[2] for f in shared.value.predict(strings(texts))])

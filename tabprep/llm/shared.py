@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections import Counter
+from collections.abc import Callable, Hashable, Iterable, Iterator
 
 import pyarrow as pa
 import pyarrow.compute
@@ -100,6 +101,38 @@ def type_of(df: DataFrame, column: str) -> str:
 
 
 
+def within_bytes(rows: Iterable[tuple[Hashable, str]], size: int) -> list[tuple[Hashable, str]]:
+    """Of ``(label, text)`` rows as many as ``size`` bytes of each label have room for, in their order.
+
+    A text over a hundredth of that waits until all others have had room, so that it can't crowd them out; a text
+    without room is passed over. A label whose texts are all longer than ``size`` keeps its shortest one whole.
+    """
+    taken: list[tuple[int, Hashable, str]] = []
+    waiting: list[tuple[int, int, Hashable, str]] = []
+    shortest: dict[Hashable, tuple[int, int, str]] = {}
+    held, waits = Counter(), Counter()
+    for at, (label, text) in enumerate(rows):
+        n = len(text.encode())
+        if n > size:
+            if label not in shortest or n < shortest[label][0]:
+                shortest[label] = n, at, text
+        elif n * 100 > size:
+            # More than ``size`` of them can't find room in the end.
+            if waits[label] + n <= size:
+                waits[label] += n
+                waiting.append((at, n, label, text))
+        elif held[label] + n <= size:
+            held[label] += n
+            taken.append((at, label, text))
+    for at, n, label, text in waiting:
+        if held[label] + n <= size:
+            held[label] += n
+            taken.append((at, label, text))
+    found = {label for _, label, _ in taken}
+    taken += [(at, label, text) for label, (_, at, text) in shortest.items() if label not in found]
+    return [(label, text) for _, label, text in sorted(taken, key=lambda row: row[0])]
+
+
 def filtered(docs: DataFrame, text_column: str, keep: Callable[[pa.Array], list[bool]]) -> DataFrame:
     """The rows of ``docs`` for whose texts ``keep`` says so, batch by batch, with all columns whatever their names."""
     plain = docs.toDF(*[f"c{i}" for i in range(len(docs.columns))])

@@ -4,7 +4,7 @@ import zlib
 import numpy as np
 from pyspark.sql import functions as F
 
-from tabprep.llm.language import _buckets, _counts, fit, has_letter, identify_language, keep_identified, normalised
+from tabprep.llm.language import _buckets, _counts, fit, has_letter, identify_language, keep_identified, labelled_sample, normalised
 
 
 def make(n, seed):
@@ -58,6 +58,24 @@ def test_labels_of_held_out_rows_change_nothing(spark):
     assert one == other
 
 
+def test_long_text_ends_no_sample(spark):
+    rows = make(300, 5)
+    rows = [(i, t * 40 if v == "aa" else t, v) for i, t, v in rows]
+    # Whatever their place in hash order.
+    rows += [(10_000 + i, "balo tira " * 30_000, "aa") for i in range(6)]
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    texts, languages = labelled_sample(frame, id_column="doc_id", text_column="text", language_column="lang", rows=4000, size=240_000)
+    free = [v for i, _, v in rows if i < 10_000 and zlib.crc32(str(i).encode()) % 3 != 1]
+    assert {v: languages.count(v) for v in ("bb", "cc")} == {v: free.count(v) for v in ("bb", "cc")}
+    assert 0 < sum(len(t.encode()) for t, v in zip(texts, languages) if v == "aa") <= 80_000
+    # A language with nothing but long texts is learned too.
+    only = spark.createDataFrame([*make(60, 6), (7, "жоло тышу " * 9000, "dd")], "doc_id bigint, text string, lang string")
+    assert labelled_sample(only, id_column="doc_id", text_column="text", language_column="lang", rows=4000, size=200_000)[1].count("dd") == (zlib.crc32(b"7") % 3 != 1)
+    found = identify_language(frame, sample_bytes=240_000).where("held_out AND doc_id < 10000").collect()
+    truth = {i: v for i, _, v in rows}
+    assert sum(r.lang_pred == truth[r.doc_id] for r in found) / len(found) > 0.98
+
+
 def test_odd_rows_and_rejection(spark):
     rows = make(300, 4) + [(1000, None, "aa"), (1001, "", None), (1002, "123 ... !", "bb"), (1003, "Это совсем другой язык", None), (1004, "漢字" * 9000, None), (7, "balo tira", "aa"), (7, "balo tira", "aa"), (None, "schungheit", "bb")]
     frame = spark.createDataFrame(rows, "doc_id bigint, text string, lang string").selectExpr("*", "'p' AS lang_pred")
