@@ -28,7 +28,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tabprep.llm.shared import held_out, id_and_text, pieces, raw_bytes, type_of
+from tabprep.llm.shared import held_out, id_and_text, pieces, raw_bytes, type_of, within_bytes
 
 #: Most labelled rows of each label that a model is fitted on.
 SAMPLE_ROWS = 3000
@@ -243,8 +243,8 @@ def fit(texts: list[bytes], labels: list[int], totals: tuple[int, int] = (1, 1))
     return ToxicityModel(final, best[1], best[2], tuple(best[3].tolist()))
 
 
-def labelled_sample(docs: DataFrame, labels: DataFrame, *, id_column: str, text_column: str, label_column: str, rows: int) -> tuple[list[bytes], list[int], tuple[int, int]]:
-    """At most ``rows`` rows of each label, by the hash of the id, and how many there are; rows held out are never taken."""
+def labelled_sample(docs: DataFrame, labels: DataFrame, *, id_column: str, text_column: str, label_column: str, rows: int, size: int = SAMPLE_BYTES) -> tuple[list[bytes], list[int], tuple[int, int]]:
+    """At most ``rows`` rows of each label, by the hash of the id, and how many there are; rows held out are never taken, nor those without room in ``size`` text bytes of their label."""
     allowed = labels.select(F.col(id_column).alias("doc_id"), F.col(label_column).cast("int").alias("label"))
     allowed = allowed.where(~held_out(F.col("doc_id")) & F.col("label").isin(0, 1) & F.col("doc_id").isNotNull())
     counts = {r.label: r["count"] for r in allowed.groupBy("label").count().collect()}
@@ -253,14 +253,8 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, *, id_column: str, text_
     # At most twice ``rows`` ids and labels.
     few = F.broadcast(chosen[0].unionAll(chosen[1]))
     found = id_and_text(docs, id_column, text_column).where("text IS NOT NULL").join(few, "doc_id").orderBy(by_hash, "doc_id", "text").limit(2 * rows)
-    texts, values, held = [], [], [0, 0]
-    for row in found.toLocalIterator():
-        text = row.text.encode()
-        if held[row.label] + len(text) <= SAMPLE_BYTES or not held[row.label]:
-            texts.append(text)
-            values.append(row.label)
-            held[row.label] += len(text)
-    return texts, values, (counts.get(0, 0), counts.get(1, 0))
+    taken = within_bytes(((r.label, r.text) for r in found.toLocalIterator()), size)
+    return [text.encode() for _, text in taken], [label for label, _ in taken], (counts.get(0, 0), counts.get(1, 0))
 
 
 def toxicity(
@@ -271,16 +265,18 @@ def toxicity(
     text_column: str = "text",
     label_column: str = "toxic",
     sample_rows: int = SAMPLE_ROWS,
+    sample_bytes: int = SAMPLE_BYTES,
     threshold: float = PREDICT,
 ) -> DataFrame:
     """``doc_id, held_out, score, predicted`` for each row.
 
     The model is fitted on at most ``sample_rows`` labelled rows of each label whose crc32 of the id
-    leaves 0 or 2 when divided by 3; only texts enter a score. Null and empty texts get the
+    leaves 0 or 2 when divided by 3, with at most ``sample_bytes`` of text for each label; a text over a hundredth of that
+    is taken only if there is room after the others. Only texts enter a score. Null and empty texts get the
     score of a text without toxic words. Without rows of both labels the score is the labels'
     rate everywhere. Repeated rows score alike; an empty table gives no rows; other columns aren't read.
     """
-    texts, values, totals = labelled_sample(docs, labels, id_column=id_column, text_column=text_column, label_column=label_column, rows=sample_rows)
+    texts, values, totals = labelled_sample(docs, labels, id_column=id_column, text_column=text_column, label_column=label_column, rows=sample_rows, size=sample_bytes)
     model = docs.sparkSession.sparkContext.broadcast(fit(texts, values, totals))
     rows = id_and_text(docs, id_column, text_column)
 

@@ -3,6 +3,7 @@ import zlib
 
 import pytest
 
+from tabprep.llm.shared import within_bytes
 from tabprep.llm.toxicity import fit, telling_words, toxicity, windows_of, words_of
 
 PLAIN = ["river", "stone", "meadow", "window", "garden", "yellow", "summer", "letter", "bridge", "market", "simple", "answer"]
@@ -73,6 +74,23 @@ def test_labels_of_held_out_rows_change_nothing(spark):
     assert scores[0] == scores[1]
 
 
+@pytest.mark.parametrize("long", [1, 0])
+def test_long_text_crowds_out_no_others(spark, long):
+    docs, labels = make(300, 4)
+    docs += [(i, "river stone " * 30_000) for i in range(1000, 1006)]
+    labels += [(i, long) for i in range(1000, 1006)]
+    frame, marks = spark.createDataFrame(docs, "doc_id bigint, text string"), spark.createDataFrame(labels, "doc_id bigint, toxic int")
+    rows = toxicity(frame, marks, sample_bytes=300_000).where("held_out AND doc_id < 1000").collect()
+    truth = dict(labels)
+    assert sum(r.predicted == truth[r.doc_id] for r in rows) / len(rows) > 0.95
+
+
+def test_within_bytes():
+    rows = [(0, "a" * 500), (0, "b" * 5), (1, "c" * 900), (0, "d" * 60), (1, "e" * 700), (0, "f" * 90), (0, "é" * 2), (2, "g" * 2)]
+    assert within_bytes(rows, 100) == [(0, "b" * 5), (0, "d" * 60), (1, "e" * 700), (0, "é" * 2), (2, "g" * 2)]
+    assert within_bytes([(0, "a" * 50), *[(0, "b")] * 60], 100) == [(0, "b")] * 60
+
+
 def test_odd_rows(spark):
     docs, labels = make(60, 3)
     docs += [(1000, None), (1001, ""), (1002, "!!!"), (None, "vileword"), (1003, "x" * 100_000), (5, "again"), (5, "again")]
