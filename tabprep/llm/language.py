@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tabprep.llm.shared import filtered, held_out, id_and_text, pieces, strings, type_of, within_bytes
+from tabprep.llm.shared import filtered, held_out, id_and_text, pieces, sampled_texts, strings, type_of
 
 #: Most rows, and most text bytes, that a model is fitted on, shared evenly among the languages.
 SAMPLE_ROWS = 4000
@@ -192,22 +192,17 @@ def fit(texts: list[str], languages: list[str], *, buckets: int = BUCKETS, width
 
 
 def labelled_sample(docs: DataFrame, *, id_column: str, text_column: str, language_column: str, rows: int, size: int = SAMPLE_BYTES) -> tuple[list[str], list[str]]:
-    """At most ``rows`` labelled rows that aren't held out, as evenly from the languages as they allow, by a hash.
+    """At most ``rows`` labelled rows that have an id and aren't held out, as evenly from the languages as they allow, by a hash.
 
     Each language has the same part of ``size`` text bytes; rows without room in it are passed over.
     """
     labelled = docs.select(
-        F.col(id_column).alias("doc_id"), F.col(text_column).cast("string").alias("text"), F.col(language_column).cast("string").alias("lang")
-    ).where(~held_out(F.col("doc_id")) & F.col("text").isNotNull() & F.col("lang").isNotNull())
-    # One row per language; the filter on ids and labels reads no texts but their lengths.
-    counts = {r.lang: r["count"] for r in labelled.groupBy("lang").count().collect()}
-    share = max(1, rows // max(len(counts), 1))
-    chance = F.element_at(F.create_map(*[F.lit(x) for k, n in counts.items() for x in (k, min(1.0, share / n))]), F.col("lang")) if counts else F.lit(0.0)
-    by_hash = F.xxhash64("doc_id", "text")
-    drawn = labelled.where(F.pmod(by_hash, F.lit(1 << 20)) < chance * (1 << 20))
-    found = drawn.orderBy(by_hash, "doc_id").limit(rows).toLocalIterator()
-    chosen = within_bytes(((r.lang, r.text) for r in found), max(1, size // max(len(counts), 1)))
-    return [text for _, text in chosen], [language for language, _ in chosen]
+        F.col(id_column).alias("doc_id"), F.col(text_column).cast("string").alias("text"), F.col(language_column).cast("string").alias("label")
+    ).where(~held_out(F.col("doc_id")) & F.col("text").isNotNull())
+    labels = labelled.select("doc_id", "label")
+    languages = max(1, labels.where("label IS NOT NULL").select("label").distinct().count())
+    found, _ = sampled_texts(labelled, labels, max(1, rows // languages), max(1, size // languages))
+    return [r["text"] for r in found], [r["label"] for r in found]
 
 
 def fit_language_model(docs: DataFrame, *, id_column: str = "doc_id", text_column: str = "text", language_column: str = "lang", sample_rows: int = SAMPLE_ROWS, sample_bytes: int = SAMPLE_BYTES) -> LanguageModel:

@@ -5,9 +5,10 @@ from __future__ import annotations
 from collections import Counter
 from collections.abc import Callable, Hashable, Iterable, Iterator
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tabprep.materialize import new_folder
@@ -69,6 +70,18 @@ def pieces(batches: Iterator[pa.RecordBatch], column: str = "text", limit: int =
         yield batch.slice(begin)
 
 
+def runs(batches: Iterator[pa.RecordBatch], keys: tuple[str, ...]) -> Iterator[tuple[tuple, pa.RecordBatch]]:
+    """Consecutive rows of equal ``keys`` in a sorted stream, with those keys; a run that crosses batches comes in parts."""
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        codes = [batch.column(k).dictionary_encode().indices.to_numpy() for k in keys]
+        change = np.any([c[1:] != c[:-1] for c in codes], axis=0)
+        bounds = [0, *(np.flatnonzero(change) + 1).tolist(), batch.num_rows]
+        for begin, stop in zip(bounds, bounds[1:]):
+            yield tuple(batch.column(k)[begin].as_py() for k in keys), batch.slice(begin, stop - begin)
+
+
 def raw_bytes(column: pa.Array) -> list[bytes]:
     """UTF-8 bytes of a string column; a null is empty."""
     kind = pa.large_binary() if pa.types.is_large_string(column.type) else pa.binary()
@@ -99,38 +112,61 @@ def type_of(df: DataFrame, column: str) -> str:
     return df.schema[column].dataType.simpleString()
 
 
-
-
-def within_bytes(rows: Iterable[tuple[Hashable, str]], size: int) -> list[tuple[Hashable, str]]:
-    """Of ``(label, text)`` rows as many as ``size`` bytes of each label have room for, in their order.
+def within_bytes(sizes: Iterable[tuple[Hashable, int]], size: int) -> list[int]:
+    """Of texts, given as ``(label, bytes)``, the places of as many as ``size`` bytes of each label have room for, in their order.
 
     A text over a hundredth of that waits until all others have had room, so that it can't crowd them out; a text
-    without room is passed over. A label whose texts are all longer than ``size`` keeps its shortest one whole.
+    without room is passed over. A label whose texts are all longer than ``size`` keeps its shortest one.
     """
-    taken: list[tuple[int, Hashable, str]] = []
-    waiting: list[tuple[int, int, Hashable, str]] = []
-    shortest: dict[Hashable, tuple[int, int, str]] = {}
-    held, waits = Counter(), Counter()
-    for at, (label, text) in enumerate(rows):
-        n = len(text.encode())
+    taken: list[int] = []
+    waiting: list[tuple[int, int, Hashable]] = []
+    shortest: dict[Hashable, tuple[int, int]] = {}
+    held, found = Counter(), set()
+    for at, (label, n) in enumerate(sizes):
         if n > size:
-            if label not in shortest or n < shortest[label][0]:
-                shortest[label] = n, at, text
+            shortest[label] = min(shortest.get(label, (n, at)), (n, at))
         elif n * 100 > size:
-            # More than ``size`` of them can't find room in the end.
-            if waits[label] + n <= size:
-                waits[label] += n
-                waiting.append((at, n, label, text))
+            waiting.append((at, n, label))
         elif held[label] + n <= size:
             held[label] += n
-            taken.append((at, label, text))
-    for at, n, label, text in waiting:
+            taken.append(at)
+            found.add(label)
+    for at, n, label in waiting:
         if held[label] + n <= size:
             held[label] += n
-            taken.append((at, label, text))
-    found = {label for _, label, _ in taken}
-    taken += [(at, label, text) for label, (_, at, text) in shortest.items() if label not in found]
-    return [(label, text) for _, label, text in sorted(taken, key=lambda row: row[0])]
+            taken.append(at)
+            found.add(label)
+    return sorted([*taken, *(at for label, (_, at) in shortest.items() if label not in found)])
+
+
+def sampled_texts(docs: DataFrame, labels: DataFrame, rows: int, size: int) -> tuple[list[Row], dict[Hashable, int]]:
+    """Rows of ``docs`` (``doc_id, text`` and more) with their ``label``, and how many rows of ``labels`` (``doc_id, label``) each label has.
+
+    At most ``rows`` ids of each label are drawn by a hash of the id; of their texts as many are taken as ``size`` bytes of
+    each label have room for. Ids and lengths alone decide, so that no text beyond that size is gathered anywhere; a label whose drawn texts are
+    all longer has its shortest one. An id with several texts gives its shortest. If ``docs`` has a ``label``, it must be the same.
+    """
+    labels = labels.where("doc_id IS NOT NULL AND label IS NOT NULL").distinct()
+    totals = {r.label: r["count"] for r in labels.groupBy("label").count().collect()}
+    if not totals:
+        return [], {}
+    by_hash, whole = F.xxhash64("doc_id"), 1 << 40
+    # Twice as many as are taken, so that only a few rows of each label have to be put in order.
+    chance = F.create_map(*[F.lit(x) for v, n in totals.items() for x in (v, min(whole, int(2.0 * rows / n * whole) + 1))])
+    drawn = labels.where(F.pmod(by_hash, F.lit(whole)) < F.element_at(chance, F.col("label")))
+    first = Window.partitionBy("label").orderBy(by_hash, "doc_id")
+    drawn = drawn.withColumn("place", F.row_number().over(first)).where(F.col("place") <= rows)
+    keys = ["doc_id", "label"] if "label" in docs.columns else ["doc_id"]
+    texts = docs.where("text IS NOT NULL").withColumn("bytes", F.octet_length("text"))
+    # At most ``rows`` ids of each label.
+    sizes = texts.join(F.broadcast(drawn), keys).groupBy("doc_id", "label", "place").agg(F.min("bytes").alias("bytes")).collect()
+    sizes.sort(key=lambda r: (r["place"], r["label"]))
+    chosen = [sizes[i] for i in within_bytes(((r["label"], r["bytes"]) for r in sizes), size)]
+    if not chosen:
+        return [], totals
+    few = F.broadcast(docs.sparkSession.createDataFrame(chosen, drawn.withColumn("bytes", F.lit(0)).schema))
+    found = texts.join(few, [*keys, "bytes"]).dropDuplicates(["doc_id", "label"]).collect()
+    return sorted(found, key=lambda r: (r["place"], r["label"])), totals
 
 
 def filtered(docs: DataFrame, text_column: str, keep: Callable[[pa.Array], list[bool]]) -> DataFrame:

@@ -28,7 +28,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tabprep.llm.shared import held_out, id_and_text, pieces, raw_bytes, type_of, within_bytes
+from tabprep.llm.shared import held_out, id_and_text, pieces, raw_bytes, sampled_texts, type_of
 
 #: Most labelled rows of each label that a model is fitted on.
 SAMPLE_ROWS = 3000
@@ -246,15 +246,9 @@ def fit(texts: list[bytes], labels: list[int], totals: tuple[int, int] = (1, 1))
 def labelled_sample(docs: DataFrame, labels: DataFrame, *, id_column: str, text_column: str, label_column: str, rows: int, size: int = SAMPLE_BYTES) -> tuple[list[bytes], list[int], tuple[int, int]]:
     """At most ``rows`` rows of each label, by the hash of the id, and how many there are; rows held out are never taken, nor those without room in ``size`` text bytes of their label."""
     allowed = labels.select(F.col(id_column).alias("doc_id"), F.col(label_column).cast("int").alias("label"))
-    allowed = allowed.where(~held_out(F.col("doc_id")) & F.col("label").isin(0, 1) & F.col("doc_id").isNotNull())
-    counts = {r.label: r["count"] for r in allowed.groupBy("label").count().collect()}
-    by_hash = F.xxhash64("doc_id")
-    chosen = [allowed.where(F.col("label") == v).distinct().orderBy(by_hash, "doc_id").limit(rows) for v in (0, 1)]
-    # At most twice ``rows`` ids and labels.
-    few = F.broadcast(chosen[0].unionAll(chosen[1]))
-    found = id_and_text(docs, id_column, text_column).where("text IS NOT NULL").join(few, "doc_id").orderBy(by_hash, "doc_id", "text").limit(2 * rows)
-    taken = within_bytes(((r.label, r.text) for r in found.toLocalIterator()), size)
-    return [text.encode() for _, text in taken], [label for label, _ in taken], (counts.get(0, 0), counts.get(1, 0))
+    allowed = allowed.where(~held_out(F.col("doc_id")) & F.col("label").isin(0, 1))
+    found, totals = sampled_texts(id_and_text(docs, id_column, text_column), allowed, rows, size)
+    return [r["text"].encode() for r in found], [r["label"] for r in found], (totals.get(0, 0), totals.get(1, 0))
 
 
 def toxicity(
