@@ -11,6 +11,9 @@ their plain forms (``BASE``) find from left to right.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -47,18 +50,53 @@ FOR = {
 }
 AGAINST = r"version|isbn|\bdoi\b|serial|\bsku\b|part no"
 CONTEXT = 40
+CHUNK = 256  # code points of a part of a text
+BLOCK = 64
 RAISE, LOWER, LEAST_SCORE = 0.3, 0.3, 0.5
 
 
-def _running_sums(steps: Column) -> Column:
-    """Sums of the first 1, 2, ... elements."""
-    zero = F.struct(F.lit(0).alias("sum"), F.array().cast("array<int>").alias("sums"))
+def _some(array: Column, first: Column, last: Column) -> Column:
+    """Elements ``first`` to ``last`` of a column that is an array (an expression would be computed for each of them); a slice copies all of it first."""
+    own = F.transform(F.sequence(first.cast("int"), last.cast("int")), lambda i: F.get(array, i))
+    return F.when(last >= first, own).otherwise(F.array().cast("array<bigint>"))
+
+
+class _Prefixes:
+    """Sums, or greatest values, of the first elements of an array column of long integers, from those of its blocks and of blocks of blocks.
+
+    A function over an array that gathers results in another one would copy that at each step.
+    """
+
+    def __init__(self, array: str, combine: Callable[[Column], Column]) -> None:
+        self.levels, self.combine = [array, f"{array}_blocks", f"{array}_more"], combine
+
+    def prepare(self, df: DataFrame) -> DataFrame:
+        for own, above in zip(self.levels, self.levels[1:]):
+            df = df.select("*", F.when(F.size(own) > 0, self._blocks(F.col(own))).alias(above))
+        return df
 
-    def add(state: Column, step: Column) -> Column:
-        total = state["sum"] + step
-        return F.struct(total.alias("sum"), F.concat(state["sums"], F.array(total)).alias("sums"))
+    def _blocks(self, array: Column) -> Column:
+        last = F.size(array) - 1
+        numbers = F.sequence(F.lit(0), F.floor(last / BLOCK).cast("int"))
+        return F.transform(numbers, lambda b: self.combine(_some(array, b * BLOCK, F.least(b * BLOCK + BLOCK - 1, last))))
 
-    return F.aggregate(steps, zero, add, lambda s: s["sums"])
+    def up_to(self, i: Column) -> Column:
+        """Of elements 0 to ``i``."""
+        own, blocks, more = map(F.col, self.levels)
+        b, m = F.floor(i / BLOCK), F.floor(i / BLOCK**2)
+        parts = _some(more, F.lit(0), m - 1), _some(blocks, m * BLOCK, b - 1), _some(own, b * BLOCK, i)
+        return self.combine(F.concat(*parts))
+
+
+def _sum(array: Column) -> Column:
+    return F.aggregate(array, F.lit(0).cast("bigint"), lambda a, b: a + b)
+
+
+def _between(chunks: Column, begin: Column, end: Column) -> Column:
+    """Code points ``begin`` to ``end`` of the text in ``chunks``, without going through what stands before them."""
+    # Elements are got one by one: a slice copies the whole array first.
+    own = F.transform(F.sequence(F.floor(begin / CHUNK).cast("int"), F.floor((end - 1) / CHUNK).cast("int")), lambda i: F.get(chunks, i))
+    return F.when(end > begin, F.substr(F.array_join(own, ""), begin % CHUNK + 1, end - begin)).otherwise("")
 
 
 def _luhn(digits: Column) -> Column:
@@ -79,72 +117,75 @@ def _mod97(account: Column) -> Column:
     return F.aggregate(F.sequence(F.lit(1), F.length(turned)), F.lit(0), add) == 1
 
 
-def _confirmed(kind: str, value: Column) -> Column:
-    if kind == "ip":
-        return value.rlike(rf"^{_PART}(?:\.{_PART}){{3}}$")
-    if kind == "card":
-        return _luhn(F.regexp_replace(value, "[ -]", ""))
-    if kind == "phone":
-        return F.length(F.regexp_replace(value, "[^0-9]", "")).between(9, 15)
-    if kind == "iban":
-        return _mod97(F.regexp_replace(value, " ", ""))
-    return F.lit(True)
+def _confirmed(kind: Column, value: Column) -> Column:
+    return (
+        F.when(kind == "ip", value.rlike(rf"^{_PART}(?:\.{_PART}){{3}}$"))
+        .when(kind == "card", _luhn(F.regexp_replace(value, "[ -]", "")))
+        .when(kind == "phone", F.length(F.regexp_replace(value, "[^0-9]", "")).between(9, 15))
+        .when(kind == "iban", _mod97(F.regexp_replace(value, " ", "")))
+        .otherwise(F.lit(True))
+    )
+
+
+def _by_kind(kind: Column, value: Callable[[str], Column]) -> Column:
+    return F.coalesce(*[F.when(kind == k, value(k)) for k in KINDS])
+
+
+def _once(value: Column) -> Column:
+    """``value`` through a generator of one row, so that later filters on it don't compute it, and all it is made of, again."""
+    return F.explode(F.array(value))
 
 
 def _with_spans(df: DataFrame, text: str, out: str) -> DataFrame:
-    """``df`` with an array of spans of the string column ``text``, in order of kind and start.
+    """``df`` with an array of spans of the string column ``text``, in order of kind and start, and its parts, ``{out}_chunks``, if it has any.
 
-    Helper columns have names that begin with ``out`` and are dropped.
+    Helper columns have names that begin with ``out``. The work goes with the length of the text and the number of its matches.
     """
     names = [named(c) for c in df.columns]
-    found = {k: f"{out}_{k}_found" for k in KINDS}
-    starts = {k: f"{out}_{k}_starts" for k in KINDS}
-    lists = {k: f"{out}_{k}_spans" for k in KINDS}
+    found = {k: f"{out}_{k}" for k in KINDS}
+    chunks, matches, steps, size = (f"{out}_{x}" for x in ("chunks", "matches", "steps", "size"))
     df = df.select(*names, *[F.regexp_extract_all(F.col(text), F.lit(p), F.lit(0)).alias(found[k]) for k, p in PATTERNS.items()])
 
-    def start_of(kind: str) -> Column:
-        # A match begins after the gap before it, the matches before it and their gaps. Arrays go
-        # through the functions as arguments: what a lambda captures may be computed for each element.
-        gaps = F.transform(F.split(F.col(text), PATTERNS[kind], -1), lambda g: F.length(g))
-        lengths = F.concat(F.array(F.lit(0)), F.transform(F.col(found[kind]), lambda m: F.length(m)))
-        return F.when(F.size(found[kind]) > 0, _running_sums(F.zip_with(gaps, lengths, lambda g, m: g + m)))
-
-    df = df.select(*names, *found.values(), *[start_of(k).alias(starts[k]) for k in KINDS])
-
-    def spans_of(kind: str) -> Column:
-        both = F.zip_with(
-            F.col(found[kind]),
-            F.col(starts[kind]),
-            lambda m, s: F.struct(s.alias("start"), (s + F.length(m)).alias("end"), m.alias("value")),
+    def matches_of(kind: str) -> Column:
+        # Each match with the length of the gap before it; after the last match comes one gap more, and without a match all is gap.
+        def entry(gap: Column, value: Column) -> Column:
+            return F.struct(F.lit(kind).alias("kind"), value.alias("value"), gap.cast("bigint").alias("gap"))
+
+        split = F.zip_with(F.split(F.col(text), PATTERNS[kind], -1), F.col(found[kind]), lambda gap, value: entry(F.length(gap), value))
+        return F.when(F.size(found[kind]) > 0, split).otherwise(F.array(entry(F.length(text), F.lit(None).cast("string"))))
+
+    some = reduce(lambda a, b: a | b, [F.size(c) > 0 for c in found.values()])
+    parts = F.regexp_extract_all(F.col(text), F.lit(f"(?s).{{1,{CHUNK}}}"), F.lit(0))
+    df = df.select(*names, F.length(text).alias(size), *[F.when(some, c).alias(n) for c, n in ((parts, chunks), (F.concat(*map(matches_of, KINDS)), matches))])
+    lengths = F.transform(F.col(matches), lambda m: m["gap"] + F.coalesce(F.length(m["value"]), F.lit(0)))
+    sums = _Prefixes(steps, _sum)
+    df = sums.prepare(df.select("*", lengths.alias(steps)))
+
+    def placed(i: Column) -> Column:
+        match = F.get(matches, i)
+        # Gaps and matches of each kind add up to the text, and kinds follow each other.
+        before = _by_kind(match["kind"], lambda k: F.lit(KINDS.index(k))) * F.col(size)
+        end = (sums.up_to(i) - before).cast("int")
+        return F.struct(match["kind"].alias("kind"), (end - F.length(match["value"])).alias("start"), end.alias("end"), match["value"].alias("value"))
+
+    where = F.filter(F.sequence(F.lit(0), F.size(matches) - 1), lambda i: F.get(matches, i)["value"].isNotNull())
+    good = F.filter(F.transform(where, placed), lambda x: _confirmed(x["kind"], x["value"]))
+
+    def scored(x: Column) -> Column:
+        before = _between(F.col(chunks), F.greatest(x["start"] - CONTEXT, F.lit(0)), x["start"])
+        after = _between(F.col(chunks), x["end"], F.least(x["end"] + CONTEXT, F.col(size)))
+        near = F.lower(F.concat(before, F.lit(" "), after))
+        score = (
+            _by_kind(x["kind"], lambda k: F.lit(SCORES[k]))
+            + F.when(_by_kind(x["kind"], lambda k: near.rlike(FOR[k])), F.lit(RAISE)).otherwise(F.lit(0.0))
+            - F.when(near.rlike(AGAINST), F.lit(LOWER)).otherwise(F.lit(0.0))
         )
-        # After the last match comes one start more.
-        good = F.filter(both, lambda x: x["value"].isNotNull() & _confirmed(kind, x["value"]))
-
-        def scored(x: Column) -> Column:
-            begin = F.greatest(x["start"] - CONTEXT, F.lit(0))
-            near = F.lower(
-                F.concat(
-                    F.substr(F.col(text), begin + 1, x["start"] - begin),
-                    F.lit(" "),
-                    F.substr(F.col(text), x["end"] + 1, F.lit(CONTEXT)),
-                )
-            )
-            score = (
-                F.lit(SCORES[kind])
-                + F.when(near.rlike(FOR[kind]), F.lit(RAISE)).otherwise(F.lit(0.0))
-                - F.when(near.rlike(AGAINST), F.lit(LOWER)).otherwise(F.lit(0.0))
-            )
-            score = F.round(F.greatest(F.least(score, F.lit(1.0)), F.lit(0.0)), 2)
-            return F.struct(F.lit(kind).alias("kind"), x["start"].alias("start"), x["end"].alias("end"), score.alias("score"))
-
-        spans = F.transform(good, scored)
-        if kind not in BASE:
-            spans = F.filter(spans, lambda x: x["score"] >= LEAST_SCORE)
-        empty = F.array().cast("array<struct<kind:string,start:int,end:int,score:double>>")
-        return F.when(F.size(found[kind]) > 0, spans).otherwise(empty)
-
-    df = df.select(*names, *[spans_of(k).alias(lists[k]) for k in KINDS])
-    return df.select(*names, F.concat(*[F.col(c) for c in lists.values()]).alias(out))
+        score = F.round(F.greatest(F.least(score, F.lit(1.0)), F.lit(0.0)), 2)
+        return F.struct(x["kind"].alias("kind"), x["start"].alias("start"), x["end"].alias("end"), score.alias("score"))
+
+    spans = F.filter(F.transform(good, scored), lambda x: x["kind"].isin(*BASE) | (x["score"] >= LEAST_SCORE))
+    empty = F.array().cast("array<struct<kind:string,start:int,end:int,score:double>>")
+    return df.select(*names, chunks, size, _once(F.when(F.col(matches).isNotNull(), spans).otherwise(empty)).alias(out))
 
 
 def find_pii(docs: DataFrame, *, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
@@ -157,32 +198,29 @@ def find_pii(docs: DataFrame, *, id_column: str = "doc_id", text_column: str = "
     return _with_spans(rows, "text", "spans").select("doc_id", "spans")
 
 
-def _redacted(text: Column, spans: Column) -> Column:
-    """``text`` with each span, or each run of overlapping ones, replaced by the kind it begins with."""
-    ordered = F.array_sort(F.transform(spans, lambda s: F.struct(s["start"].alias("start"), (-s["end"]).alias("back"), s["kind"].alias("kind"))))
-    zero = F.struct(F.array().cast("array<string>").alias("parts"), F.lit(0).alias("at"))
-
-    def add(state: Column, span: Column) -> Column:
-        end = -span["back"]
-        new = F.array(F.substr(text, state["at"] + 1, span["start"] - state["at"]), F.concat(F.lit("<"), F.upper(span["kind"]), F.lit(">")))
-        return F.struct(
-            F.when(span["start"] >= state["at"], F.concat(state["parts"], new)).otherwise(state["parts"]).alias("parts"),
-            F.greatest(state["at"], end).alias("at"),
-        )
-
-    return F.aggregate(
-        ordered, zero, add, lambda s: F.concat(F.array_join(s["parts"], ""), F.substr(text, s["at"] + 1))
-    )
-
-
 def redact(docs: DataFrame, *, text_column: str = "text") -> DataFrame:
-    """``docs`` with all its columns and rows, and the spans of personal data in the text replaced by ``<KIND>``.
+    """``docs`` with all its columns and rows, and each span of personal data in the text, or run of overlapping ones, replaced by the ``<KIND>`` it begins with.
 
-    Null texts stay null, texts without spans as they are.
+    Null texts stay null, texts without spans as they are; a long text with very many spans costs hardly more for each of them.
     """
     out = "__pii"
     while any(c.startswith(out) for c in docs.columns):
         out = f"_{out}"
-    spans = _with_spans(docs, text_column, out)
-    text = F.when(F.size(out) > 0, _redacted(F.col(text_column), F.col(out))).otherwise(F.col(text_column))
-    return spans.select(*[text.alias(c) if c == text_column else named(c) for c in docs.columns])
+    chunks, size, ordered, ends = (f"{out}_{x}" for x in ("chunks", "size", "ordered", "ends"))
+    df = _with_spans(docs, text_column, out)
+    names = [named(c) for c in docs.columns]
+    by_start = F.array_sort(F.transform(F.col(out), lambda s: F.struct(s["start"].alias("start"), (-s["end"]).alias("back"), s["kind"].alias("kind"))))
+    df = df.select(*names, chunks, size, F.when(F.size(out) > 0, by_start).alias(ordered))
+    # How far each span and those before it reach.
+    reach = _Prefixes(ends, F.array_max)
+    df = reach.prepare(df.select("*", F.transform(F.col(ordered), lambda s: (-s["back"]).cast("bigint")).alias(ends)))
+
+    def piece(i: Column) -> Column:
+        span, at = F.get(ordered, i), F.when(i > 0, reach.up_to(i - 1).cast("int")).otherwise(0)
+        tag = F.concat(F.lit("<"), F.upper(span["kind"]), F.lit(">"))
+        return F.when(span["start"] >= at, F.concat(_between(F.col(chunks), at, span["start"]), tag)).otherwise("")
+
+    last = F.size(ordered) - 1
+    rest = _between(F.col(chunks), reach.up_to(last).cast("int"), F.col(size))
+    text = F.when(F.size(ordered) > 0, F.concat(F.array_join(F.transform(F.sequence(F.lit(0), last), piece), ""), rest)).otherwise(F.col(text_column))
+    return df.select(*[_once(text).alias(c) if c == text_column else named(c) for c in docs.columns])

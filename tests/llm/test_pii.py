@@ -1,10 +1,11 @@
 import random
 import re
+import time
 
 import pytest
 from pyspark.sql import functions as F
 
-from tabprep.llm.pii import BASE, find_pii, redact
+from tabprep.llm.pii import BASE, _Prefixes, _sum, find_pii, redact
 
 
 def luhn(digits):
@@ -93,6 +94,37 @@ def test_redaction(spark, rows):
     assert redact(frame.limit(0)).count() == 0
 
 
+def test_very_many_matches_in_one_text(spark):
+    text = " ".join(f"user{i}@host{i % 7}.example.org, 漢字" + " pad" * (200 if i % 5000 == 0 else 0) for i in range(50_000))
+    frame = spark.createDataFrame([(1, text), (2, None)], "doc_id bigint, text string")
+    begun = time.monotonic()
+    assert base_spans(find_pii(frame)) == {1: plain(text), 2: []}
+    assert {r.doc_id: r.text for r in redact(frame).collect()} == {1: re.sub(BASE["email"], "<EMAIL>", text), 2: None}
+    assert time.monotonic() - begun < 60
+
+
+@pytest.mark.parametrize("n", [0, 1, 63, 64, 65, 4097])
+def test_prefixes(spark, n):
+    dice = random.Random(n)
+    values = [dice.randrange(100) for _ in range(n)]
+    frame = spark.createDataFrame([(values,)], "v array<bigint>")
+    for combine, expected in ((_sum, lambda v: sum(v)), (F.array_max, max)):
+        prefixes = _Prefixes("v", combine)
+        out = prefixes.prepare(frame).select(F.transform(F.sequence(F.lit(0), F.lit(n - 1)), prefixes.up_to).alias("x")).first().x if n else []
+        assert out == [expected(values[: i + 1]) for i in range(n)]
+
+
+def test_overlapping_spans_are_one(spark):
+    text = "+1 4111111111111111 " * 3 + "x 10.0.0.1@a.bc y " + "漢" * 600 + " z@a.bc" + "w" * 300
+    spans = sorted((s.start, -s.end, s.kind) for s in find_pii(spark.createDataFrame([(1, text)], "doc_id int, text string")).first().spans)
+    out, at = [], 0
+    for start, back, kind in spans:
+        if start >= at:
+            out += [text[at:start], f"<{kind.upper()}>"]
+        at = max(at, -back)
+    assert redact(spark.createDataFrame([(1, text)], "doc_id int, text string")).first().text == "".join([*out, text[at:]])
+
+
 def test_plan_has_no_python(corpus):
     plan = redact(corpus)._jdf.queryExecution().executedPlan().toString() + find_pii(corpus)._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
