@@ -95,8 +95,8 @@ def rebuilt(placed: DataFrame) -> tuple[DataFrame, DataFrame]:
 class _Shard:
     """The conversations of one shard and band, in the order of their ids."""
 
-    def __init__(self, shard: int, band: int, columns: list[np.ndarray]) -> None:
-        self.shard, self.base = shard, band * BAND
+    def __init__(self, shard: int, number: int, band: int, columns: list[np.ndarray]) -> None:
+        self.shard, self.base = shard, number * band
         conversation, d, x1, x2, size, total = columns
         begins = np.flatnonzero(np.r_[True, conversation[1:] != conversation[:-1]])
         self.ids = conversation[begins].tolist()
@@ -112,7 +112,7 @@ class _Shard:
         self.index: dict[int, int] = {}  # bitset of conversations for each position and turn
         for p, i in zip(self.posting, member.tolist()):
             self.index[p] = self.index.get(p, 0) | 1 << i
-        self.goes_on = [0] * (BAND + 2)  # who has a turn after so many turns of the band
+        self.goes_on = [0] * (band + 2)  # who has a turn after so many turns of the band
         self.ends: dict[int, int] = {}  # who ends after so many
         for i, (n, all_turns) in enumerate(zip(self.depths, total[begins].tolist())):
             for k in range(n):
@@ -161,14 +161,14 @@ class _Shard:
         return found
 
 
-def _walked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _walked(batches: Iterator[pa.RecordBatch], band: int) -> Iterator[pa.RecordBatch]:
     key, held = None, []
     columns = ("conv_id", "d", "x1", "x2", "bytes", "total")
 
     def nodes() -> Iterator[pa.RecordBatch]:
         if held:
             rows = pa.Table.from_batches(held)
-            yield from _Shard(*key, [rows.column(c).to_numpy() for c in columns]).walk()
+            yield from _Shard(*key, band, [rows.column(c).to_numpy() for c in columns]).walk()
 
     for own, rows in runs(batches, ("shard", "band")):
         if own != key:
@@ -178,19 +178,19 @@ def _walked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield from nodes()
 
 
-def shard_nodes(conversations: DataFrame, turns: DataFrame) -> DataFrame:
-    """The nodes of each shard and band; see ``rebuilt``."""
-    band = F.floor((F.col("d") - 1) / BAND)
-    bands = turns.where(F.col("total") > BAND).groupBy("conv_id", "total", band.alias("band")).agg(F.bit_xor("x1").alias("x1"), F.bit_xor("x2").alias("x2"))
+def shard_nodes(conversations: DataFrame, turns: DataFrame, shard: int = SHARD, band: int = BAND) -> DataFrame:
+    """The nodes of each shard of ``shard`` ids and band of ``band`` turns; see ``rebuilt``."""
+    number = F.floor((F.col("d") - 1) / band)
+    bands = turns.where(F.col("total") > band).groupBy("conv_id", "total", number.alias("band")).agg(F.bit_xor("x1").alias("x1"), F.bit_xor("x2").alias("x2"))
     so_far = Window.partitionBy("conv_id").orderBy("band").rowsBetween(Window.unboundedPreceding, 0)
     later = bands.select("conv_id", "total", (F.col("band") + 1).alias("band"), F.bit_xor("x1").over(so_far).alias("x1"), F.bit_xor("x2").over(so_far).alias("x2"))
-    later = later.where(F.col("band") * BAND < F.col("total"))
+    later = later.where(F.col("band") * band < F.col("total"))
     zero = F.lit(0).cast("bigint")
     starts = conversations.select("conv_id", "total", zero.alias("band"), zero.alias("x1"), zero.alias("x2")).unionAll(later)
-    starts = starts.select("conv_id", "total", "band", (F.col("band") * BAND).alias("d"), "x1", "x2", zero.alias("bytes"))
-    rows = starts.unionAll(turns.select("conv_id", "total", band.alias("band"), "d", "x1", "x2", "bytes"))
-    rows = rows.withColumn("shard", F.floor(F.col("conv_id") / SHARD))
-    return rows.repartition("shard", "band").sortWithinPartitions("shard", "band", "conv_id", "d").mapInArrow(_walked, _NODES)
+    starts = starts.select("conv_id", "total", "band", (F.col("band") * band).alias("d"), "x1", "x2", zero.alias("bytes"))
+    rows = starts.unionAll(turns.select("conv_id", "total", number.alias("band"), "d", "x1", "x2", "bytes"))
+    rows = rows.withColumn("shard", F.floor(F.col("conv_id") / shard))
+    return rows.repartition("shard", "band").sortWithinPartitions("shard", "band", "conv_id", "d").mapInArrow(lambda batches: _walked(batches, band), _NODES)
 
 
 def _end_lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -216,10 +216,10 @@ def _end_lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*out)], names=["k1", "k2", "ends_sha256"])
 
 
-def _chain_sums(nodes: DataFrame) -> DataFrame:
+def _chain_sums(nodes: DataFrame, size: int) -> DataFrame:
     """``nodes`` with ``leaves, saved`` summed from each node down its chain (the nodes of the same smallest member)."""
     band = ["conv_id", "band"]
-    nodes = nodes.withColumn("band", F.floor(F.col("depth") / BAND))
+    nodes = nodes.withColumn("band", F.floor(F.col("depth") / size))
     down = Window.partitionBy(*band).orderBy(F.desc("depth")).rowsBetween(Window.unboundedPreceding, 0)
     further = Window.partitionBy("conv_id").orderBy(F.desc("band")).rowsBetween(Window.unboundedPreceding, -1)
     below = nodes.groupBy(*band).agg(F.sum("leaf").alias("leaf"), F.sum("save").alias("save"))
@@ -236,6 +236,8 @@ def conversation_trie(
     turn_column: str = "turn",
     role_column: str = "role",
     text_column: str = "text",
+    shard: int = SHARD,
+    band: int = BAND,
 ) -> DataFrame:
     """``conv_id, depth, parent_conv_id, n_convs, n_children, n_leaves, saved_tokens, ends_sha256``: a row for each node of the trie.
 
@@ -244,7 +246,7 @@ def conversation_trie(
 
     Turns are ordered by number, nulls first, those of one number by a hash of role and text, so that repeated
     rows are turns of their own. Null roles and texts are empty. Rows without a conversation id belong to none and are left out. An empty
-    table has no nodes; other columns aren't read.
+    table has no nodes; other columns aren't read. ``shard`` and ``band`` bound what a task holds.
     """
     texts = conversations.select(
         F.col(conversation_column).cast("bigint").alias("conv_id"),
@@ -261,7 +263,7 @@ def conversation_trie(
     )
     placed = stored(positions(stored(hashed, "turns")), "placed")
     all_conversations, turns = rebuilt(placed)
-    local = stored(shard_nodes(all_conversations, turns), "shard-nodes")
+    local = stored(shard_nodes(all_conversations, turns, shard, band), "shard-nodes")
     forget(turns)
 
     name = ["k1", "k2"]
@@ -272,7 +274,7 @@ def conversation_trie(
     children = merged.where("p1 IS NOT NULL").groupBy(F.col("p1").alias("k1"), F.col("p2").alias("k2")).agg(F.count("*").alias("n_children"))
     nodes = merged.join(children, name, "left").withColumn("n_children", F.coalesce("n_children", F.lit(0).cast("bigint")))
     nodes = nodes.withColumns({"leaf": (F.col("n_children") == 0).cast("bigint"), "save": (F.col("n") - 1) * F.col("bytes")})
-    nodes = stored(_chain_sums(nodes), "nodes")
+    nodes = stored(_chain_sums(nodes, band), "nodes")
     chains = nodes.groupBy("conv_id").agg(F.min("depth").alias("top"), F.max_by("leaves", -F.col("depth")).alias("chain_leaves"), F.max_by("saved", -F.col("depth")).alias("chain_saved"))
 
     above = local.select(*name, "depth", F.explode("members").alias("conv_id")).join(chains, "conv_id").where("depth < top")

@@ -24,7 +24,7 @@ BETWEEN = r"[\x00-\x40\x5B-\x60\x7B-\x7F]+"
 LEAST_DOCUMENTS = 3
 TOP = 200
 UNIT = 1_000_000_000
-TILE = 128  # sources on a side of a tile
+SIDE = 128  # sources on a side of a tile
 _TEXT_BYTES = 8 << 20
 _HELD_ROWS = 400_000
 _CELLS = 1 << 20  # terms by sources that a shard compares at a time
@@ -91,8 +91,8 @@ def _divergence(p: np.ndarray, q: np.ndarray) -> np.ndarray:
 class _Tile:
     """One shard's part of a tile of pairs: the sources numbered in block ``left`` by those in block ``right`` of one language."""
 
-    def __init__(self, lang: str, left: int, right: int) -> None:
-        self.lang, self.left, self.right = lang, left, right
+    def __init__(self, lang: str, left: int, right: int, side: int) -> None:
+        self.lang, self.left, self.right, self.side = lang, left, right, side
         self.groups: dict[int, tuple[str, int]] = {}  # number of the source: name, occurrences
         self.vocabulary = self.in_language = 0
         self.sums: np.ndarray | None = None
@@ -108,7 +108,7 @@ class _Tile:
         self.columns = {g: i for i, g in enumerate(numbers)}
         self.names = pa.array([self.groups[g][0] for g in numbers], pa.string())
         self.totals = np.array([self.groups[g][1] + self.vocabulary for g in numbers], np.int64)
-        sides = np.array(numbers, np.int64) // TILE
+        sides = np.array(numbers, np.int64) // self.side
         self.at_left, self.at_right = np.flatnonzero(sides == self.left), np.flatnonzero(sides == self.right)
         self.sums = np.zeros((len(self.at_left), len(self.at_right)), np.int64)
         self.terms = 0
@@ -180,14 +180,14 @@ class _Tile:
         )
 
 
-def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _compare(batches: Iterator[pa.RecordBatch], side: int) -> Iterator[pa.RecordBatch]:
     """Rows of shards, in each the sources of a tile before its counts; yields divergences."""
     tile, key = None, None
     for own, rows in runs(batches, ("lang", "left", "right", "shard", "kind")):
         if own[:4] != key:
             if tile is not None:
                 yield from tile.finish()
-            tile, key = _Tile(*own[:3]), own[:4]
+            tile, key = _Tile(*own[:3], side), own[:4]
         if own[4] == 0:
             tile.introduce(rows)
         else:
@@ -204,13 +204,15 @@ def divergence(
     text_column: str = "text",
     lang_column: str = "lang",
     source_column: str = "source",
+    side: int = SIDE,
 ) -> DataFrame:
     """``lang, source, part, item, value, rank``: how far the terms of each source lie from those of the others.
 
     A language keeps the terms in at least ``least_documents`` of its rows. With V of them, of which a source has N
     occurrences, a term met n times there has p = 1 + floor(10⁹ (n + 1) / (N + V)). Rows of part ``pair`` hold for each other source of the language
     (q) the sum of floor((p - q)² / q) over all kept terms, those of part ``term`` the ``top`` terms that the
-    source has and has more often than the whole language (q). Ranks go by value, then item.
+    source has and has more often than the whole language (q). Ranks go by value, then item. ``side`` sources at most are
+    on a side of a block in memory.
 
     Null texts, languages and sources are empty; an empty language or source is one like any other. Repeated rows count each
     time; a source without terms has p of 1 + floor(10⁹ / V) everywhere. An empty table gives no rows; other columns aren't read.
@@ -241,7 +243,7 @@ def divergence(
         (F.row_number().over(order) - 1).alias("number"),
         (F.count("*").over(whole) - 1).alias("last"),
     )
-    groups = stored(groups.withColumns({"own": F.floor(F.col("number") / TILE).cast("int"), "tiles": F.floor(F.col("last") / TILE).cast("int")}), "sources")
+    groups = stored(groups.withColumns({"own": F.floor(F.col("number") / side).cast("int"), "tiles": F.floor(F.col("last") / side).cast("int")}), "sources")
 
     # A source goes to the tiles of its row and of its column; the one on the diagonal is in both.
     others = F.sequence(F.lit(0), F.col("tiles"))
@@ -256,7 +258,7 @@ def divergence(
     counts = counts.select("*", F.pmod(F.xxhash64("term"), F.lit(shards)).cast("int").alias("shard"), F.lit(1).alias("kind"), F.col("term").alias("item"), none.alias("vocabulary"), tiles).select(*columns)
     keys = ["lang", "left", "right", "shard"]
     dealt = heads.unionAll(counts).repartition(shards, *keys).sortWithinPartitions(*keys, "kind", "item")
-    found = stored(dealt.mapInArrow(_compare, "lang string, source string, part string, item string, value bigint, terms bigint, missing bigint"), "divergences")
+    found = stored(dealt.mapInArrow(lambda batches: _compare(batches, side), "lang string, source string, part string, item string, value bigint, terms bigint, missing bigint"), "divergences")
 
     ranked = Window.partitionBy("lang", "source").orderBy(F.desc("value"), "item")
     by_term = found.where("part = 'term'").select("lang", "source", "part", "item", "value")

@@ -7,11 +7,13 @@ everything before the softmax is linear, a trained model is one table of bucket
 language, and a text's logits are the mean of its rows: no more than a look-up per byte.
 
 Confidence is calibrated on texts kept from training, by a temperature. A text is rejected if it has no letter, if its
-confidence, or the share of its subwords that training has met, is far below what such texts have.
+confidence is too low, or the share of its subwords that training hasn't met too high, for texts of its language. The bounds
+are set so that each rejects a stated share of good texts, by an exponential tail fitted to what texts kept from training have.
 """
 
 from __future__ import annotations
 
+import math
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -29,8 +31,10 @@ SAMPLE_BYTES = 24 << 20
 BUCKETS = 1 << 17
 WIDTH = 16
 EPOCHS = 4
-#: Share of good texts that a threshold may cut off at most, before the margins below.
+#: Share of good texts that each of the two bounds is to reject.
 REJECT = 0.001
+#: Weight, in subwords, of a language's usual share of unknown ones: short texts tell little.
+_PRIOR = 40
 UNDETERMINED = "und"
 _PLAIN_LETTER = re.compile(r"[A-Za-z]")
 _TABLE = bytes(c if 97 <= c <= 122 or c >= 128 else 32 for c in range(256))
@@ -73,23 +77,30 @@ class LanguageModel:
     table: np.ndarray  # float32, bucket by language, and a last column that is 1 where training met the bucket
     bias: np.ndarray
     temperature: float
-    least_confidence: float
-    least_known: float
+    least_confidence: np.ndarray  # of each language, as are the others
+    most_unknown: np.ndarray
+    usual_unknown: np.ndarray
 
     def predict(self, texts: list[str]) -> list[tuple[str, float, bool]]:
         """Language, confidence and whether the text is rejected."""
-        logits, known, usable = self._logits(texts)
-        out = []
-        for row, share, good in zip(logits, known, usable):
-            if not good:
-                out.append((UNDETERMINED, 0.0, True))
-                continue
-            best = int(np.argmax(row))
-            score = float(1 / np.exp((row - row[best]) / self.temperature).sum())
-            out.append((self.languages[best], score, bool(score < self.least_confidence or share < self.least_known)))
-        return out
-
-    def _logits(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, list[bool]]:
+        if not self.languages:
+            return [(UNDETERMINED, 0.0, True)] * len(texts)
+        logits, known, usable, n = self._logits(texts)
+        best, confidence, unknown = self._measures(logits, known, n)
+        bad = (confidence < self.least_confidence[best]) | (unknown > self.most_unknown[best])
+        return [
+            (self.languages[k], float(c), bool(b)) if good else (UNDETERMINED, 0.0, True) for k, c, b, good in zip(best.tolist(), confidence, bad, usable)
+        ]
+
+    def _measures(self, logits: np.ndarray, known: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Number of the likeliest language, confidence in it, and the share of unknown subwords, drawn towards the usual one in short texts."""
+        best = np.argmax(logits, axis=1)
+        z = (logits - logits.max(axis=1, keepdims=True)) / self.temperature
+        unknown = ((1 - known) * n + _PRIOR * self.usual_unknown[best]) / (n + _PRIOR)
+        return best, 1 / np.exp(z).sum(axis=1), unknown
+
+    def _logits(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, list[bool], np.ndarray]:
+        """Logits, share of subwords that training has met, whether there is a letter, and number of subwords."""
         classes = len(self.languages)
         usable = [bool(classes and has_letter(t)) for t in texts]
         many = [normalised(t) for t in texts]
@@ -117,7 +128,7 @@ class LanguageModel:
                     sums[begin + rows, k] += np.add.reduceat(column, np.minimum(bounds, len(column) - 1), dtype=np.float64)[::2]
             begin = stop
         mean = sums / np.maximum(n, 1)[:, None]
-        return mean[:, :classes] + self.bias, mean[:, classes], usable
+        return mean[:, :classes] + self.bias, mean[:, classes], usable, n
 
     @property
     def columns(self) -> list[np.ndarray]:
@@ -129,12 +140,14 @@ class LanguageModel:
         return {k: v for k, v in self.__dict__.items() if k != "_columns"}
 
 
-def fit(texts: list[str], languages: list[str], *, buckets: int = BUCKETS, width: int = WIDTH, epochs: int = EPOCHS, seed: int = 1) -> LanguageModel:
-    """Train on nine texts in ten, calibrate on the tenth. Each text counts whole and as a short window, so that short texts are learned too."""
+def fit(
+    texts: list[str], languages: list[str], *, buckets: int = BUCKETS, width: int = WIDTH, epochs: int = EPOCHS, reject: float = REJECT, seed: int = 1
+) -> LanguageModel:
+    """Train on four texts in five, calibrate on the fifth. Each text counts whole and as a short window, so that short texts are learned too."""
     dice = np.random.default_rng(seed)
     names = tuple(sorted(set(languages)))
     number = {v: i for i, v in enumerate(names)}
-    kept = np.arange(len(texts)) % 10 == 9 if len(texts) >= 20 else np.zeros(len(texts), bool)
+    kept = np.arange(len(texts)) % 5 == 4 if len(texts) >= 20 else np.zeros(len(texts), bool)
     met = np.zeros(buckets, bool)
     examples = []
     for text, language, keep in zip(texts, languages, kept):
@@ -171,12 +184,13 @@ def fit(texts: list[str], languages: list[str], *, buckets: int = BUCKETS, width
             seen[own] += shares**2 * float(back @ back) / width
             embedding[own] -= (rate * shares / np.sqrt(seen[own]))[:, None] * back
     table = np.concatenate([embedding @ layer * met[:, None], met[:, None].astype(np.float32)], axis=1)
-    model = LanguageModel(names, table.astype(np.float32), bias.astype(np.float64), 1.0, 0.0, 0.0)
-    check = [i for i in np.flatnonzero(kept).tolist() if has_letter(texts[i])] or list(range(len(texts)))
-    logits, known, _ = model._logits([texts[i] for i in check])
-    truth = np.array([number[languages[i]] for i in check], int)
-    if not len(check):
+    anything = np.zeros(len(names)), np.ones(len(names)), np.zeros(len(names))
+    model = LanguageModel(names, table.astype(np.float32), bias.astype(np.float64), 1.0, *anything)
+    check = [i for i in np.flatnonzero(kept).tolist() if has_letter(texts[i])]
+    if not check:
         return model
+    truth = np.array([number[languages[i]] for i in check], int)
+    logits, known, _, n = model._logits([texts[i] for i in check])
 
     def loss(temperature: float) -> float:
         z = logits / temperature
@@ -184,11 +198,27 @@ def fit(texts: list[str], languages: list[str], *, buckets: int = BUCKETS, width
         return float(np.mean(np.log(np.exp(z).sum(axis=1)) - z[np.arange(len(truth)), truth]))
 
     temperature = min((0.25 * 1.25**k for k in range(16)), key=loss)
-    z = logits / temperature
-    confidence = 1 / np.exp(z - z.max(axis=1, keepdims=True)).sum(axis=1)
-    # Half of what all but a few good texts reach, and no more than chance twice over.
-    least = min(0.5 * float(np.quantile(confidence, REJECT)), 2 / max(len(names), 1), 0.5)
-    return LanguageModel(names, model.table, model.bias, temperature, least, 0.5 * float(np.quantile(known, REJECT)))
+    # Short windows of the same texts too, since short texts are judged by the same bounds.
+    windows = [normalised(texts[i])[: int(dice.integers(20, 200))].decode(errors="ignore") for i in check]
+    good = [k for k, w in enumerate(windows) if has_letter(w)]
+    more = model._logits([windows[k] for k in good])
+    logits, known, n, truth = np.concatenate([logits, more[0]]), np.r_[known, more[1]], np.r_[n, more[3]], np.r_[truth, truth[good]]
+    usual = np.array([np.average(1 - known[own], weights=n[own] + 1e-9) if (own := truth == k).any() else 0.0 for k in range(len(names))])
+    model = LanguageModel(names, model.table, model.bias, temperature, *anything[:2], usual)
+    _, confidence, unknown = model._measures(logits, known, n)
+
+    def bounds(values: np.ndarray) -> np.ndarray:
+        """What a share ``reject`` of a language's texts is to lie beyond; a language with few texts has the bound of all."""
+        return np.array([_beyond(values[own] if (own := truth == k).sum() >= 30 else values, reject) for k in range(len(names))])
+
+    return LanguageModel(names, model.table, model.bias, temperature, np.exp(-bounds(-np.log(confidence))), bounds(unknown), usual)
+
+
+def _beyond(values: np.ndarray, share: float) -> float:
+    """The bound that ``share`` of such values exceed, if their upper tenth falls off exponentially."""
+    high = float(np.quantile(values, 0.9))
+    over = values[values > high]
+    return high + float((over - high).mean() if len(over) else 0.0) * math.log(max(0.1 / share, 1.0)) + 1e-9
 
 
 def labelled_sample(docs: DataFrame, *, id_column: str, text_column: str, language_column: str, rows: int, size: int = SAMPLE_BYTES) -> tuple[list[str], list[str]]:

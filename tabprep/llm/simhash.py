@@ -20,15 +20,16 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tabprep.llm.shared import forget, id_and_text, named, pieces, raw_bytes, stored, type_of
+from tabprep.llm.shared import forget, id_and_text, pieces, raw_bytes, stored, type_of
 
 BITS = 64
 SHINGLE = 3
 DISTANCE = 3
 SEED = 42
+BROADCAST_ROWS = 500_000  # ids and hashes of rows to be dropped, 16 bytes each
 BLOCK = 4096  # members of a bucket that are compared in one task
 _POPULAR = np.array([bin(i).count("1") for i in range(256)], np.int64)
 _BIT_OF_BYTE = (np.arange(256)[:, None] >> np.arange(8)) & 1
@@ -340,14 +341,43 @@ def near_duplicates(
     return prints.join(by_print, "fingerprint").select("doc_id", "text_hash", "fingerprint", "group", "component_id")
 
 
-def keep_one(docs: DataFrame, *, shingle: int = SHINGLE, distance: int = DISTANCE, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """``docs`` with one row of each group of near-duplicates, with all its columns: the one with the smallest id.
+def keep_one(
+    docs: DataFrame,
+    *,
+    shingle: int = SHINGLE,
+    distance: int = DISTANCE,
+    id_column: str = "doc_id",
+    text_column: str = "text",
+    broadcast_rows: int = BROADCAST_ROWS,
+) -> DataFrame:
+    """``docs`` with one row of each group of near-duplicates, with all its columns, whatever their names: the one with the smallest id.
 
-    If several rows have that id, one with the smallest hash of the text stays.
+    If several rows have that id, one with the smallest hash of the text stays. Ids and hashes alone decide. If at most
+    ``broadcast_rows`` of them are to go, they are sent to the texts, else texts and verdicts meet in one shuffle.
     """
     found = near_duplicates(docs, shingle=shingle, distance=distance, id_column=id_column, text_column=text_column)
-    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")).alias("first")
-    kept = found.groupBy("group").agg(first).select(F.col("first.doc_id").alias("__id"), F.col("first.text_hash").alias("__hash"))
-    keyed = docs.withColumn("__own", F.xxhash64(F.col(text_column).cast("string")))
-    joined = keyed.join(kept, (F.col("__own") == F.col("__hash")) & F.col(id_column).eqNullSafe(F.col("__id")))
-    return joined.dropDuplicates(["__own", "__id"]).select(*[named(c) for c in docs.columns])
+    keys = found.groupBy("doc_id", "text_hash", "group").agg(F.count("*").alias("n"))
+    own = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")
+    verdicts = keys.join(keys.groupBy("group").agg(F.min(own).alias("first")), "group")
+    verdicts = stored(verdicts.select(F.col("doc_id").alias("id"), "text_hash", "n", (own == F.col("first")).alias("kept")), "verdicts")
+    gone, repeated = verdicts.agg(F.count_if(~F.col("kept")), F.count_if(F.col("kept") & (F.col("n") > 1))).first()
+
+    plain = docs.toDF(*[f"c{i}" for i in range(len(docs.columns))])
+    doc_id, text = (F.col(f"c{docs.columns.index(c)}") for c in (id_column, text_column))
+    hashed = plain.withColumn("own", F.xxhash64(text.cast("string")))
+
+    def meets(side: DataFrame) -> Column:
+        return (F.col("own") == side["text_hash"]) & doc_id.eqNullSafe(side["id"])
+
+    if gone <= broadcast_rows:
+        drop = verdicts.where("NOT kept")
+        rows = hashed.join(F.broadcast(drop), meets(drop), "left_anti")
+    else:
+        keep = verdicts.where("kept")
+        rows = hashed.join(keep, meets(keep), "left_semi")
+    if repeated:
+        # Only rows that are there several times are compared once more.
+        many = verdicts.where("kept AND n > 1")
+        once = rows.join(many, meets(many), "left_anti")
+        rows = once.unionAll(rows.join(many, meets(many), "left_semi").dropDuplicates(["own", f"c{docs.columns.index(id_column)}"]))
+    return rows.drop("own").toDF(*docs.columns)

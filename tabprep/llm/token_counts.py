@@ -14,6 +14,7 @@ that sums are exact. Letters without a piece fall back to their bytes, each less
 from __future__ import annotations
 
 import math
+import sys
 from collections.abc import Iterator
 
 import numpy as np
@@ -24,17 +25,24 @@ from tabprep.llm.shared import id_and_text, pieces, strings, type_of
 from tabprep.llm.tokens import public_path
 
 MARK = "▁"
-REMEMBERED = 600_000
+#: Bytes of words that a worker remembers the counts of; beyond that it keeps those of its latest batch.
+REMEMBERED_BYTES = 64 << 20
+_EACH = 100  # about what Python needs for each of them besides
+
+
+def _bytes_of(words: set[str]) -> int:
+    return sum(map(sys.getsizeof, words)) + _EACH * len(words)
 
 
 class Unigram:
     """Pieces with scores, and the counts of the words a worker has met."""
 
-    def __init__(self, scores: dict[str, int], byte_score: int, remembered: int = REMEMBERED) -> None:
+    def __init__(self, scores: dict[str, int], byte_score: int, remembered: int = REMEMBERED_BYTES) -> None:
         self.scores, self.byte_score = scores, byte_score
         self.longest = max(map(len, scores), default=1)
         self.remembered = remembered
         self.counts: dict[str, int] = {}
+        self.held = 0
         self.nodes = 0  # trie nodes scored so far
 
     @classmethod
@@ -82,13 +90,16 @@ class Unigram:
         many = [t.split() for t in texts]
         words = [w for own in many for w in own]
         distinct = set(words)
-        self.learn(distinct.difference(self.counts))
+        new = distinct.difference(self.counts)
+        self.learn(new)
+        self.held += _bytes_of(new)
         each = np.fromiter(map(self.counts.__getitem__, words), np.int64, len(words))
         sizes = np.array([len(own) for own in many], np.int64)
         reached = np.concatenate([[0], np.cumsum(each)])
         ends = np.cumsum(sizes)
-        if len(self.counts) > self.remembered:
+        if self.held > self.remembered:
             self.counts = {w: self.counts[w] for w in distinct}
+            self.held = _bytes_of(distinct)
         return (reached[ends] - reached[ends - sizes]).tolist(), sizes.tolist()
 
 

@@ -10,6 +10,7 @@ from __future__ import annotations
 import json
 import os
 import re
+import sys
 
 import numpy as np
 import pyarrow as pa
@@ -24,8 +25,10 @@ _WORD = "^[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u02af]+$"
 _WORD_AND_STOP = _WORD[:-1] + "[.,]$"
 _SPACES = re.compile(r"\s ")
 _BEFORE_SPACE = re.compile(r"(?<=\S)(?= )")
-#: Segments a worker remembers; beyond that it keeps those of its latest batch.
-REMEMBERED = 600_000
+#: Bytes of segments and ids that a worker remembers; beyond that it keeps those of its latest batch.
+REMEMBERED_BYTES = 96 << 20
+#: About what Python and numpy need for each of them besides.
+_EACH = 140
 _JOINED = 2000
 
 
@@ -39,20 +42,24 @@ def _byte_letters() -> dict[int, str]:
 class Encoder:
     """``encode`` gives the ids that ``encode_batch(texts, add_special_tokens=False)`` gives.
 
-    The strings of special tokens are ordinary text.
+    The string of an added token in a text is that token, as the library has it; what stands before and after it is encoded on its own.
     """
 
-    def __init__(self, path: str, remembered: int = REMEMBERED) -> None:
+    def __init__(self, path: str, remembered: int = REMEMBERED_BYTES) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         os.environ.setdefault("RAYON_NUM_THREADS", "1")
         from tokenizers import Tokenizer, pre_tokenizers
 
         self.whole = Tokenizer.from_file(path)
-        self.whole.encode_special_tokens = True
         with open(path, encoding="utf-8") as file:
             parts = json.load(file)
         model = parts["model"]
         self.by_word = parts["pre_tokenizer"] == _BYTE_LEVEL and parts["normalizer"] is None and model["type"] == "BPE" and not model["dropout"]
+        added = parts["added_tokens"]
+        # Tokens that also take white space around them, or need a word's edge, are left to the library.
+        self.by_word = self.by_word and not any(a["lstrip"] or a["rstrip"] or a["single_word"] or a["normalized"] for a in added)
+        self.added = {a["content"]: a["id"] for a in added}
+        self.at_added = re.compile("|".join(map(re.escape, sorted(self.added, key=len, reverse=True))))
         self.vocabulary = self.whole.get_vocab_size()
         if self.by_word:
             self.words = Tokenizer.from_file(path)
@@ -68,12 +75,29 @@ class Encoder:
         self.place: dict[str | tuple[str], int] = {}
         self.starts, self.counts = np.zeros(1 << 16, np.int64), np.zeros(1 << 16, np.int64)
         self.flat, self.used = np.zeros(1 << 18, np.int32), 0
+        self.held = 0
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """All ids one after the other, and how many each text has."""
         if not self.by_word:
             many = [e.ids for e in self.whole.encode_batch(texts, add_special_tokens=False)]
             return np.array([i for ids in many for i in ids], np.int32), np.array([len(i) for i in many], np.int64)
+        if not any(a in t for a in self.added for t in texts):
+            return self._encode(texts)
+        # Texts in parts between added tokens, each part but the last of a text with the token after it.
+        parts, after, of = [], [], []
+        for n, text in enumerate(texts):
+            own = self.at_added.split(text) if self.added else [text]
+            parts += own
+            after += [[self.added[a]] for a in self.at_added.findall(text)] + [[]]
+            of += [n] * len(own)
+        ids, counts = self._encode(parts)
+        ends = np.cumsum(counts)
+        more = np.array([len(a) for a in after], np.int64)
+        ids = np.insert(ids, np.repeat(ends, more), [i for a in after for i in a])
+        return ids.astype(np.int32), np.bincount(of, weights=counts + more, minlength=len(texts)).astype(np.int64)
+
+    def _encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         plain = [n for n, t in enumerate(texts) if t and not _SPACES.search(t)]
         lists = pc.split_pattern(pa.array([texts[n] for n in plain], pa.large_string()), " ")
         coded = lists.flatten().dictionary_encode()
@@ -113,7 +137,7 @@ class Encoder:
         last = np.cumsum(sizes)
         reached = np.concatenate([[0], ends])
         per_text = reached[last] - reached[last - sizes]
-        if len(self.place) > self.remembered:
+        if self.held > self.remembered:
             self._keep(set(segments))
         return ids, per_text
 
@@ -122,7 +146,7 @@ class Encoder:
         at = np.array([self.place[k] for k in keys], np.int64)
         counts = self.counts[at]
         ends = np.cumsum(counts)
-        flat = self.flat[np.arange(int(ends[-1])) + np.repeat(self.starts[at] - (ends - counts), counts)]
+        flat = self.flat[np.arange(int(counts.sum())) + np.repeat(self.starts[at] - (ends - counts), counts)]
         self._forget()
         self._add(keys, flat, counts)
 
@@ -136,6 +160,7 @@ class Encoder:
         self.counts[first : first + len(keys)] = counts
         self.flat[self.used : self.used + len(flat)] = flat
         self.used += len(flat)
+        self.held += 4 * len(flat) + sum(_EACH + sys.getsizeof(k[0] if isinstance(k, tuple) else k) for k in keys)
         self.place.update(zip(keys, range(first, first + len(keys))))
 
     def _learn(self, keys: list[str | tuple[str]]) -> None:

@@ -28,7 +28,7 @@ def test_table_gives_the_mean_of_embeddings():
     rows = make(120, 1)
     model = fit([t for _, t, _ in rows], [v for _, _, v in rows], buckets=1 << 12)
     texts = [rows[0][1], "x", "ab", rows[5][1] * 30, "Ç"]
-    logits, known, usable = model._logits(texts)
+    logits, known, usable, _ = model._logits(texts)
     for text, own, share in zip(texts, logits, known):
         buckets, shares = _counts(normalised(text), 1 << 12)
         expected = shares @ model.table[buckets]
@@ -76,6 +76,17 @@ def test_long_text_ends_no_sample(spark):
     assert sum(r.lang_pred == truth[r.doc_id] for r in found) / len(found) > 0.98
 
 
+def test_left_out_language_of_the_same_alphabet_is_rejected():
+    rows = make(1500, 8)
+    learned = [r for r in rows[:900] if r[2] != "bb"]
+    model = fit([t for _, t, _ in learned], [v for _, _, v in learned])
+    # Syllables of plain letters too, but others.
+    found = list(zip([v for _, _, v in rows[900:]], model.predict([t for _, t, _ in rows[900:]])))
+    strange = [rejected for v, (_, _, rejected) in found if v == "bb"]
+    known = [rejected for v, (_, _, rejected) in found if v != "bb"]
+    assert sum(strange) / len(strange) > 0.9 and sum(known) / len(known) < 0.01
+
+
 def test_odd_rows_and_rejection(spark):
     rows = make(300, 4) + [(1000, None, "aa"), (1001, "", None), (1002, "123 ... !", "bb"), (1003, "Это совсем другой язык", None), (1004, "漢字" * 9000, None), (7, "balo tira", "aa"), (7, "balo tira", "aa"), (None, "schungheit", "bb")]
     frame = spark.createDataFrame(rows, "doc_id bigint, text string, lang string").selectExpr("*", "'p' AS lang_pred")

@@ -140,10 +140,13 @@ def test_odd_rows_equal_brute_force(spark):
     assert near_duplicates(frame.limit(0)).count() == 0
 
 
-def test_one_of_each_group_stays(spark):
-    frame = spark.createDataFrame(DOCS, "doc_id bigint, text string").selectExpr("doc_id", "text", "1 AS component_id", "'k' AS text_hash")
-    kept = keep_one(frame)
+@pytest.mark.parametrize("broadcast_rows", [500_000, 0])
+def test_one_of_each_group_stays(spark, broadcast_rows):
+    names = ["component_id", "text_hash", "group", "kept", "own", "id", "n", "c0", "c1", "__own", "__id", "__hash", "a.b"]
+    frame = spark.createDataFrame(DOCS, "doc_id bigint, text string").selectExpr("doc_id", "text", *[f"'{c}' AS `{c}`" for c in names])
+    kept = keep_one(frame, broadcast_rows=broadcast_rows)
     assert kept.columns == frame.columns
+    assert {tuple(r)[2:] for r in kept.collect()} == {tuple(names)}
     assert sorted((str(r.doc_id), r.text) for r in kept.collect()) == sorted(
         [("3", DOCS[1][1]), ("2", " \n"), ("9", "a b c"), ("9", DOCS[7][1]), ("None", DOCS[8][1]), ("8", DOCS[9][1])]
     )

@@ -51,6 +51,13 @@ def test_forgetting_changes_nothing():
     assert [small.count([t])[0][0] for t in texts] == model.count(texts)[0]
 
 
+def test_held_words_are_bounded_by_bytes():
+    model = Unigram(unigram(public_path("piece_bpe_32k.model")).scores, -100, remembered=100_000)
+    for i in range(30):
+        model.count([chr(0x4E00 + i) * 20_000 + " " + "x" * i])
+        assert sum(map(len, model.counts)) <= 100_000
+
+
 def test_odd_rows(spark):
     docs = [(1, None), (2, ""), (3, " \n\t"), (4, "漢字 😀"), (5, "x" * 50_000), (6, "a b"), (6, "a b"), (None, "a")]
     frame = spark.createDataFrame(docs, "doc_id bigint, text string").selectExpr("*", "1 AS n_tokens")

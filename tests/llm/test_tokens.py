@@ -6,7 +6,7 @@ from tokenizers import Tokenizer
 from tabprep.llm.tokens import Encoder, public_path
 
 PLAIN = Tokenizer.from_file(public_path())
-PLAIN.encode_special_tokens = True
+END = PLAIN.token_to_id("<|endoftext|>")
 CACHED = Encoder(public_path(), remembered=50)
 
 
@@ -42,12 +42,26 @@ def test_corpus(corpus):
 def test_other_kinds_of_tokenizers():
     path = public_path("word_bpe_49k.json")
     plain = Tokenizer.from_file(path)
-    plain.encode_special_tokens = True
     other = Encoder(path)
     assert not other.by_word
     check(["Hello there, world", "", "çé"], other, plain)
 
 
+def test_added_tokens():
+    texts = ["<|endoftext|>", "<|endoftext|> start", "the <|endoftext|> middle", "end <|endoftext|>", "a<|endoftext|><|endoftext|> b", "<|endoftext|", "no token", ""]
+    check(texts)
+    assert CACHED.encode(["hello <|endoftext|> world"])[0].tolist() == [31373, 220, END, 995]
+
+
+def test_long_segments_are_not_held():
+    cached = Encoder(public_path(), remembered=1 << 20)
+    for i in range(40):
+        dice = np.random.default_rng(i)
+        text = "".join(map(chr, dice.integers(0x4E00, 0x9000, 100_000).tolist()))
+        cached.encode([text])
+        assert cached.held <= 1 << 20 or len(cached.place) <= 2
+
+
 def test_memory_is_bounded():
     cached = Encoder(public_path(), remembered=100)
     for i in range(50):
