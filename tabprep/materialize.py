@@ -33,11 +33,18 @@ def new_folder(spark: SparkSession, name: str) -> str:
     return f"{parent}/data"
 
 
+def delete_folder(spark: SparkSession, folder: str) -> None:
+    """Delete what was written at a path that ``new_folder`` gave."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def materialize(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the checkpoint folder and read it back from there.
+    """Write ``df`` below the checkpoint folder and read it back from there.
 
     Used where values that depend on the physical layout (partition numbers) must
-    become plain data before they are used twice; the copy survives lost executors.
+    become plain data before they are used twice; the copy survives lost executors and goes when the session ends.
     """
-    shared_folder(df.sparkSession)
-    return df.checkpoint()
+    folder = new_folder(df.sparkSession, "rows")
+    df.write.parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)

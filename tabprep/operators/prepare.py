@@ -118,13 +118,13 @@ class ColumnTransformer:
 
 
 def fit_column_transformer(
-    df: DataFrame, numeric, categorical, digits: int | None = 0, missing: str = "category", max_categories: int = 1000
+    df: DataFrame, numeric, categorical, digits: int | None = 0, missing: str = "category", max_categories: int = 1000, method: str = "mean"
 ) -> ColumnTransformer:
-    """Fit fill values, then scaler and vocabularies on the filled table."""
+    """Fit fill values by ``method``, then scaler and vocabularies on the filled table."""
     numeric, categorical = list(numeric), list(categorical)
     selected = select_columns(df, [*numeric, *categorical])
     # Numeric codes used as categories are filled like every numeric column.
-    imputer = fit_imputer(selected, "mean", digits)
+    imputer = fit_imputer(selected, method, digits)
     filled = imputer.transform(selected)
     return ColumnTransformer(
         numeric, fit_one_hot(filled, categorical, missing, max_categories), imputer, fit_standard(filled, numeric)

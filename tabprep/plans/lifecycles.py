@@ -17,9 +17,9 @@ from tabprep.operators.models import (
     class_probabilities,
     fit_forest,
     fit_logistic,
-    fit_network,
     with_threshold,
 )
+from tabprep.operators.network import fit_relu_network
 from tabprep.operators.prepare import fit_column_transformer, prepare_pair
 from tabprep.operators.profile import Profile, profile
 from tabprep.operators.scoring import submission
@@ -132,18 +132,21 @@ def network_predict(
     categorical,
     label: str,
     key: str,
-    max_iter: int = 10,
+    epochs: int = 10,
     seed: int = 0,
     per_frame: bool = False,
     max_categories: int = 1000,
+    method: str = "mean",
+    hidden: int = 128,
+    batch_size: int = 64,
 ) -> Outcome:
-    """Standardise and encode, fit the network, decide at probability 0.5."""
+    """Standardise and encode, fit the network in small shuffled batches, decide at probability 0.5."""
     used = select_columns(train, [key, label, *numeric, *categorical]).persist(StorageLevel.MEMORY_AND_DISK)
-    transformer = fit_column_transformer(used, numeric, categorical, max_categories=max_categories)
-    own_fill = fit_imputer(test.select(*[quoted(c) for c in [*numeric, *categorical]]), "mean", 0) if per_frame else None
+    transformer = fit_column_transformer(used, numeric, categorical, max_categories=max_categories, method=method)
+    own_fill = fit_imputer(test.select(*[quoted(c) for c in [*numeric, *categorical]]), method, 0) if per_frame else None
     ready = transformer.transform(used, keys=[key, label])
     try:
-        model = fit_network(ready, transformer.feature_names, label, max_iter=max_iter, seed=seed)
+        model = fit_relu_network(ready, transformer.feature_names, label, key, hidden, epochs, batch_size, seed=seed)
     finally:
         used.unpersist()
     scored = with_threshold(model.transform(transformer.transform(test, [key], own_fill)))

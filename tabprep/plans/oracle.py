@@ -294,7 +294,7 @@ SELECT l_orderkey, l_linenumber, {_dummies("l_returnflag", ["A", "N", "R"])}, l_
     "network_submission": LEARNED,
     "boosting_submission": LEARNED,
     "logistic_inserted": f"""SELECT doc_id, {RULE} AS continental, {_dummies("lang", ["de", "en", "es", "fr"])},
-  CAST(n_chars AS DOUBLE) AS n_chars FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)""",
+  {_dummies("source", sorted(f"src{i}" for i in range(20)))}, CAST(n_chars AS DOUBLE) AS n_chars FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)""",
     "linear_probabilities": f"""WITH {FIXED}
 SELECT o_orderkey, round_even((1 - p) * 1e6, 0) / 1e6 AS large_0, round_even(p * 1e6, 0) / 1e6 AS large_1 FROM s""",
     "linear_classes": f"WITH {FIXED} SELECT o_orderkey, CASE WHEN p > 0.5 THEN 1 ELSE 0 END AS large FROM s",

@@ -726,7 +726,6 @@ def prepared_per_frame(spark, folder):
 # The label is a rule of the language, which every model can learn, so SQL can state what they predict.
 RULE = "CAST(lang IN ('de', 'fr') AS INT) AS continental"
 DOCUMENT = {"columns": ["lang", "source", "n_chars"], "encode": ["lang", "source"], "label": "continental", "key": "doc_id"}
-NARROW = {**DOCUMENT, "columns": ["lang", "n_chars"], "encode": ["lang"]}
 
 
 def rule_documents(spark, folder) -> tuple[DataFrame, DataFrame]:
@@ -812,7 +811,7 @@ def logistic_probabilities(spark, folder):
 @query
 def logistic_inserted(spark, folder):
     tables = rule_documents(spark, folder)
-    outcome = logistic_predict(*tables, **NARROW)
+    outcome = logistic_predict(*tables, **DOCUMENT)
     return with_prediction(outcome.scored, "continental")
 
 
@@ -834,7 +833,7 @@ def grid_results(spark, folder):
 @query
 def forest_submission(spark, folder):
     tables = rule_documents(spark, folder)
-    return forest_predict(*tables, **NARROW).submission
+    return forest_predict(*tables, **DOCUMENT).submission
 
 
 @query
@@ -847,7 +846,7 @@ def forest_importances(spark, folder):
 @query
 def network_submission(spark, folder):
     tables = rule_documents(spark, folder)
-    return network_predict(*tables, ["n_chars"], ["lang", "source"], "continental", "doc_id", max_iter=50).submission
+    return network_predict(*tables, ["n_chars"], ["lang", "source"], "continental", "doc_id", epochs=60).submission
 
 
 @query
