@@ -179,16 +179,38 @@ def test_forest_does_not_depend_on_the_layout(noisy, partitions):
     assert [t.toDebugString.split("\n", 1)[1] for t in one.model.trees] == [t.toDebugString.split("\n", 1)[1] for t in other.model.trees]
 
 
-def test_many_features_take_more_passes_for_the_same_answer(noisy, monkeypatch):
+def test_quasi_newton_steps_lead_to_the_same_answer(noisy, monkeypatch):
     import tabprep.operators.newton as newton_module
 
     df, _, _ = noisy
     grid = {"C": [0.1, 10.0], "max_iter": [100]}
     together = grid_search(df, ["a", "b"], "y", "id", grid)
-    monkeypatch.setattr(newton_module, "_SUMS_AT_ONCE", 1)
+    monkeypatch.setattr(newton_module, "CURVATURES", 1)
     apart = grid_search(df, ["a", "b"], "y", "id", grid)
     assert rows(together.results, "candidate") == rows(apart.results, "candidate")
-    assert together.model.coefficients == pytest.approx(apart.model.coefficients, rel=1e-9)
+    assert together.model.coefficients == pytest.approx(apart.model.coefficients, rel=1e-6)
+
+
+def test_wide_tables_fit_in_one_pass_a_step(spark, monkeypatch):
+    import tabprep.operators.newton as newton_module
+    from tabprep.operators.newton import ALL_ROWS, RowBlocks, new_fit
+
+    monkeypatch.setattr(newton_module, "CURVATURES", 1)
+    dice = np.random.default_rng(6)
+    n, d = 400, 200
+    x = (dice.random((n, d)) < 0.1) * dice.uniform(0.5, 1.5, d)
+    y = (x[:, :20].sum(axis=1) + dice.normal(0, 0.3, n) > x[:, :20].sum(axis=1).mean()).astype(float)
+    df = spark.createDataFrame([(v.tolist(), float(t), i % 5) for i, (v, t) in enumerate(zip(x, y))], "v array<double>, y double, fold int")
+    low, width = np.zeros(d), np.full(d, 2.0)
+    fits = [new_fit(C, fold, low, np.ones(d)) for C in (0.1, 1.0) for fold in (ALL_ROWS, 0)]
+    values = [F.col("v")[i] for i in range(d)]
+    with RowBlocks(df, values, F.col("y"), F.lit(1.0), F.col("fold"), (low, width)) as blocks:
+        blocks.fit(fits, 200, 1e-9)
+    for f in fits:
+        used = np.arange(n) % 5 != f.fold
+        p = 1 / (1 + np.exp(-(x[used] @ f.point[:-1] + f.point[-1])))
+        gradient = np.append(x[used].T @ (p - y[used]) + f.point[:-1] / f.C, (p - y[used]).sum())
+        assert f.done and f.steps < 60 and np.abs(gradient).max() < 1e-6
 
 
 def test_network_and_boosting_learn(noisy):
