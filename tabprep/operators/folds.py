@@ -141,11 +141,14 @@ def stratified_folds(
 
 
 def fit_stratified_folds(
-    df: DataFrame, label: str, key: str, n_folds: int = 5, finish_rows: int = 1_000_000
+    df: DataFrame, label: str, key: str, n_folds: int = 5, finish_rows: int = 1_000_000, max_classes: int = 1000
 ) -> StratifiedFolds:
-    """Find where each class's folds begin, as exact order statistics of a numeric key."""
+    """Find where each class's folds begin, as exact order statistics of a numeric key.
+
+    Each class makes the search and the fitted expression longer; more than ``max_classes`` raise.
+    """
     require_unique_key(df, key)
-    return _cuts(df, label, key, _classes(df, label, key, _CLASSES_TO_CUT), n_folds, finish_rows)
+    return _cuts(df, label, key, _classes(df, label, key, max_classes), n_folds, finish_rows)
 
 
 def _starts(classes: list, n_folds: int) -> list[list[int]]:

@@ -293,6 +293,11 @@ SELECT l_orderkey, l_linenumber, {_dummies("l_returnflag", ["A", "N", "R"])}, l_
     "forest_submission": LEARNED,
     "network_submission": LEARNED,
     "boosting_submission": LEARNED,
+    "sparse_submission": LEARNED,
+    "sparse_one_hot": " UNION ALL ".join(
+        f"SELECT '{c}' AS feature, CAST({c} AS VARCHAR) AS value, count(*) AS n FROM orders WHERE {c} IN (SELECT {c} FROM orders WHERE o_orderstatus = 'F') GROUP BY {c}"
+        for c in ("o_custkey", "o_orderpriority")
+    ),
     "logistic_inserted": f"""SELECT doc_id, {RULE} AS continental, {_dummies("lang", ["de", "en", "es", "fr"])},
   {_dummies("source", sorted(f"src{i}" for i in range(20)))}, CAST(n_chars AS DOUBLE) AS n_chars FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)""",
     "linear_probabilities": f"""WITH {FIXED}

@@ -51,6 +51,7 @@ from tabprep.operators.scoring import (
     submission,
     with_prediction,
 )
+from tabprep.operators.sparse import fit_sparse_logistic, fit_sparse_one_hot
 from tabprep.operators.tune import grid_search
 from tabprep.plans.lifecycles import (
     analyze,
@@ -849,6 +850,22 @@ def network_submission(spark, folder):
     return network_predict(*tables, ["n_chars"], ["lang", "source"], "continental", "doc_id", epochs=60).submission
 
 
+@query
+def sparse_one_hot(spark, folder):
+    """Customers and priorities of filled orders as categories; how many of all orders have each."""
+    orders = scan_table(spark, folder, "orders")
+    fitted = fit_sparse_one_hot(orders.where("o_orderstatus = 'F'"), ["o_custkey", "o_orderpriority"])
+    return fitted.counts(orders).withColumnRenamed("column", "feature")
+
+
+@query
+def sparse_submission(spark, folder):
+    """As ``logistic_submission``, with the length as a category: almost one for each row, most of them new to the model."""
+    train, test = rule_documents(spark, folder)
+    model = fit_sparse_logistic(train, [], ["lang", "source", "n_chars"], "continental", C=10.0)
+    return submission(model.transform(test), "doc_id", "continental")
+
+
 @query
 def boosting_submission(spark, folder):
     train, test = rule_documents(spark, folder)
