@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections import Counter
 from collections.abc import Callable, Hashable, Iterable, Iterator
 
@@ -55,8 +56,22 @@ def forget(df: DataFrame) -> None:
     delete_folder(df.sparkSession, df._stored_at)
 
 
+def give_back() -> None:
+    """Return free memory of this worker process to the system: it stays for later tasks, and others need the room."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # another C library
+        pass
+
+
 def pieces(batches: Iterator[pa.RecordBatch], column: str = "text", limit: int = SHARD_BYTES) -> Iterator[pa.RecordBatch]:
     """The same rows in batches of at most ``limit`` text bytes (one row at least)."""
+    yield from _pieces(batches, column, limit)
+    give_back()
+
+
+def _pieces(batches: Iterator[pa.RecordBatch], column: str, limit: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         if not batch.num_rows:
             continue

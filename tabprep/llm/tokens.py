@@ -26,7 +26,7 @@ _WORD_AND_STOP = _WORD[:-1] + "[.,]$"
 _SPACES = re.compile(r"\s ")
 _BEFORE_SPACE = re.compile(r"(?<=\S)(?= )")
 #: Bytes of segments and ids that a worker remembers; beyond that it keeps those of its latest batch.
-REMEMBERED_BYTES = 96 << 20
+REMEMBERED_BYTES = 80 << 20
 #: About what Python and numpy need for each of them besides.
 _EACH = 140
 _JOINED = 2000
