@@ -19,6 +19,10 @@ from tabprep.llm.shared import read_table, stored
 from tabprep.llm.simhash import keep_one
 
 
+#: Pieces that are packed together, with their ids: at most 8 MB.
+GROUP_PIECES = 2048
+
+
 def identified(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is told with confidence; without a letter there is none."""
     return keep_identified(docs)
@@ -40,8 +44,8 @@ def redacted(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pieces of all documents in sequences of 1024 tokens."""
-    return pack(docs)
+    """The pieces of all documents, with their token ids, in sequences of 1024 tokens."""
+    return pack(docs, with_ids=True, group_pieces=GROUP_PIECES)
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
