@@ -64,15 +64,32 @@ def with_row_index(df: DataFrame, keys, name: str = "row_index", partitions: int
     return df.join(numbered, same).select(*[quoted(c) for c in df.columns], quoted(name))
 
 
+def with_file_index(df: DataFrame, name: str = "row_index") -> DataFrame:
+    """Number the rows of a table read from files 0, 1, 2, … in the order they stand there, files by their paths.
+
+    ``df`` is a file scan with projections only, of files that don't change meanwhile. Tasks read blocks of files, whose places
+    Spark tells; one count for each block says what stands before it, and a row's place in its block is its place in
+    the scan. No rows are shuffled or sorted, only the counts.
+    """
+    path, block, tag, first, before = (f"__{n}" for n in ("path", "block", "tag", "first", "before"))
+    place = [F.col("_metadata.file_path").alias(path), F.col("_metadata.file_block_start").alias(block), F.monotonically_increasing_id().alias(tag)]
+    rows = df.select(*[quoted(c) for c in df.columns], *place)
+    blocks = rows.groupBy(path, block).agg(F.count(F.lit(1)).alias("n"), F.min(tag).alias(first))
+    ahead = Window.orderBy(path, block).rowsBetween(Window.unboundedPreceding, -1)
+    starts = blocks.withColumn(before, F.coalesce(F.sum("n").over(ahead), F.lit(0))).select(path, block, first, before)
+    found = rows.join(materialize(starts), [path, block])
+    return found.select(*[quoted(c) for c in df.columns], (F.col(before) + F.col(tag) - F.col(first)).alias(name))
+
+
 def positional_concat(
     left: DataFrame,
     right: DataFrame,
-    left_key,
-    right_key,
+    left_key=None,
+    right_key=None,
     position: int | None = None,
     partitions: int | None = None,
 ) -> DataFrame:
-    """Put two tables side by side by row position, in the order of their keys.
+    """Put two tables side by side by row position, in the order of their keys, or of their files where a table has no key.
 
     The shorter side is padded with NULL. ``position`` inserts the right columns at
     that place instead of at the end.
@@ -81,9 +98,11 @@ def positional_concat(
     if taken:
         raise ColumnConflictError(f"both tables have columns {taken}")
     index = "__row"
-    joined = with_row_index(left, left_key, index, partitions).join(
-        with_row_index(right, right_key, index, partitions), index, "full"
-    )
+    sides = [
+        with_file_index(df, index) if key is None else with_row_index(df, key, index, partitions)
+        for df, key in ((left, left_key), (right, right_key))
+    ]
+    joined = sides[0].join(sides[1], index, "full")
     at = len(left.columns) if position is None else position
     order = [*left.columns[:at], *right.columns, *left.columns[at:]]
     return joined.select(*[quoted(c) for c in order])

@@ -12,6 +12,9 @@ TRAIN = """d AS (SELECT d.doc_id, d.lang, d.source, d.n_chars, g.quality, g.toxi
 RULE = "CASE WHEN lang IN ('de', 'fr') THEN 1 ELSE 0 END"
 # What every model that has learned the rule predicts for the documents without labels.
 LEARNED = f"""SELECT doc_id, {RULE} AS continental FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)"""
+SIDE_BY_SIDE = """WITH a AS (SELECT row_number() OVER (ORDER BY o_orderkey) AS i, o_orderkey, o_totalprice FROM orders),
+  b AS (SELECT row_number() OVER (ORDER BY c_custkey) AS i, c_custkey, c_mktsegment FROM customer)
+SELECT a.o_orderkey, a.o_totalprice, b.c_custkey, b.c_mktsegment FROM a FULL JOIN b ON a.i = b.i"""
 FIXED = """s AS (SELECT o_orderkey, 1 / (1 + exp(-(o_totalprice * 0.00002
   - CASE WHEN o_orderpriority IN ('1-URGENT', '2-HIGH') THEN 0.75 ELSE 0 END - 3.1))) AS p FROM orders)"""
 PROFILED = """d AS (SELECT d.doc_id, d.lang, nullif(d.source, 'src0') AS source, d.n_chars, g.quality, g.toxic
@@ -117,6 +120,7 @@ FROM customer""",
     "csv_missing": f"WITH {ORDERS} "
     + _missing("o", ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderpriority"]),
     "submission_csv": f"WITH {PRICED} SELECT o_orderkey, prediction AS large FROM p",
+    "submission_one_csv": f"WITH {PRICED} SELECT o_orderkey, prediction AS large FROM p",
     "label_split": "SELECT d.doc_id, g.quality FROM documents d JOIN labels g ON g.doc_id = d.doc_id",
     "feature_split": f"WITH {TRAIN} SELECT doc_id, lang, source, n_chars, toxic FROM d",
     "label_replace": f"""WITH {TRAIN}
@@ -149,9 +153,8 @@ FROM events GROUP BY event_type""",
     "named_probabilities": f"""WITH {PRICED}
 SELECT o_orderkey, round(1 - score, 6) AS large_0, round(score, 6) AS large_1 FROM p""",
     # joins
-    "side_by_side": """WITH a AS (SELECT row_number() OVER (ORDER BY o_orderkey) AS i, o_orderkey, o_totalprice FROM orders),
-  b AS (SELECT row_number() OVER (ORDER BY c_custkey) AS i, c_custkey, c_mktsegment FROM customer)
-SELECT a.o_orderkey, a.o_totalprice, b.c_custkey, b.c_mktsegment FROM a FULL JOIN b ON a.i = b.i""",
+    "side_by_side": SIDE_BY_SIDE,
+    "side_by_side_files": SIDE_BY_SIDE,
     "prediction_inserted": """SELECT doc_id, CASE WHEN n_chars >= 2000 THEN 1 ELSE 0 END AS quality, lang, n_chars
 FROM documents""",
     "predictions_by_key": f"""WITH {PRICED}

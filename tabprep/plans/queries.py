@@ -200,6 +200,15 @@ def submission_csv(spark, folder):
     return scan_csv(spark, path, table.schema)
 
 
+@query
+def submission_one_csv(spark, folder):
+    """The same as one file, joined of the parts that all tasks write."""
+    table = submission(priced_orders(spark, folder), "o_orderkey", "large")
+    moment = dt.datetime(2024, 1, 31, 20, 0, tzinfo=dt.timezone.utc)
+    path = write_submission(table, LOGISTIC_TAG, moment, root=new_folder(spark, "output"), one_file=True)
+    return scan_csv(spark, path, table.schema)
+
+
 @query
 def label_split(spark, folder):
     return LabelledTable(labelled_documents(spark, folder), "quality").labels("doc_id")
@@ -316,6 +325,14 @@ def side_by_side(spark, folder):
     return positional_concat(orders, customers, "o_orderkey", "c_custkey")
 
 
+@query
+def side_by_side_files(spark, folder):
+    """The same by the rows' places in their files, which have the order of the keys."""
+    orders = scan_table(spark, folder, "orders").select("o_orderkey", "o_totalprice")
+    customers = scan_table(spark, folder, "customer").select("c_custkey", "c_mktsegment")
+    return positional_concat(orders, customers)
+
+
 @query
 def prediction_inserted(spark, folder):
     """Predictions of a separate table put in as the second column, by position."""

@@ -6,6 +6,7 @@ from tabprep.sources.csv import (
     scan_labelled,
     submission_path,
     write_csv,
+    write_one_csv,
     write_submission,
 )
 from tabprep.sources.tables import scan_table
@@ -19,5 +20,6 @@ __all__ = [
     "scan_table",
     "submission_path",
     "write_csv",
+    "write_one_csv",
     "write_submission",
 ]

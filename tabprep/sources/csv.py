@@ -1,6 +1,9 @@
 """CSV in and out, with missing-value tokens and doubled quotes."""
 
 import datetime as dt
+import re
+import uuid
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -140,8 +143,60 @@ def write_csv(df: DataFrame, path: str, single_file: bool = False) -> str:
     return path
 
 
+def write_one_csv(df: DataFrame, path: str, order_by: Sequence[str] = ()) -> str:
+    """Write one CSV file with one header, its rows by ``order_by`` or as the table has them; an existing file raises.
+
+    All tasks write their parts, which are then joined as bytes in their order: by the file system where it can
+    join files, else by one stream with a small buffer. No task and no memory holds the whole.
+    """
+    spark = df.sparkSession
+    jvm, configuration = spark._jvm, spark._jsc.hadoopConfiguration()
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    files = target.getFileSystem(configuration)
+    if files.exists(target):
+        raise FileExistsError(path)
+    work = jvm.org.apache.hadoop.fs.Path(f"{path}.parts-{uuid.uuid4().hex}")
+    rows = df.orderBy(*[quoted(c) for c in order_by]) if order_by else df
+    try:
+        plain = {"header": False, "escape": '"', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+        rows.write.options(**plain).csv(work.toString())
+        names = [c if re.fullmatch(r"[^\s\",#][^\",\r\n]*", c) else '"' + c.replace('"', '""') + '"' for c in df.columns]
+        parts = sorted(s.getPath().toString() for s in files.listStatus(work) if s.getPath().getName().startswith("part-"))
+        whole = jvm.org.apache.hadoop.fs.Path(work, "whole")
+        out = files.create(whole)
+        try:
+            out.write(bytearray((",".join(names) + "\n").encode()))
+            if not _joins(files):
+                for part in parts:
+                    source = files.open(jvm.org.apache.hadoop.fs.Path(part))
+                    jvm.org.apache.hadoop.io.IOUtils.copyBytes(source, out, configuration, False)
+                    source.close()
+        finally:
+            out.close()
+        if _joins(files) and parts:
+            paths = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Path, len(parts))
+            for i, part in enumerate(parts):
+                paths[i] = jvm.org.apache.hadoop.fs.Path(part)
+            files.concat(whole, paths)
+        if not files.rename(whole, target):
+            raise OSError(f"{path} can't be put in place")
+    finally:
+        files.delete(work, True)
+    return path
+
+
+def _joins(files) -> bool:
+    """Whether the file system can join files itself."""
+    return files.getScheme() == "hdfs"
+
+
 def write_submission(
-    df: DataFrame, method: str, moment: dt.datetime, root: str = "output", single_file: bool = False
+    df: DataFrame, method: str, moment: dt.datetime, root: str = "output", single_file: bool = False, one_file: bool = False
 ) -> str:
-    """Write predictions under their dated name; the caller gives the time, so runs repeat."""
+    """Write predictions under their dated name; the caller gives the time, so runs repeat.
+
+    ``one_file`` makes that name a file instead of a folder, see ``write_one_csv``.
+    """
+    if one_file:
+        return write_one_csv(df, submission_path(method, moment, root))
     return write_csv(df, submission_path(method, moment, root), single_file)
