@@ -9,6 +9,7 @@ from tabprep.sources.csv import (
     write_one_csv,
     write_submission,
 )
+from tabprep.sources.multiline import scan_multiline_csv
 from tabprep.sources.tables import scan_table
 
 __all__ = [
@@ -17,6 +18,7 @@ __all__ = [
     "NETWORK_TAG",
     "scan_csv",
     "scan_labelled",
+    "scan_multiline_csv",
     "scan_table",
     "submission_path",
     "write_csv",
