@@ -2,8 +2,10 @@
 
 import importlib
 import sys
+import zlib
 from pathlib import Path
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -62,7 +64,9 @@ def test_each_stage_equals_a_plain_reading(spark, sf, corpus):
     before, after = ({key(r) for r in f.collect() if r.doc_id in untouched} for f in (clean, private))
     assert before == after
 
-    check(stages["packing"](spark, private, sf).collect(), [key(r) for r in private.collect()], 1024)
+    packed = stages["packing"](spark, private, sf).collect()
+    check(packed, [key(r) for r in private.collect()], 1024)
+    assert all(len(r.ids) == r.length and zlib.crc32(np.array(r.ids, "<u4").tobytes()) == r.ids_crc32 for r in packed)
 
 
 def test_run_and_empty_table(spark, sf, corpus):
@@ -74,5 +78,5 @@ def test_run_and_empty_table(spark, sf, corpus):
 
 @pytest.mark.parametrize("name", ["language", "near_duplicates", "decontamination", "personal_data"])
 def test_clashing_column_names(spark, sf, corpus, name):
-    docs = corpus.selectExpr("*", "1 AS fingerprint", "'x' AS spans", "2 AS component_id", "3 AS `odd.name`", "4 AS __own_")
+    docs = corpus.selectExpr("*", "1 AS fingerprint", "'x' AS spans", "2 AS component_id", "3 AS `odd.name`", "4 AS __own", "5 AS __id", "6 AS own")
     assert dict(corpus_pipeline.STAGES)[name](spark, docs, sf).columns == docs.columns
