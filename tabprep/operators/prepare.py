@@ -2,8 +2,11 @@
 
 from dataclasses import dataclass
 
+import numpy as np
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
+from tabprep.functions.scalar import nan_to_null, numeric_columns
 from tabprep.operators.encode import OneHotEncoder, fit_one_hot
 from tabprep.operators.frame import quoted, require_same_columns, select_columns
 from tabprep.operators.impute import Imputer, fit_imputer
@@ -124,8 +127,34 @@ def fit_column_transformer(
     numeric, categorical = list(numeric), list(categorical)
     selected = select_columns(df, [*numeric, *categorical])
     # Numeric codes used as categories are filled like every numeric column.
-    imputer = fit_imputer(selected, method, digits)
-    filled = imputer.transform(selected)
-    return ColumnTransformer(
-        numeric, fit_one_hot(filled, categorical, missing, max_categories), imputer, fit_standard(filled, numeric)
-    )
+    if method == "mean" and set(numeric) <= set(numeric_columns(selected)):
+        imputer, scaler = _mean_fill_and_scale(selected, numeric, digits)
+        filled = imputer.transform(selected)
+    else:
+        imputer = fit_imputer(selected, method, digits)
+        filled = imputer.transform(selected)
+        scaler = fit_standard(filled, numeric)
+    return ColumnTransformer(numeric, fit_one_hot(filled, categorical, missing, max_categories), imputer, scaler)
+
+
+def _mean_fill_and_scale(df: DataFrame, numeric: list[str], digits: int | None) -> tuple[Imputer, Scaler]:
+    """Mean fill and the standard scale of the filled columns, in one scan: moments with a fill follow from those without."""
+    filling = numeric_columns(df)
+    sums = []
+    for i, name in enumerate(filling):
+        value = nan_to_null(quoted(name), df.schema[name].dataType)
+        sums += [f(value).alias(f"s{i}_{j}") for j, f in enumerate((F.mean, F.var_pop, F.count, F.min, F.max))]
+    row = list(df.agg(F.count(F.lit(1)).alias("n"), *sums).first())
+    found = {name: row[1 + 5 * i : 6 + 5 * i] for i, name in enumerate(filling)}
+    fills = {n: None if v[0] is None else float(v[0] if digits is None else np.round(float(v[0]), digits)) for n, v in found.items()}
+    shift, width = {}, {}
+    for name in numeric:
+        mean, variance, n, low, high = found[name]
+        if mean is None:
+            raise ValueError(f"column {name} has no values to fit a scaler on")
+        mean, fill, gone = float(mean), fills[name], row[0] - n
+        shift[name] = mean + (fill - mean) * (gone / row[0])
+        spread = (n * (variance + (mean - shift[name]) ** 2) + gone * (fill - shift[name]) ** 2) / row[0]
+        # A constant column, whose filled moments may differ in the last digit.
+        width[name] = 1.0 if low == high and (not gone or fill == low) else float(np.sqrt(spread)) or 1.0
+    return Imputer(fills, keep_integers=digits == 0), Scaler(shift, width)

@@ -1,3 +1,5 @@
+from decimal import Decimal
+
 import pytest
 from conftest import COLUMNS, ENCODE, rows
 from pyspark.sql import functions as F
@@ -142,3 +144,18 @@ def test_repartitioning_changes_nothing(train):
     a = fit_preparation(train, COLUMNS, ENCODE)
     b = fit_preparation(train.repartition(5), COLUMNS, ENCODE)
     assert a == b
+
+
+@pytest.mark.parametrize("digits", [None, 0, 2])
+def test_mean_fill_and_scale_in_one_scan(spark, digits):
+
+    rows = [(i, None if i % 3 == 0 else 1e6 + i / 7, float("nan") if i % 5 == 0 else 4.0, i, Decimal(i % 9), "k") for i in range(60)]
+    df = spark.createDataFrame(rows, "id int, a double, `b.c` double, d bigint, e decimal(5,1), s string")
+    names = ["a", "b.c", "d", "e"]
+    found = fit_column_transformer(df, names, ["s"], digits)
+    imputer = fit_imputer(df.select("a", "`b.c`", "d", "e", "s"), "mean", digits)
+    scaler = fit_standard(imputer.transform(df.select("a", "`b.c`", "d", "e", "s")), names)
+    assert found.imputer.values == pytest.approx(imputer.values)
+    assert found.scaler.shift == pytest.approx(scaler.shift) and found.scaler.width == pytest.approx(scaler.width, rel=1e-9)
+    with pytest.raises(ValueError):
+        fit_column_transformer(df.withColumn("a", F.lit(None).cast("double")), ["a"], [])
