@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tabprep.errors import ColumnConflictError, KeyColumnError
 from tabprep.materialize import materialize
-from tabprep.operators.frame import one_per_key, quoted
+from tabprep.operators.frame import one_per_key, quoted, unused
 
 # monotonically_increasing_id keeps the partition number above bit 33 and the
 # position inside the partition below it.
@@ -24,7 +24,8 @@ def with_row_index(df: DataFrame, keys, name: str = "row_index", partitions: int
     repeated keys raise, since their order would be arbitrary.
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
-    names = [f"__key{i}" for i in range(len(keys))]
+    mark = unused("__key", df)
+    names = [f"{mark}{i}" for i in range(len(keys))]
     alone = df.select(*[quoted(k).alias(n) for k, n in zip(keys, names)])
     columns = [F.col(n) for n in names]
     spread = alone.repartitionByRange(partitions, *columns) if partitions else alone.repartitionByRange(*columns)
@@ -71,7 +72,7 @@ def with_file_index(df: DataFrame, name: str = "row_index") -> DataFrame:
     Spark tells; one count for each block says what stands before it, and a row's place in its block is its place in
     the scan. No rows are shuffled or sorted, only the counts.
     """
-    path, block, tag, first, before = (f"__{n}" for n in ("path", "block", "tag", "first", "before"))
+    path, block, tag, first, before = (unused(f"__{n}", df) for n in ("path", "block", "tag", "first", "before"))
     place = [F.col("_metadata.file_path").alias(path), F.col("_metadata.file_block_start").alias(block), F.monotonically_increasing_id().alias(tag)]
     rows = df.select(*[quoted(c) for c in df.columns], *place)
     blocks = rows.groupBy(path, block).agg(F.count(F.lit(1)).alias("n"), F.min(tag).alias(first))
@@ -97,7 +98,7 @@ def positional_concat(
     taken = sorted(set(left.columns).intersection(right.columns))
     if taken:
         raise ColumnConflictError(f"both tables have columns {taken}")
-    index = "__row"
+    index = unused("__row", left, right)
     sides = [
         with_file_index(df, index) if key is None else with_row_index(df, key, index, partitions)
         for df, key in ((left, left_key), (right, right_key))

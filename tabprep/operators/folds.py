@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 
 from tabprep.errors import CardinalityError, KeyColumnError
 from tabprep.operators.align import with_row_index
-from tabprep.operators.frame import quoted
+from tabprep.operators.frame import quoted, unused
 from tabprep.operators.ranks import RankProbe, exact_ranks
 
 
@@ -185,11 +185,12 @@ def _folds_by_index(df, label, key, classes, n_folds, name) -> DataFrame:
     for row in sorted(classes, key=lambda row: row["label"]):
         lookup.append((row["label"], [position + s for s in starts[row["label"]]]))
         position += row["n"]
-    schema = T.StructType([T.StructField("__label", df.schema[label].dataType), T.StructField("__cuts", T.ArrayType(T.LongType()))])
+    own, cut_names, row = unused("__label", df), unused("__cuts", df), unused("__row", df)
+    schema = T.StructType([T.StructField(own, df.schema[label].dataType), T.StructField(cut_names, T.ArrayType(T.LongType()))])
     cuts = df.sparkSession.createDataFrame(lookup, schema)
     # One row per class, at most ``max_classes``.
-    numbered = with_row_index(df, [label, key], "__row").join(
-        F.broadcast(cuts), quoted(label) == F.col("__label"), "inner"
+    numbered = with_row_index(df, [label, key], row).join(
+        F.broadcast(cuts), quoted(label) == F.col(own), "inner"
     )
-    passed = F.size(F.filter("__cuts", lambda cut: cut <= F.col("__row")))
+    passed = F.size(F.filter(cut_names, lambda cut: cut <= F.col(row)))
     return numbered.select(*[quoted(c) for c in df.columns], passed.alias(name))

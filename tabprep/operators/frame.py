@@ -20,6 +20,14 @@ def quoted(name: str) -> Column:
     return F.col("`" + name.replace("`", "``") + "`")
 
 
+def unused(name: str, *tables: DataFrame) -> str:
+    """``name``, with underscores before it until no column of the tables begins with it."""
+    taken = [c.lower() for df in tables for c in df.columns]
+    while any(c.startswith(name) for c in taken):
+        name = f"_{name}"
+    return name
+
+
 def select_columns(df: DataFrame, columns) -> DataFrame:
     """The named columns in the given order; an unknown name raises."""
     _require(df, columns)

@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tabprep.functions.scalar import class_weight, round_half_even, sigmoid, threshold
-from tabprep.operators.frame import quoted
+from tabprep.operators.frame import quoted, unused
 from tabprep.operators.scale import Scaler, fit_min_max
 
 FEATURES = "__features"
@@ -66,10 +66,11 @@ class LinearClassifier:
     def transform(self, df: DataFrame) -> DataFrame:
         """Add ``probability`` (array, one entry per class) and ``prediction``."""
         one = sigmoid(_present(self.margin()))
-        return df.withColumn("__p", one).select(
+        p = unused("__p", df)
+        return df.withColumn(p, one).select(
             *[quoted(c) for c in df.columns],
-            F.array(1.0 - F.col("__p"), F.col("__p")).alias("probability"),
-            threshold(F.col("__p"), 0.5, inclusive=False).cast("double").alias("prediction"),
+            F.array(1.0 - F.col(p), F.col(p)).alias("probability"),
+            threshold(F.col(p), 0.5, inclusive=False).cast("double").alias("prediction"),
         )
 
     def scores(self, df: DataFrame, digits: int = 3) -> DataFrame:
@@ -109,7 +110,8 @@ def class_probabilities(scored: DataFrame, key: str, label: str, digits: int = 3
 
 def assemble(df: DataFrame, features: Sequence[str], scaler: Scaler | None = None) -> DataFrame:
     """Add the feature vector next to the table's own columns; a missing feature raises."""
-    names = [f"__f{i}" for i in range(len(features))]
+    mark = unused("__f", df)
+    names = [f"{mark}{i}" for i in range(len(features))]
     values = [_present(scaler.scaled(f) if scaler else quoted(f).cast("double")).alias(n) for f, n in zip(features, names)]
     wide = df.select(*[quoted(c) for c in df.columns], *values)
     return VectorAssembler(inputCols=names, outputCol=FEATURES).transform(wide).drop(*names)

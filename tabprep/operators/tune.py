@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tabprep.functions.scalar import class_weight
 from tabprep.operators.folds import evenly_spaced, log_spaced, parameter_grid, stratified_folds
-from tabprep.operators.frame import quoted
+from tabprep.operators.frame import quoted, unused
 from tabprep.operators.models import LinearClassifier
 from tabprep.operators.newton import ALL_ROWS, RowBlocks, new_fit
 from tabprep.operators.scoring import candidate_results
@@ -46,13 +46,15 @@ def grid_search(
     the same steps whatever the number of features.
     """
     grid = grid or default_grid()
-    folded = stratified_folds(df, label, key, n_folds, "__fold").select(
-        *[quoted(f).cast("double").alias(f) for f in features],
+    # Features under plain names, so that none can be taken for a helper.
+    names, fold = [f"f{i}" for i in range(len(features))], unused("__fold", df)
+    folded = stratified_folds(df, label, key, n_folds, fold).select(
+        *[quoted(f).cast("double").alias(n) for f, n in zip(features, names)],
         quoted(label).cast("double").alias("__label"),
         class_weight(quoted(label), class_weights).alias("__weight"),
-        "__fold",
+        F.col(fold).alias("__fold"),
     )
-    scores, refit = _all_at_once(folded, list(features), grid, n_folds, tol)
+    scores, refit = _all_at_once(folded, list(features), names, grid, n_folds, tol)
     candidates = parameter_grid(grid)
     rows = [
         (i, c["C"], c["max_iter"], fold, float(scores[c["C"], c["max_iter"]][fold]))
@@ -94,11 +96,11 @@ def _training_scales(folded: DataFrame, features, n_folds: int):
     return scales, {r["__fold"]: r["n"] for r in per_fold}
 
 
-def _all_at_once(folded, features, grid, n_folds, tol):
+def _all_at_once(folded, features, names, grid, n_folds, tol):
     """All (C, fold) fits and the fits on all rows in common scans."""
-    scales, fold_rows = _training_scales(folded, features, n_folds)
+    scales, fold_rows = _training_scales(folded, names, n_folds)
     fits = [new_fit(C, fold, *scales[fold]) for C in grid["C"] for fold in (ALL_ROWS, *range(n_folds))]
-    values = [quoted(f) for f in features]
+    values = [F.col(n) for n in names]
     with RowBlocks(
         folded, values, F.col("__label"), F.col("__weight"), F.col("__fold"), scales[ALL_ROWS]
     ) as blocks:

@@ -116,3 +116,16 @@ def test_positional_concat(spark):
     assert rows(join_by_key(left, right.withColumnRenamed("rk", "lk").withColumn("lk", F.lit(2)), "lk"), "lk") == [(1, 1, None), (2, 2, 5)]
     with pytest.raises(Exception, match="key lk repeats"):
         join_by_key(left, left.unionAll(left).withColumnRenamed("l", "other"), "lk").collect()
+
+
+def test_columns_named_like_helpers(spark):
+    names = ["__row", "__key0", "__tag", "__bad", "__part", "__offset", "__fold", "__label", "__cuts", "__p", "__f0", "__weight", "__Row"]
+    df = spark.range(60).select("id", (F.col("id") % 3).alias("y"), *[F.lit(float(i)).alias(n) for i, n in enumerate(names[:-1])])
+    numbered = with_row_index(df, "id")
+    assert [r.row_index for r in numbered.orderBy("id").collect()] == list(range(60)) and numbered.columns == [*df.columns, "row_index"]
+    other = spark.range(60).withColumnRenamed("id", "k")
+    both = positional_concat(df, other, "id", "k")
+    assert both.where("id = k").count() == 60 and both.columns == [*df.columns, "k"]
+    texts = df.withColumn("id", F.col("id").cast("string"))  # numbered, not cut
+    assert stratified_folds(texts, "y", "id").columns == [*df.columns, "fold"]
+    assert all(r[n] == float(i) for r in both.collect() for i, n in enumerate(names[:-1]))
