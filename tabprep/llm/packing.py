@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tabprep.llm.shared import id_and_text, pieces, stored, strings, type_of
-from tabprep.llm.tokens import encoder, public_path
+from tabprep.llm.tokens import REMEMBERED_BYTES, encoder, public_path
 
 CAPACITY = 1024
 GROUP_PIECES = 8192
@@ -62,14 +62,14 @@ def first_fit_decreasing(sizes: np.ndarray, capacity: int) -> tuple[np.ndarray,
     return bins, offsets
 
 
-def token_pieces(docs: DataFrame, *, tokenizer: str, capacity: int, end_id: int = 0, with_ids: bool = False) -> DataFrame:
+def token_pieces(docs: DataFrame, *, tokenizer: str, capacity: int, end_id: int = 0, with_ids: bool = False, remembered: int = REMEMBERED_BYTES) -> DataFrame:
     """``doc_id, start, length, ids_crc32, doc_tokens`` (and ``ids``): documents as pieces of at most ``capacity`` ids."""
     rows = id_and_text(docs)
     schema = f"doc_id {type_of(rows, 'doc_id')}, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint"
     names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens"] + ["ids"] * with_ids
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(tokenizer).encode
+        encode = encoder(tokenizer, remembered).encode
         for batch in pieces(batches):
             ids, counts = encode(strings(batch.column("text")))
             ends = np.cumsum(counts)
@@ -105,6 +105,7 @@ def pack(
     end_id: int = 0,
     seed: int = 1,
     with_ids: bool = False,
+    remembered: int = REMEMBERED_BYTES,
 ) -> DataFrame:
     """One row per piece: ``doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset`` (and ``ids``).
 
@@ -112,9 +113,9 @@ def pack(
     alone. Pieces cut a document without gap or overlap, ``offset`` runs without gap from 0 in
     each sequence, and no sequence is longer than ``capacity``. Repeated rows and ids are
     packed row by row; an empty table gives no rows; other columns of ``docs`` aren't read.
-    ``tokenizer`` is the path of a file of the tokenizers library.
+    ``tokenizer`` is the path of a file of the tokenizers library; a worker keeps at most about ``remembered`` bytes of encoded words.
     """
-    found = token_pieces(docs, tokenizer=tokenizer or public_path(), capacity=capacity, end_id=end_id, with_ids=with_ids)
+    found = token_pieces(docs, tokenizer=tokenizer or public_path(), capacity=capacity, end_id=end_id, with_ids=with_ids, remembered=remembered)
     table = stored(found, "pieces")  # the texts are encoded once
     groups = max(1, -(-table.count() // group_pieces))
     dealt = table.withColumn("group", F.pmod(F.xxhash64(F.lit(seed), F.monotonically_increasing_id()), F.lit(groups)))

@@ -240,15 +240,15 @@ class Encoder:
         return out, counts
 
 
-_encoders: dict[str, Encoder] = {}
+_encoders: dict[tuple[str, int], Encoder] = {}
 
 
-def encoder(path: str) -> Encoder:
+def encoder(path: str, remembered: int = REMEMBERED_BYTES) -> Encoder:
     """The encoder of this worker process for a tokenizer file; what it has learned serves later tasks too."""
-    if path not in _encoders:
+    if (path, remembered) not in _encoders:
         _encoders.clear()
-        _encoders[path] = Encoder(path)
-    return _encoders[path]
+        _encoders[path, remembered] = Encoder(path, remembered)
+    return _encoders[path, remembered]
 
 
 def public_path(name: str = "byte_bpe_50k.json") -> str:
