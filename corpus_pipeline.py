@@ -19,8 +19,9 @@ from tabprep.llm.shared import read_table, stored
 from tabprep.llm.simhash import keep_one
 
 
-#: Pieces that are packed together, with their ids: at most 8 MB.
-GROUP_PIECES = 2048
+#: Pieces that are packed together, with their ids: at most 4 MB. Words that a worker remembers: less than by default, since ids need the room.
+GROUP_PIECES = 1024
+REMEMBERED_BYTES = 32 << 20
 
 
 def identified(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -45,7 +46,7 @@ def redacted(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of all documents, with their token ids, in sequences of 1024 tokens."""
-    return pack(docs, with_ids=True, group_pieces=GROUP_PIECES)
+    return pack(docs, with_ids=True, group_pieces=GROUP_PIECES, remembered=REMEMBERED_BYTES)
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
