@@ -26,7 +26,7 @@ _WORD_AND_STOP = _WORD[:-1] + "[.,]$"
 _SPACES = re.compile(r"\s ")
 _BEFORE_SPACE = re.compile(r"(?<=\S)(?= )")
 #: Bytes of segments and ids that a worker remembers; beyond that it keeps those of its latest batch.
-REMEMBERED_BYTES = 80 << 20
+REMEMBERED_BYTES = 128 << 20
 #: About what Python and numpy need for each of them besides.
 _EACH = 140
 _JOINED = 2000
@@ -160,7 +160,7 @@ class Encoder:
         self.counts[first : first + len(keys)] = counts
         self.flat[self.used : self.used + len(flat)] = flat
         self.used += len(flat)
-        self.held += 4 * len(flat) + sum(_EACH + sys.getsizeof(k[0] if isinstance(k, tuple) else k) for k in keys)
+        self.held += 4 * len(flat) + _EACH * len(keys) + sum(map(sys.getsizeof, keys)) + sum(sys.getsizeof(k[0]) for k in keys if k.__class__ is tuple)
         self.place.update(zip(keys, range(first, first + len(keys))))
 
     def _learn(self, keys: list[str | tuple[str]]) -> None:
