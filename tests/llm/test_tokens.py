@@ -53,6 +53,21 @@ def test_added_tokens():
     assert CACHED.encode(["hello <|endoftext|> world"])[0].tolist() == [31373, 220, END, 995]
 
 
+def test_a_line_break_ends_a_segment():
+    """Words are learned once, not once for each pair that a line break joins."""
+    cached = Encoder(public_path())
+    words = [f"w{'abcdefghij'[n]}rd" for n in range(10)]
+    check([" ".join(f"{a}.\n{b},!!" for a in words for b in words)], cached)
+    assert len(cached.place) <= 21
+    check(["a\nb", "\na", "a\n", "a \nb", "a\n b", "a\n\nb", "a.\r\nb", "a\n\n\nb c", "\n", " \n", "\n\n", "\u2003\na \nb", "\nb!'s", "b'", "b.'s"], cached)
+
+
+@settings(max_examples=400, deadline=None)
+@given(st.lists(st.text("ab \n\r.'!\xa0", max_size=20), max_size=4))
+def test_line_breaks_and_marks(texts):
+    check(texts)
+
+
 def test_long_segments_are_not_held():
     cached = Encoder(public_path(), remembered=1 << 20)
     for i in range(40):
